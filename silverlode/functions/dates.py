@@ -56,6 +56,23 @@ def _first_layout(text: Column, layouts) -> Column:
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
+def clean_date_text(value: Column) -> Column:
+    """Trimmed, single blanks, no fraction of a second after a date with a time."""
+    text = F.regexp_replace(F.trim(value.cast("string")), r"\s+", " ")
+    return F.regexp_replace(text, r"^(\d{4}[/-]\d{1,2}[/-]\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})\.\d+", "$1")
+
+
+def parse_clean_date(text: Column) -> Column:
+    """Cleaned text → timestamp. Stage the cleaned text as a column first: it is looked at many times."""
+    number = F.when(text.rlike(r"^\d{1,7}(\.\d+)?$"), text.try_cast("double"))
+    iso = F.when(
+        text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"), text.try_cast("timestamp")
+    ).cast("timestamp_ntz")
+    return F.coalesce(
+        _first_layout(text, SHAPED_LAYOUTS), iso, _first_layout(text, FREE_FORM_LAYOUTS), serial_to_timestamp(number)
+    )
+
+
 def parse_date(value: Column, dtype: T.DataType | None = None) -> Column:
     """Text, number or date → timestamp without zone; what cannot be read → NULL.
 
@@ -66,15 +83,7 @@ def parse_date(value: Column, dtype: T.DataType | None = None) -> Column:
         return value.cast("timestamp_ntz")
     if isinstance(dtype, T.NumericType):
         return serial_to_timestamp(value.cast("double"))
-    text = F.regexp_replace(F.trim(value.cast("string")), r"\s+", " ")
-    text = F.regexp_replace(text, r"^(\d{4}[/-]\d{1,2}[/-]\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})\.\d+", "$1")
-    number = F.when(text.rlike(r"^\d{1,7}(\.\d+)?$"), text.try_cast("double"))
-    iso = F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"), text.try_cast("timestamp")
-    ).cast("timestamp_ntz")
-    return F.coalesce(
-        _first_layout(text, SHAPED_LAYOUTS), iso, _first_layout(text, FREE_FORM_LAYOUTS), serial_to_timestamp(number)
-    )
+    return parse_clean_date(clean_date_text(value))
 
 
 def year_range(date_column: Column, year: int) -> Column:

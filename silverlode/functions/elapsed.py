@@ -14,8 +14,8 @@ def _number(text: Column) -> Column:
 
 
 def format_seconds(seconds: Column) -> Column:
-    """Never negative, three decimals."""
-    return F.format_string("%.3f", F.greatest(F.lit(0.0), seconds))
+    """Never negative, three decimals; NULL stays NULL."""
+    return F.when(seconds.isNotNull(), F.format_string("%.3f", F.greatest(F.lit(0.0), seconds)))
 
 
 def elapsed_seconds(value: Column) -> Column:
@@ -35,7 +35,7 @@ def elapsed_seconds(value: Column) -> Column:
         .otherwise(_number(plain))
     )
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(
-        F.when(seconds.isNotNull(), format_seconds(seconds)).otherwise(text)
+        F.coalesce(format_seconds(seconds), text)
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.dates import parse_date
+from silverlode.functions.dates import clean_date_text, parse_clean_date
 from silverlode.operators import mutate
 from silverlode.operators.quality import quality_filter
 from silverlode.session import work_folder
@@ -218,7 +218,8 @@ def date_cascade(spark, folder):
         .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", days.cast("string"))
         .otherwise(F.date_format("o_orderdate", "yyyy/MM/dd H:mm:ss.SSS"))
     )
-    return orders.select("o_orderkey", F.date_format(parse_date(text), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+    staged = orders.select("o_orderkey", clean_date_text(text).alias("text"))
+    return staged.select("o_orderkey", F.date_format(parse_clean_date(F.col("text")), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 
 # -- browsing and names ---------------------------------------------------------------------------------------------

@@ -6,6 +6,8 @@ understand, so they grow with the data.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,9 @@ OWNER, REGISTRY, CONTEXT = "ADMIN", "ACCESS_RULES", "CTX_PKG"
 def derived(spark: SparkSession, folder: str, sql: str, *tables: str) -> DataFrame:
     """A DataFrame from SQL over tables of the folder."""
     frames = {t: read_folder(spark, folder, t) for t in tables}
-    return spark.sql(" ".join("{" + w + "}" if w in frames else w for w in sql.split()), **frames)
+    text = sql.replace("{", "{{").replace("}", "}}")
+    text = re.sub(rf"\b(FROM|JOIN)(\s+)({'|'.join(tables)})\b", r"\1\2{\3}", text)
+    return spark.sql(text, **frames)
 
 
 OBJECTS_SQL = """

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.dates import parse_date
+from silverlode.functions.dates import clean_date_text, parse_clean_date
 from silverlode.functions.text import not_blank
 from silverlode.sources.tables import PREVIEW_ROWS
 
@@ -65,13 +65,8 @@ def _is_date(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def typed(value: Column, dtype: T.DataType, free_form: bool) -> Column:
-    if not _is_date(dtype):
-        return value.try_cast(dtype)
-    parsed = parse_date(value)
-    if free_form:
-        parsed = F.coalesce(parsed, _free_form(F.when(parsed.isNull(), not_blank(F.trim(value)))))
-    return parsed.cast(dtype)
+def typed(value: Column, dtype: T.DataType) -> Column:
+    return (parse_clean_date(value) if _is_date(dtype) else value.try_cast(dtype)).cast(dtype)
 
 
 def load_csv(
@@ -96,27 +91,42 @@ def load_csv(
     present = [f for f in schema.fields if f.name.upper() in by_name]
     if not present:
         raise ValueError("no CSV column matches a table column")
-    values, problems = [], []
-    for field in schema.fields:
-        if field.name.upper() in by_name:
-            raw = not_blank(F.col(f"`{by_name[field.name.upper()]}`"))
-            value = typed(raw, field.dataType, unread_dates == "dateutil")
-            strict = not _is_date(field.dataType) or unread_dates == "reject"
-            if strict and not isinstance(field.dataType, T.StringType):
-                problems.append(F.when(raw.isNotNull() & value.isNull(), F.concat(F.lit(f"{field.name}: unreadable value "), raw)))
-            if not field.nullable:
-                lost = raw.isNull() if strict else value.isNull()
-                problems.append(F.when(lost, F.lit(f"{field.name}: NULL not allowed")))
-        else:
-            value = defaults.get(field.name, F.lit(None)).cast(field.dataType)
-        values.append(value.alias(field.name))
-    reasons = F.filter(F.array(*problems), lambda p: p.isNotNull()) if problems else F.array().cast("array<string>")
-    # One projection computes values and reasons; each side of the load keeps only the columns it needs.
-    staged = rows.select(F.struct(*values).alias("row"), reasons.alias("reasons"), F.struct("*").alias("source"))
-    accepted = staged.filter(F.size("reasons") == 0).select("row.*")
-    rejected = staged.filter(F.size("reasons") > 0).select(
-        F.array_join("reasons", "; ").alias("reason"), F.to_json("source").alias("source_row")
+
+    # Staged in three projections (texts, values, reasons), so that nothing is computed once per use.
+    texts, values = [], []
+    for f in present:
+        raw = not_blank(F.col(f"`{by_name[f.name.upper()]}`"))
+        texts.append((clean_date_text(raw) if _is_date(f.dataType) else raw).alias(f.name))
+        values.append(typed(F.col(f"texts.`{f.name}`"), f.dataType).alias(f.name))
+    staged = rows.select(F.struct(*texts).alias("texts"), F.struct("*").alias("source")).withColumn("row", F.struct(*values))
+    if unread_dates == "dateutil":
+        for f in present:
+            if _is_date(f.dataType):
+                text, value = F.col(f"texts.`{f.name}`"), F.col(f"row.`{f.name}`")
+                free = _free_form(F.when(value.isNull(), text)).cast(f.dataType)
+                staged = staged.withColumn("row", F.col("row").withField(f"`{f.name}`", F.coalesce(value, free)))
+    problems = []
+    for f in present:
+        text, value = F.col(f"texts.`{f.name}`"), F.col(f"row.`{f.name}`")
+        strict = not _is_date(f.dataType) or unread_dates == "reject"
+        if strict and not isinstance(f.dataType, T.StringType):
+            problems.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name}: unreadable value "), text)))
+        if not f.nullable:
+            problems.append(F.when((text if strict else value).isNull(), F.lit(f"{f.name}: NULL not allowed")))
+    names = {f.name for f in present}
+    for f in schema.fields:
+        if f.name not in names and not f.nullable:
+            default = defaults.get(f.name, F.lit(None)).cast(f.dataType)
+            problems.append(F.when(default.isNull(), F.lit(f"{f.name}: NULL not allowed")))
+    reason = F.concat_ws("; ", *problems) if problems else F.lit("")
+    staged = staged.select("row", "source", reason.alias("reason"))
+    accepted = staged.filter("reason = ''").select(
+        *[
+            (F.col(f"row.`{f.name}`") if f.name in names else defaults.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name)
+            for f in schema.fields
+        ]
     )
+    rejected = staged.filter("reason <> ''").select("reason", F.to_json("source").alias("source_row"))
     return CsvLoad(accepted, rejected)
 
 
