@@ -17,12 +17,17 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
+def norm(vector: Column) -> Column:
+    return F.sqrt(F.aggregate(vector.cast("array<double>"), F.lit(0.0), lambda acc, x: acc + x * x))
+
+
 def unit(vector: Column) -> Column:
-    """The vector scaled to length 1; a zero vector → NULL."""
-    wide = vector.cast("array<double>")
-    norm = F.sqrt(F.aggregate(wide, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm))
+    """The vector scaled to length 1; a zero vector → NULL. The length is an array next to the vector and not a
+    term inside the lambda, where it would be computed again for every element."""
+    wide, length = vector.cast("array<double>"), norm(vector)
+    return F.when(length > 0, F.zip_with(wide, F.array_repeat(length, F.size(vector)), lambda x, n: x / n))
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(unit(a), unit(b))
+    """NULL when one of the vectors is zero."""
+    return F.try_divide(dot(a.cast("array<double>"), b.cast("array<double>")), norm(a) * norm(b))

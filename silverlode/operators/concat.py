@@ -21,13 +21,21 @@ def ordered_concat(
 
     First each run of ``CHUNK`` positions is joined, then the runs. The rows of a hot group are spread over many
     tasks by their run; the last step only sees the joined pieces, whose size is that of the result itself.
+
+    The rows are repartitioned before each step: joining strings does not shrink them, so a map-side step would only
+    buffer and sort what is shuffled anyway. The aggregate then finds its rows in place and adds no exchange.
     """
     sep = _literal(separator)
     run = F.floor(F.col(position) / CHUNK)
     pieces = (
         df.filter(F.col(value).isNotNull())
         .select(*keys, run.alias("run__"), F.col(position).alias("position__"), F.col(value).alias("value__"))
+        .repartition(*keys, "run__")
         .groupBy(*keys, "run__")
         .agg(F.expr(f"listagg(value__, {sep}) WITHIN GROUP (ORDER BY position__, value__)").alias("piece__"))
     )
-    return pieces.groupBy(*keys).agg(F.expr(f"listagg(piece__, {sep}) WITHIN GROUP (ORDER BY run__)").alias(name))
+    return (
+        pieces.repartition(*keys)
+        .groupBy(*keys)
+        .agg(F.expr(f"listagg(piece__, {sep}) WITHIN GROUP (ORDER BY run__)").alias(name))
+    )

@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlode.functions.vectors import unit
 
 # Ranges and defaults of the search settings.
 MIN_THRESHOLD, MAX_THRESHOLD, DEFAULT_THRESHOLD = 0.10, 0.95, 0.90
@@ -26,29 +25,47 @@ DIGITS = 6  # similarities are compared after rounding
 SLACK = 1e-6  # pruning never decides what rounding could
 
 
+def _units(batch: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows of a batch that have a direction, and their vectors scaled to length 1."""
+    if not len(batch):
+        return batch, np.empty((0, 0))
+    matrix = np.stack(batch["vector"].to_list()).astype("float64")
+    length = np.sqrt((matrix * matrix).sum(axis=1))
+    usable = length > 0
+    return batch[usable], matrix[usable] / length[usable, None]
+
+
 def _angles(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(vectors @ pivots.T, -1.0, 1.0))
 
 
 def _with_cells(entries: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Entries with their nearest pivot and the angle to it."""
+
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                angles = _angles(np.stack(batch["v"].to_list()), pivots)
+            rows, units = _units(batch)
+            if len(rows):
+                angles = _angles(units, pivots)
                 cell = angles.argmin(axis=1)
-                yield batch.assign(cell=cell.astype("int32"), angle=angles[np.arange(len(batch)), cell])
+                angle = angles[np.arange(len(rows)), cell]
+                yield pd.DataFrame({"id": rows["id"], "v": list(units), "cell": cell.astype("int32"), "angle": angle})
 
     return entries.mapInPandas(assign, "id long, v array<double>, cell int, angle double")
 
 
 def _needed_cells(queries: DataFrame, pivots: np.ndarray, low: np.ndarray, high: np.ndarray, reach: float) -> DataFrame:
+    """Queries, once per cell that can hold a partner."""
+
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                angles = _angles(np.stack(batch["v"].to_list()), pivots)
+            rows, units = _units(batch)
+            if len(rows):
+                angles = _angles(units, pivots)
                 row, cell = np.nonzero((angles - reach <= high) & (angles + reach >= low))
-                for part in np.array_split(np.arange(len(row)), max(1, len(row) // 10000)):
-                    yield batch.iloc[row[part]].assign(cell=cell[part].astype("int32"))
+                ids = rows["id"].to_numpy()
+                for part in np.array_split(np.arange(len(row)), len(row) // 10000 + 1):
+                    yield pd.DataFrame({"id": ids[row[part]], "v": list(units[row[part]]), "cell": cell[part].astype("int32")})
 
     return queries.mapInPandas(spread, "id long, v array<double>, cell int")
 
@@ -100,13 +117,11 @@ def top_matches(
     """
     if not MIN_THRESHOLD <= threshold <= MAX_THRESHOLD or not 1 <= limit <= MAX_LIMIT:
         raise ValueError("threshold or limit out of range")
-    left = queries.select("id", unit(F.col("vector")).alias("v")).filter("v IS NOT NULL")
-    right = entries.select("id", unit(F.col("vector")).alias("v")).filter("v IS NOT NULL")
-    chosen = right.orderBy(F.md5(F.col("id").cast("string"))).limit(pivots).select("v").collect()  # ``pivots`` rows
-    empty = "query_id long, entry_id long, similarity double, rank int"
-    if not chosen:
-        return queries.sparkSession.createDataFrame([], empty)
-    centres = np.array([r["v"] for r in chosen])
+    left, right = (df.select("id", "vector").filter("vector IS NOT NULL") for df in (queries, entries))
+    chosen = right.orderBy(F.md5(F.col("id").cast("string"))).limit(pivots).toPandas()  # ``pivots`` rows
+    _, centres = _units(chosen)
+    if not len(centres):
+        centres = np.eye(1, len(chosen["vector"].iloc[0]) if len(chosen) else 1)
     celled = _with_cells(right, centres)
     ranges = celled.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).collect()
     low, high = np.full(len(centres), np.inf), np.full(len(centres), -np.inf)

@@ -303,7 +303,7 @@ def _vectors(spark, folder):
 def vector_topk(spark, folder):
     """For every embedding its three nearest others."""
     v = _vectors(spark, folder).select("id", "vector")
-    return similarity.top_matches(v, v, threshold=0.3, limit=3, skip_same=True, block_rows=200)
+    return similarity.top_matches(v, v, threshold=0.3, limit=3, skip_same=True)
 
 
 def classify_fit_predict(spark, folder):

@@ -8,6 +8,7 @@ from silverlode.functions import text as tx
 from silverlode.functions.vectors import parse_embedding
 from silverlode.operators import chat, feedback, glossary, lookup
 from silverlode.operators.scoring import retry
+from silverlode.operators.staging import compute_once
 from silverlode.plans.guarding import derived
 from silverlode.sources.tables import read_folder
 
@@ -70,8 +71,8 @@ FROM orders
 
 def sql_extract(spark, folder):
     answers = derived(spark, folder, ANSWERS_SQL, "orders")
-    staged = answers.select("o_orderkey", tx.extract_sql(F.col("answer")).alias("sql"))
-    return staged.withColumn("failed", tx.failed_generation(F.col("sql")))
+    asked = compute_once(answers, {"text": F.col("answer")}).select("o_orderkey", tx.extract_sql(F.col("text")).alias("sql"))
+    return asked.withColumn("failed", tx.failed_generation(F.col("sql")))
 
 
 STATEMENTS_SQL = """
@@ -165,7 +166,8 @@ def payload_text(spark, folder):
         .when(F.col("role") == "assistant", F.to_json(F.struct(F.struct(parts.alias("content")).alias("message"))))
         .otherwise(F.to_json(F.struct(F.lit(7).alias("content"), F.col("text"))))
     )
-    return turns.select("conv_id", "turn", tx.payload_text(payload).alias("text"))
+    sent = compute_once(turns.select("conv_id", "turn", payload.alias("p")), {"payload": F.col("p")})
+    return sent.select("conv_id", "turn", tx.payload_text(F.col("payload")).alias("text"))
 
 
 def reply_text(spark, folder):

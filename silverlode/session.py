@@ -37,6 +37,7 @@ def local_session(cores: int | str = 8, app: str = "silverlode", **extra: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "16g")
     )

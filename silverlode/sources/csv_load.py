@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions.dates import clean_date_text, parse_clean_date
 from silverlode.functions.text import not_blank
+from silverlode.operators.staging import compute_once
 from silverlode.sources.tables import PREVIEW_ROWS
 
 SHARED_CATEGORY = "共通"  # fixed value: the category whose rules apply everywhere
@@ -82,7 +83,7 @@ def load_csv(
     reasons. ``unread_dates``: ``reject`` (default), ``null`` (keep the row, date NULL) or ``dateutil`` (free-form
     parser for the texts that the fixed layouts do not cover, in Arrow batches; the rest becomes NULL).
 
-    Accepted and rejected come from the same narrow plan: two filters over one scan, no shuffle.
+    Accepted and rejected are two filters over the same narrow plan, without a shuffle.
     """
     if unread_dates not in {"reject", "null", "dateutil"}:
         raise ValueError(f"unread_dates: {unread_dates}")
@@ -92,41 +93,40 @@ def load_csv(
     if not present:
         raise ValueError("no CSV column matches a table column")
 
-    # Staged in three projections (texts, values, reasons), so that nothing is computed once per use.
-    texts, values = [], []
-    for f in present:
-        raw = not_blank(F.col(f"`{by_name[f.name.upper()]}`"))
-        texts.append((clean_date_text(raw) if _is_date(f.dataType) else raw).alias(f.name))
-        values.append(typed(F.col(f"texts.`{f.name}`"), f.dataType).alias(f.name))
-    staged = rows.select(F.struct(*texts).alias("texts"), F.struct("*").alias("source")).withColumn("row", F.struct(*values))
-    if unread_dates == "dateutil":
-        for f in present:
-            if _is_date(f.dataType):
-                text, value = F.col(f"texts.`{f.name}`"), F.col(f"row.`{f.name}`")
-                free = _free_form(F.when(value.isNull(), text)).cast(f.dataType)
-                staged = staged.withColumn("row", F.col("row").withField(f"`{f.name}`", F.coalesce(value, free)))
-    problems = []
-    for f in present:
-        text, value = F.col(f"texts.`{f.name}`"), F.col(f"row.`{f.name}`")
+    source = [F.col(f"`{c}`").alias(f"s{i}__") for i, c in enumerate(rows.columns)]
+    texts, values, problems = {}, {}, []
+    for i, f in enumerate(present):
+        raw = not_blank(F.col(f"s{rows.columns.index(by_name[f.name.upper()])}__"))
+        texts[f"t{i}__"] = clean_date_text(raw) if _is_date(f.dataType) else raw
+        text, value = F.col(f"t{i}__"), F.col(f"v{i}__")
+        values[f"v{i}__"] = typed(text, f.dataType)
         strict = not _is_date(f.dataType) or unread_dates == "reject"
         if strict and not isinstance(f.dataType, T.StringType):
             problems.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name}: unreadable value "), text)))
         if not f.nullable:
             problems.append(F.when((text if strict else value).isNull(), F.lit(f"{f.name}: NULL not allowed")))
-    names = {f.name for f in present}
+    position = {f.name: i for i, f in enumerate(present)}
+    out = []
     for f in schema.fields:
-        if f.name not in names and not f.nullable:
-            default = defaults.get(f.name, F.lit(None)).cast(f.dataType)
+        if f.name in position:
+            out.append(F.col(f"v{position[f.name]}__").alias(f.name))
+            continue
+        default = defaults.get(f.name, F.lit(None)).cast(f.dataType)
+        out.append(default.alias(f.name))
+        if not f.nullable:
             problems.append(F.when(default.isNull(), F.lit(f"{f.name}: NULL not allowed")))
-    reason = F.concat_ws("; ", *problems) if problems else F.lit("")
-    staged = staged.select("row", "source", reason.alias("reason"))
-    accepted = staged.filter("reason = ''").select(
-        *[
-            (F.col(f"row.`{f.name}`") if f.name in names else defaults.get(f.name, F.lit(None)).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
-    )
-    rejected = staged.filter("reason <> ''").select("reason", F.to_json("source").alias("source_row"))
+    staged = compute_once(compute_once(rows.select(*source), texts), values)
+    if unread_dates == "dateutil":
+        free = {
+            f"v{i}__": F.coalesce(F.col(f"v{i}__"), _free_form(F.when(F.col(f"v{i}__").isNull(), F.col(f"t{i}__"))).cast(f.dataType))
+            for i, f in enumerate(present)
+            if _is_date(f.dataType)
+        }
+        staged = staged.withColumns(free)
+    staged = staged.withColumn("reason", F.concat_ws("; ", *problems) if problems else F.lit(""))
+    accepted = staged.filter("reason = ''").select(*out)
+    row = F.struct(*[F.col(f"s{i}__").alias(c) for i, c in enumerate(rows.columns)])
+    rejected = staged.filter("reason <> ''").select("reason", F.to_json(row).alias("source_row"))
     return CsvLoad(accepted, rejected)
 
 
