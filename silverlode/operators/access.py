@@ -327,10 +327,9 @@ def delete_rules(rules: DataFrame, names: DataFrame) -> DataFrame:
     """A rule may be deleted once it is staged again."""
     wanted = names.select(F.col("OBJECT_NAME").alias("name__")).distinct()
     joined = rules.join(wanted, F.col("OBJECT_NAME") == F.col("name__"), "left")
-    early = F.when(
-        F.col("name__").isNotNull() & (F.col("STATE") != STAGED), F.raise_error(F.lit("stage the rule before deleting it")).cast("boolean")
-    )
-    return joined.filter(F.coalesce(early, F.lit(True)) & F.col("name__").isNull()).drop("name__")
+    refuse = F.raise_error(F.lit("stage the rule before deleting it")).cast("boolean")
+    keep = F.when(F.col("name__").isNull(), True).when(F.col("STATE") != STAGED, refuse).otherwise(False)
+    return joined.filter(keep).drop("name__")
 
 
 def policies_with_attributes(policies: DataFrame, attributes: DataFrame) -> DataFrame:

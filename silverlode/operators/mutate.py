@@ -16,6 +16,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverlode.session import ensure_checkpoints
+
 
 def _predicate(where: str | Column | None) -> Column:
     if where is None:
@@ -237,8 +239,15 @@ def _require_columns(state: DataFrame, names) -> None:
 
 
 def _chain(df: DataFrame, steps: Sequence[tuple[int, Step]]) -> DataFrame:
-    state = _marked(df)
+    """The steps in order as one plan. A merge reads its input more than once, so the state is written to the
+    checkpoint folder before every further merge: the plan grows with the number of steps, not faster."""
+    state, merged = _marked(df), False
     for number, step in steps:
+        if step.kind == "MERGE":
+            if merged:
+                ensure_checkpoints(df.sparkSession)
+                state = state.checkpoint()
+            merged = True
         state = _apply(state, number, step)
     return state
 
@@ -262,9 +271,12 @@ def affected_rows(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
 
 
 def _measure(df: DataFrame, steps: Sequence[tuple[int, Step]]) -> tuple[dict[int, int], int]:
+    """Affected rows per step. Every value is hashed along the way, so a step whose values cannot be computed fails
+    here and not later, when the table is written."""
     started = time.perf_counter()
     state = _chain(df, steps)
-    row = state.agg(*[F.count_if(F.array_contains(HITS, n)).alias(f"s{n}") for n, _ in steps]).first()
+    values = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    row = state.agg(*[F.count_if(F.array_contains(HITS, n)).alias(f"s{n}") for n, _ in steps], values).first()
     return {n: row[f"s{n}"] for n, _ in steps}, int((time.perf_counter() - started) * 1000)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.text import failed_generation, parse_answer
+from silverlode.session import ensure_checkpoints
 
 Expression = Callable[[Column], Column]
 BatchModel = Callable[[Iterator[pd.Series]], Iterator[pd.Series]]
@@ -32,6 +33,13 @@ def score(df: DataFrame, prompt: Column, scorer: Expression, column: str) -> Dat
     return df.withColumn(column, scorer(prompt))
 
 
+def _as_udf(model: BatchModel):
+    def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from model(batches)
+
+    return F.pandas_udf(ask, "string")
+
+
 def score_with_model(df: DataFrame, prompt: Column, model: BatchModel, column: str, calls: int | None = None) -> DataFrame:
     """T01 with an external model: one call per distinct prompt.
 
@@ -41,7 +49,7 @@ def score_with_model(df: DataFrame, prompt: Column, model: BatchModel, column: s
     broadcasts around. A NULL prompt is not sent and has a NULL answer. Spark may repeat a lost task, so a model may
     see a prompt twice.
     """
-    ask = F.pandas_udf(model, "string")
+    ask = _as_udf(model)
     named = df.withColumn("prompt__", prompt)
     prompts = named.select("prompt__").filter(F.col("prompt__").isNotNull()).distinct()
     if calls is not None:
@@ -86,7 +94,8 @@ def retry_with_model(df: DataFrame, prompt: Column, model: BatchModel, attempts:
     Rounds are cut with ``checkpoint()`` so that a later round does not repeat the calls of an earlier one. Columns:
     prompt, attempt, answer, succeeded.
     """
-    ask = F.pandas_udf(model, "string")
+    ensure_checkpoints(df.sparkSession)
+    ask = _as_udf(model)
     open_prompts = df.select(prompt.alias("prompt")).filter(F.col("prompt").isNotNull()).distinct()
     rounds = None
     for n in range(1, attempts + 1):

@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from silverlode.functions.vectors import norm
+
 
 # Ranges and defaults of the search settings.
 MIN_THRESHOLD, MAX_THRESHOLD, DEFAULT_THRESHOLD = 0.10, 0.95, 0.90
@@ -118,10 +120,11 @@ def top_matches(
     if not MIN_THRESHOLD <= threshold <= MAX_THRESHOLD or not 1 <= limit <= MAX_LIMIT:
         raise ValueError("threshold or limit out of range")
     left, right = (df.select("id", "vector").filter("vector IS NOT NULL") for df in (queries, entries))
-    chosen = right.orderBy(F.md5(F.col("id").cast("string"))).limit(pivots).toPandas()  # ``pivots`` rows
+    directed = right.filter(norm(F.col("vector")) > 0)
+    chosen = directed.orderBy(F.md5(F.col("id").cast("string"))).limit(pivots).toPandas()  # ``pivots`` rows
+    if chosen.empty:
+        return queries.sparkSession.createDataFrame([], "query_id long, entry_id long, similarity double, rank int")
     _, centres = _units(chosen)
-    if not len(centres):
-        centres = np.eye(1, len(chosen["vector"].iloc[0]) if len(chosen) else 1)
     celled = _with_cells(right, centres)
     ranges = celled.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.count("*").alias("n")).collect()
     low, high = np.full(len(centres), np.inf), np.full(len(centres), -np.inf)

@@ -48,15 +48,26 @@ def local_session(cores: int | str = 8, app: str = "silverlode", **extra: str) -
     return spark
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared folder that the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
     Only a local session may fall back to a folder of this machine; on a cluster executors would not see it.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="silverlode-")
         spark.conf.set(CHECKPOINT_KEY, root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return root.rstrip("/")
+
+
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` usable: it needs a folder that all executors share."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
