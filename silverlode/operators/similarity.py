@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.vectors import norm
 
-
 # Ranges and defaults of the search settings.
 MIN_THRESHOLD, MAX_THRESHOLD, DEFAULT_THRESHOLD = 0.10, 0.95, 0.90
 MAX_LIMIT, DEFAULT_LIMIT = 5, 3

@@ -124,7 +124,7 @@ BATCH_SUMMARY_SQL = _BATCH_STEPS_SQL + """
 SELECT 1 AS "No", 'UPDATE' AS "Type", n1 AS "RowsAffected" FROM n UNION ALL SELECT 2, 'DELETE', n2 FROM n
 UNION ALL SELECT 3, 'INSERT', n3 FROM n UNION ALL SELECT 4, 'MERGE', n4 FROM n UNION ALL SELECT 5, 'DELETE', n5 FROM n"""
 BATCH_OUTCOME_SQL = _BATCH_STEPS_SQL + """
-SELECT 'strict' AS run, 5 AS succeeded, 0 AS failed, (n1 + n2 + n3 + n4 + n5)::BIGINT AS rows_affected, n9 AS rows_after FROM n
+SELECT 'strict' AS run, 5::BIGINT AS succeeded, 0::BIGINT AS failed, (n1 + n2 + n3 + n4 + n5)::BIGINT AS rows_affected, n9 AS rows_after FROM n
 UNION ALL SELECT 'strict_broken', 2, 1, (n1 + n2)::BIGINT, n0 FROM n
 UNION ALL SELECT 'lenient_broken', 5, 1, (n1 + n2 + n3 + n4 + n5)::BIGINT, n9 FROM n"""
 
