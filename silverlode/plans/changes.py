@@ -136,7 +136,7 @@ def time_travel(spark, folder):
     layer.write(quality_filter(layer.read(0), "c_acctbal").withColumn("checked", F.lit(True)), merge_schema=True)
     frames = [
         layer.read(v).groupBy("c_mktsegment").agg(
-            F.lit(v).alias("version"), F.count("*").alias("rows"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total")
+            F.lit(v).alias("version"), F.count("*").alias("rows"), F.round(F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double"), 2).alias("total")
         )
         for v in (0, 1)
     ]
@@ -293,8 +293,8 @@ QUERIES = {
     "batch_outcome": (batch_outcome, BATCH_OUTCOME_SQL),
     "time_travel": (
         time_travel,
-        """SELECT c_mktsegment, 0 AS version, count(*) AS rows, sum(c_acctbal::DECIMAL(18,2))::DOUBLE AS total FROM customer GROUP BY ALL
-           UNION ALL SELECT c_mktsegment, 1, count(*), sum(c_acctbal::DECIMAL(18,2))::DOUBLE FROM customer
+        """SELECT c_mktsegment, 0 AS version, count(*) AS rows, round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE, 2) AS total FROM customer GROUP BY ALL
+           UNION ALL SELECT c_mktsegment, 1, count(*), round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE, 2) FROM customer
            WHERE c_acctbal >= 0 GROUP BY ALL""",
     ),
     "layer_check": (

@@ -154,7 +154,7 @@ QUERIES = {
     ),
     "conform_schema": (
         conform_schema,
-        """SELECT o_orderkey::DOUBLE AS "O_ORDERKEY", o_totalprice::DECIMAL(38,10)::DOUBLE AS "O_TOTALPRICE",
+        """SELECT o_orderkey::DOUBLE AS "O_ORDERKEY", o_totalprice AS "O_TOTALPRICE",
            o_custkey::DOUBLE AS "O_CUSTKEY", o_orderstatus AS "O_ORDERSTATUS", o_orderpriority AS "O_ORDERPRIORITY"
            FROM orders""",
     ),

@@ -161,7 +161,7 @@ def l08_anti(spark, folder):
 def l09_count_sum(spark, folder):
     orders, customer = read_folder(spark, folder, "orders"), read_folder(spark, folder, "customer")
     on = F.col("o_custkey") == F.col("c_custkey")
-    return count_and_sum(orders, customer, on, ["c_mktsegment"], "o_totalprice").withColumn("total", F.col("total").cast("double"))
+    return count_and_sum(orders, customer, on, ["c_mktsegment"], "o_totalprice").withColumn("total", F.round(F.col("total").cast("double"), 2))
 
 
 def l10_having(spark, folder):
@@ -234,7 +234,7 @@ QUERIES: dict[str, tuple[Callable, str | None]] = {
     ),
     "l09_count_sum": (
         l09_count_sum,
-        """SELECT c_mktsegment, count(*) AS row_count, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total
+        """SELECT c_mktsegment, count(*) AS row_count, round(sum(o_totalprice::DECIMAL(18,2))::DOUBLE, 2) AS total
            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment""",
     ),
     "l10_having": (
