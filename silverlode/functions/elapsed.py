@@ -15,7 +15,7 @@ def _number(text: Column) -> Column:
 
 def format_seconds(seconds: Column) -> Column:
     """Never negative, three decimals; NULL stays NULL."""
-    return F.when(seconds.isNotNull(), F.format_string("%.3f", F.greatest(F.lit(0.0), seconds)))
+    return F.call_function("format_number", F.when(seconds > 0, seconds).when(seconds <= 0, 0.0), F.lit("0.000"))
 
 
 def elapsed_seconds(value: Column) -> Column:

@@ -159,55 +159,57 @@ def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def content_text(value: Column, depth: int = 4) -> Column:
-    """Text of a content node: a string, an object with ``text`` or ``content``, or a list of such nodes."""
-    as_string = F.when(_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
-    if depth == 0:
-        return F.coalesce(as_string, F.lit(""))
-    inner_text = F.variant_get(value, "$.text", "variant")
-    own = F.when(_kind(inner_text) == "STRING", not_blank(F.try_variant_get(inner_text, "$", "string")))
-    nested = content_text(F.variant_get(value, "$.content", "variant"), depth - 1)
-    parts = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda v: content_text(v, depth - 1))
-    return (
-        F.when(_kind(value).startswith("OBJECT"), F.coalesce(own, nested))
-        .when(_kind(value).startswith("ARRAY"), F.array_join(parts, ""))
-        .otherwise(F.coalesce(as_string, F.lit("")))
-    )
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body looks at it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def payload_text(payload: Column, depth: int = 2) -> Column:
-    """The first non-empty text of a chat payload."""
-    root = F.try_parse_json(payload)
+def _string(node: Column, path: str) -> Column:
+    """The string at a path; NULL for anything that is not a string."""
 
-    def at(node: Column, path: str) -> Column:
-        return not_blank(content_text(F.variant_get(node, path, "variant"), depth))
+    def check(v: Column) -> Column:
+        return F.when(_kind(v) == "STRING", F.try_variant_get(v, "$", "string"))
+
+    return _bind(F.variant_get(node, path, "variant"), check)
+
+
+def _content_sql(node: str, depth: int) -> str:
+    """SQL for the text of a content node; the node is bound to a lambda variable, so it is computed once."""
+    v, x = f"v{depth}", f"x{depth}"
+    branches = f"WHEN schema_of_variant({v}) = 'STRING' THEN try_variant_get({v}, '$', 'string')"
+    if depth > 0:
+        own = f"""element_at(transform(array(variant_get({v}, '$.text', 'variant')), t ->
+            CASE WHEN schema_of_variant(t) = 'STRING' THEN nullif(try_variant_get(t, '$', 'string'), '') END), 1)"""
+        nested = _content_sql(f"variant_get({v}, '$.content', 'variant')", depth - 1)
+        items = f"transform(try_variant_get({v}, '$', 'array<variant>'), {x} -> {_content_sql(x, depth - 1)})"
+        branches += f" WHEN startswith(schema_of_variant({v}), 'OBJECT') THEN coalesce({own}, {nested})"
+        branches += f" WHEN startswith(schema_of_variant({v}), 'ARRAY') THEN array_join({items}, '')"
+    return f"element_at(transform(array({node}), {v} -> coalesce(CASE {branches} END, '')), 1)"
 
-    choices = F.transform(
-        F.try_variant_get(root, "$.choices", "array<variant>"),
-        lambda c: F.coalesce(at(c, "$.delta.content"), at(c, "$.message.content"), at(c, "$.content")),
-    )
-    first_choice = F.try_element_at(F.filter(choices, lambda x: x.isNotNull()), F.lit(1))
-    plain = F.variant_get(root, "$.text", "variant")
-    return F.coalesce(
-        first_choice,
-        at(root, "$.message.content"),
-        at(root, "$.content"),
-        F.when(_kind(plain) == "STRING", not_blank(F.try_variant_get(plain, "$", "string"))),
-        F.lit(""),
-    )
+
+def payload_text(payload: str, depth: int = 3) -> Column:
+    """The first non-empty text of a chat payload (a column name or SQL expression).
+
+    Looked for in each choice (delta, message, content), then in the message, the content and the text of the payload.
+    A content is a string, an object with ``text`` or ``content``, or a list of such; ``depth`` levels are followed.
+    """
+
+    def at(node: str, path: str) -> str:
+        return f"nullif({_content_sql(f"variant_get({node}, '{path}', 'variant')", depth)}, '')"
+
+    choice = f"coalesce({at('c', '$.delta.content')}, {at('c', '$.message.content')}, {at('c', '$.content')})"
+    choices = f"transform(try_variant_get(r, '$.choices', 'array<variant>'), c -> {choice})"
+    plain = "CASE WHEN schema_of_variant(variant_get(r, '$.text', 'variant')) = 'STRING' THEN try_variant_get(r, '$.text', 'string') END"
+    body = f"""coalesce(try_element_at(filter({choices}, k -> k IS NOT NULL), 1), {at('r', '$.message.content')},
+        {at('r', '$.content')}, {plain}, '')"""
+    return F.expr(f"element_at(transform(array(try_parse_json({payload})), r -> {body}), 1)")
 
 
 def reply_text(answer: Column) -> Column:
     """``reply``, else ``content``, else the JSON indented, else the text."""
     text = strip(answer)
-    root = F.try_parse_json(text)
-
-    def field(path: str) -> Column:
-        node = F.variant_get(root, path, "variant")
-        return F.when(_kind(node) == "STRING", F.try_variant_get(node, "$", "string"))
-
-    known = F.coalesce(field("$.reply"), field("$.content"))
-    rest = pretty_json(F.when(known.isNull() & root.isNotNull(), text))
+    known = _bind(F.try_parse_json(text), lambda root: F.coalesce(_string(root, "$.reply"), _string(root, "$.content")))
+    rest = pretty_json(F.when(known.isNull() & F.try_parse_json(text).isNotNull(), text))
     return F.coalesce(known, rest, text, F.lit(""))
 
 

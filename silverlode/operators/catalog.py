@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.text import not_blank, strip, type_text, variant_text
 from silverlode.operators.concat import ordered_concat
+from silverlode.operators.staging import compute_once
 from silverlode.sources.tables import union_all
 
 
@@ -146,7 +147,7 @@ def metadata_prompts(structure: DataFrame, primary: DataFrame, foreign: DataFram
     """Instruction, structure, keys and samples of every object as one prompt. A missing part is empty."""
 
     def keyed(df: DataFrame, text: str, name: str) -> DataFrame:
-        one = df.groupBy("object_name").agg(F.array_join(F.array_sort(F.collect_list(text)), "\n").alias(name))
+        one = df.groupBy("object_name").agg(F.array_join(F.sort_array(F.collect_list(text)), "\n").alias(name))
         return one.withColumn(name, F.concat(F.lit("OBJECT: "), F.col("object_name"), F.lit("\n"), F.col(name)))
 
     joined = (
@@ -178,18 +179,19 @@ def attribute_maps(attributes: DataFrame) -> DataFrame:
     return (
         latest_attributes(attributes)
         .groupBy("profile")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("attribute", "value")))).alias("attributes"))
+        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("attribute", "value")))).alias("attributes"))
     )
 
 
 def listed_objects(profiles: DataFrame, column: str) -> DataFrame:
     """The names in an object list that is a JSON list, a single object, or a list of plain names."""
-    node = F.try_parse_json(F.col(column))
+    parsed = compute_once(profiles, {"node__": F.try_parse_json(F.col(column))})
+    node = F.col("node__")
     kind = F.schema_of_variant(node)
     items = F.when(kind.startswith("ARRAY"), F.try_variant_get(node, "$", "array<variant>")).when(
         kind.startswith("OBJECT"), F.array(node)
     )
-    named = profiles.select("profile", F.explode(items).alias("item"))
+    named = parsed.select("profile", F.explode(items).alias("item"))
     is_object = F.schema_of_variant("item").startswith("OBJECT")
     name = F.when(is_object, F.try_variant_get("item", "$.name", "string")).otherwise(variant_text(F.col("item")))
     return named.select("profile", strip(name).alias("name")).filter(F.col("name") != "").distinct()
@@ -212,7 +214,7 @@ def split_objects(profiles: DataFrame, column: str, catalog: DataFrame) -> DataF
     )
 
     def names(kind: str) -> Column:
-        return F.array_join(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("name")))), ", ")
+        return F.array_join(F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.col("name")))), ", ")
 
     return found.groupBy("profile").agg(names("TABLE").alias("tables"), names("VIEW").alias("views"))
 

@@ -75,7 +75,7 @@ def routed_label(predicted: Column) -> Column:
 def training_profile(df: DataFrame, label: str) -> DataFrame:
     """Sample count and sorted labels. Labels are made distinct first, so the set is built from few rows."""
     per_label = df.groupBy(label).agg(F.count("*").alias("n"))
-    return per_label.agg(F.sum("n").alias("samples"), F.array_sort(F.collect_list(F.col(label).cast("string"))).alias("labels"))
+    return per_label.agg(F.sum("n").alias("samples"), F.sort_array(F.collect_list(F.col(label).cast("string"))).alias("labels"))
 
 
 def model_record(df: DataFrame, label: str, name: str, embed_model: str, iterations: int = 1, created_at: Column | None = None) -> DataFrame:

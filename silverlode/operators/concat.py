@@ -26,7 +26,7 @@ def ordered_concat(
     buffer and sort what is shuffled anyway. The aggregate then finds its rows in place and adds no exchange.
     """
     sep = _literal(separator)
-    run = F.floor(F.col(position) / CHUNK)
+    run = F.expr(f"`{position}` div {CHUNK}")
     pieces = (
         df.filter(F.col(value).isNotNull())
         .select(*keys, run.alias("run__"), F.col(position).alias("position__"), F.col(value).alias("value__"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.text import not_blank, text_key
+from silverlode.operators.staging import compute_once
 
 
 def _first_by(df: DataFrame, key: Column, value: str, key_name: str, value_name: str) -> DataFrame:
@@ -52,11 +53,15 @@ def latest_log_entry(queries: DataFrame, column: str, log: DataFrame) -> DataFra
     before the join (newest first, unknown times last, then most used), with partial results per task, so a statement
     that fills a third of the log is one row in the join.
     """
-    best = F.max_by("sql_id", F.struct("translated_at", "use_count", "sql_id")).alias("sql_id")
-    by_text = log.groupBy(text_key(F.col("sql_text")).alias("k1")).agg(best.alias("id1"))
-    by_full = log.groupBy(text_key(F.substring("sql_fulltext", 1, FULL_TEXT_CUT)).alias("k2")).agg(best.alias("id2"))
+    best = F.max_by("sql_id", F.struct("translated_at", "use_count", "sql_id"))
+
+    def best_by(text: Column, key: str, name: str) -> DataFrame:
+        return compute_once(log, {key: text_key(text)}).groupBy(key).agg(best.alias(name))
+
+    by_text = best_by(F.col("sql_text"), "k1", "id1")
+    by_full = best_by(F.substring("sql_fulltext", 1, FULL_TEXT_CUT), "k2", "id2")
     key = text_key(not_blank(F.trim(F.col(column))))
-    joined = queries.withColumn("key__", key).join(by_text, F.col("key__") == F.col("k1"), "left").join(
+    joined = compute_once(queries, {"key__": key}).join(by_text, F.col("key__") == F.col("k1"), "left").join(
         by_full, F.col("key__") == F.col("k2"), "left"
     )
     return joined.select(*[F.col(f"`{c}`") for c in queries.columns], F.coalesce("id1", "id2").alias("sql_id"))

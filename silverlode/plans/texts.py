@@ -167,7 +167,7 @@ def payload_text(spark, folder):
         .otherwise(F.to_json(F.struct(F.lit(7).alias("content"), F.col("text"))))
     )
     sent = compute_once(turns.select("conv_id", "turn", payload.alias("p")), {"payload": F.col("p")})
-    return sent.select("conv_id", "turn", tx.payload_text(F.col("payload")).alias("text"))
+    return sent.select("conv_id", "turn", tx.payload_text("payload").alias("text"))
 
 
 def reply_text(spark, folder):

@@ -28,6 +28,8 @@ def scale_conf() -> dict[str, str]:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Building a plan is many small calls; without a recorded Python call site each is much cheaper.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
 
 
