@@ -15,28 +15,18 @@ def _number(text: Column) -> Column:
 
 def format_seconds(seconds: Column) -> Column:
     """Never negative, three decimals; NULL stays NULL."""
-    return F.call_function("format_number", F.when(seconds > 0, seconds).when(seconds <= 0, 0.0), F.lit("0.000"))
+    return F.call_function("format_number", F.when(seconds < 0, 0.0).otherwise(seconds), F.lit("0.000"))
 
 
 def elapsed_seconds(value: Column) -> Column:
     """``12ms``, ``3秒``, ``mm:ss``, ``hh:mm:ss``, ``1,234`` or a number → seconds; other text is kept."""
     text = F.trim(value)
-    plain = F.replace(text, F.lit(","), F.lit(""))
-    parts = F.split(plain, ":")
-
-    def part(i: int) -> Column:
-        return _number(F.try_element_at(parts, F.lit(i)))
-
-    seconds = (
-        F.when(plain.endswith("ms"), _number(F.regexp_replace(plain, "ms$", "")) / 1000)
-        .when(plain.endswith("秒"), _number(F.regexp_replace(plain, "秒$", "")))
-        .when(F.size(parts) == 2, part(1) * 60 + part(2))
-        .when(F.size(parts) == 3, part(1) * 3600 + part(2) * 60 + part(3))
-        .otherwise(_number(plain))
-    )
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit("")).otherwise(
-        F.coalesce(format_seconds(seconds), text)
-    )
+    unit = F.regexp_extract(text, "(ms|秒)$", 1)
+    parts = F.split(F.regexp_replace(text, "(ms|秒)$|,", ""), ":")
+    total = F.aggregate(parts, F.lit(0.0), lambda acc, part: acc * 60 + _number(part))
+    allowed = F.size(parts) <= F.when(unit == "", 3).otherwise(1)
+    seconds = F.when(allowed, F.when(unit == "ms", total / 1000).otherwise(total))
+    return F.coalesce(format_seconds(seconds), text, F.lit(""))
 
 
 def display_timestamp(value: Column) -> Column:

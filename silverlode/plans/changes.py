@@ -98,7 +98,7 @@ def batch_outcome(spark, folder):
     }
     return union_all(
         [
-            batch.outcome().join(batch.table.agg(F.count("*").alias("rows_after"))).select(F.lit(name).alias("run"), "*")
+            batch.outcome().select(F.lit(name).alias("run"), "*", batch.table.agg(F.count("*")).scalar().alias("rows_after"))
             for name, batch in runs.items()
         ]
     )

@@ -358,7 +358,8 @@ def synthetic_from_samples(spark, folder):
     table = synth.Table("p", part.count(), {"brand": synth.pick(pool["p_brand"]), "type": synth.pick(pool["p_type"])})
     rows = synth.generate(spark, [table])["p"]
     known = part.select(F.col("p_brand").alias("brand")).distinct()
-    return rows.agg(F.count("*").alias("rows")).join(rows.join(known, "brand", "left_anti").agg(F.count("*").alias("unknown")))
+    unknown = rows.join(known, "brand", "left_anti").agg(F.count("*")).scalar()
+    return rows.agg(F.count("*").alias("rows")).withColumn("unknown", unknown)
 
 
 def _num(table: str, column: str, row: str, seed: int = 7) -> str:

@@ -61,12 +61,13 @@ def normalise_history(records: DataFrame) -> DataFrame:
     def text(name: str) -> Column:
         return F.col(f"`{name}`").cast("string") if name in have else F.lit(None).cast("string")
 
-    out = []
-    for name in REPORT_COLUMNS:
-        candidates = [not_blank(text(n)) for n in [name, *FORMER_NAMES.get(name, [])]]
-        value = F.coalesce(*candidates, F.lit(""))
-        out.append((elapsed_seconds(value) if name in ELAPSED_COLUMNS else value).alias(name))
-    return records.select(*out)
+    def first_of(name: str) -> Column:
+        return F.coalesce(*[not_blank(text(n)) for n in [name, *FORMER_NAMES.get(name, [])]], F.lit(""))
+
+    chosen = records.select(*[first_of(name).alias(name) for name in REPORT_COLUMNS])
+    return chosen.select(
+        *[elapsed_seconds(F.col(f"`{c}`")).alias(c) if c in ELAPSED_COLUMNS else F.col(f"`{c}`") for c in REPORT_COLUMNS]
+    )
 
 
 def append_history(records: DataFrame, folder: str) -> None:
