@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.operators.skew import join_per_key
+
 EXACT = T.DecimalType(38, 10)
 
 # The sample reviews that are assigned to rows.
@@ -37,13 +39,13 @@ def group_averages(df: DataFrame, key: str, measures: dict[str, str], scale: int
 
 
 def with_group_averages(df: DataFrame, key: str, measures: dict[str, str], scale: int = 4) -> DataFrame:
-    """Every detail row with the averages of its group.
+    """Every detail row with the averages of its group; a NULL group has none.
 
-    A left join and not a window: a window would sort a hot group in one task. The averages are one row per group, so
-    the join is a broadcast when they are small (measured by AQE) and otherwise a sort-merge left join whose detail
-    side AQE can split.
+    A join and not a window: a window would sort a hot group in one task.
     """
-    return df.join(group_averages(df, key, measures, scale), on=key, how="left")
+    averages = group_averages(df, key, measures, scale).withColumnRenamed(key, "group__")
+    joined = join_per_key(df, averages, key, "group__", "left", 8 * len(measures))
+    return joined.select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in df.columns if c != key], *measures)
 
 
 def upper_columns(df: DataFrame) -> DataFrame:

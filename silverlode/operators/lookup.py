@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.text import not_blank, text_key
+from silverlode.operators.skew import match_keys
 from silverlode.operators.staging import compute_once
 
 
@@ -61,7 +62,7 @@ def latest_log_entry(queries: DataFrame, column: str, log: DataFrame) -> DataFra
     by_text = best_by(F.col("sql_text"), "k1", "id1")
     by_full = best_by(F.substring("sql_fulltext", 1, FULL_TEXT_CUT), "k2", "id2")
     key = text_key(not_blank(F.trim(F.col(column))))
-    joined = compute_once(queries, {"key__": key}).join(by_text, F.col("key__") == F.col("k1"), "left").join(
-        by_full, F.col("key__") == F.col("k2"), "left"
-    )
+    joined = compute_once(queries, {"key__": key})
+    for best_entries, name in ((by_text, "k1"), (by_full, "k2")):
+        joined = joined.join(best_entries, match_keys(joined, best_entries, [("key__", name)]), "left")
     return joined.select(*[F.col(f"`{c}`") for c in queries.columns], F.coalesce("id1", "id2").alias("sql_id"))

@@ -16,6 +16,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverlode.operators.skew import match_keys
 from silverlode.session import ensure_checkpoints
 
 
@@ -75,7 +76,7 @@ def merge(
     default every shared column. A NULL key matches nothing. A target row that matches more than one source row is an error, raised while the job runs.
 
     Two joins and not one full outer join: the target is the left side of a left join, so a small source is broadcast
-    and the target is never shuffled, and with a large source AQE can split a hot key of the target. Which source
+    and the target is never shuffled, and with a large source AQE can split a hot key of either side. Which source
     rows are new is decided against the target's keys that occur in the source, which are no more than the source's.
     """
     shared = [c for c in target.columns if c in source.columns]
@@ -94,7 +95,7 @@ def merge(
 
     duplicate = F.when(F.col("n__s") > 1, F.raise_error(F.lit("a target row matches more than one source row")).cast("boolean"))
     updated = (
-        target.join(one_per_key, _keys_equal(target, one_per_key, keys, "__s"), "left")
+        target.join(one_per_key, match_keys(target, one_per_key, [(k, f"{k}__s") for k in keys]), "left")
         .filter(F.coalesce(duplicate, F.lit(True)))
         .select(
             *[
@@ -114,7 +115,7 @@ def merge(
         .distinct()
         .toDF(*[f"{k}__t" for k in keys])
     )
-    new = source.join(found, _keys_equal(source, found, keys, "__t"), "left_anti")
+    new = source.join(found, match_keys(source, found, [(k, f"{k}__t") for k in keys]), "left_anti")
     inserted = new.select(
         *[
             (F.col(f"`{insert[f.name]}`").cast(f.dataType) if f.name in insert else F.lit(None).cast(f.dataType)).alias(f.name)
