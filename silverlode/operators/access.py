@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions.text import OBJECT_NAME, is_object_name
+from silverlode.operators.skew import match
 
 NONE, FULL, ROW_MATCH, RELATION_MATCH = "NONE", "FULL", "ROW_MATCH", "RELATION_MATCH"
 STAGED, ACTIVE, ERROR = "STAGED", "ACTIVE", "ERROR"
@@ -287,7 +288,7 @@ def rule_problems(rules: DataFrame, objects: DataFrame, columns: DataFrame, poli
     checked = attach(checked, "o", "RELATION_OBJECT", "RELATION_OBJECT_COLUMN")
     checked = attach(checked, "l", "RELATION_OBJECT", "RELATION_MATCH_COLUMN")
     checked = checked.join(tables, F.col("RELATION_OBJECT") == F.col("r_object"), "left")
-    checked = checked.join(nested, F.col("RELATION_OBJECT") == F.col("nested_name"), "left")
+    checked = checked.join(nested, match([F.col("RELATION_OBJECT")], [F.col("nested_name")]), "left")
     row, relation = F.col("ACCESS_MODE") == ROW_MATCH, F.col("ACCESS_MODE") == RELATION_MATCH
     reason = (
         F.when(row & ~F.coalesce(F.col("m_eligible"), F.lit(False)), "match column not eligible")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.text import drop_semicolon, strip
 from silverlode.operators.mutate import merge
+from silverlode.operators.skew import match
 
 KEY_PREFIX = "select ai showsql "  # fixed value: how a question is written in the log
 INDEX_ROWS = 50  # fixed value: entries shown of a feedback index
@@ -60,7 +61,7 @@ def add_feedback(entries: DataFrame, feedback: DataFrame, keep_quirk: bool = Tru
 def delete_feedback(entries: DataFrame, texts: DataFrame) -> DataFrame:
     """T09"""
     gone = texts.select(F.col("sql_text").alias("gone__")).distinct()
-    return entries.join(gone, F.col("sql_text") == F.col("gone__"), "left_anti")
+    return entries.join(gone, match([F.col("sql_text")], [F.col("gone__")]), "left_anti")
 
 
 def index_view(index: DataFrame, rows: int | None = INDEX_ROWS) -> DataFrame:

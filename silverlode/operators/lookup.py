@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.text import not_blank, text_key
-from silverlode.operators.skew import match_keys
+from silverlode.operators.skew import match, match_keys
 from silverlode.operators.staging import compute_once
 
 
@@ -29,7 +29,7 @@ def resolve_name(df: DataFrame, column: str, profiles: DataFrame, category_first
     text = F.trim(F.col(column))
     by_name = _first_by(profiles, F.trim(F.col("profile")), "profile", "name__", "via_name")
     by_category = _first_by(profiles, F.trim(F.col("category")), "profile", "category__", "via_category")
-    joined = df.join(by_name, text == F.col("name__"), "left").join(by_category, text == F.col("category__"), "left")
+    joined = df.join(by_name, match([text], [F.col("name__")]), "left").join(by_category, match([text], [F.col("category__")]), "left")
     name = F.when(F.col("via_name").isNotNull(), F.struct(F.trim(F.col("via_name")).alias("v"), F.lit("name").alias("how")))
     category = F.when(F.col("via_category").isNotNull(), F.struct(F.trim(F.col("via_category")).alias("v"), F.lit("category").alias("how")))
     order = [category, name] if category_first else [name, category]
@@ -40,7 +40,7 @@ def resolve_name(df: DataFrame, column: str, profiles: DataFrame, category_first
 def route(df: DataFrame, predicted: str, profiles: DataFrame, default: str) -> DataFrame:
     """The first profile whose category equals the predicted label in lower case, else the default."""
     by_category = _first_by(profiles, F.lower(F.trim(F.col("category"))), "profile", "category__", "routed__")
-    joined = df.join(by_category, F.lower(F.trim(F.col(predicted))) == F.col("category__"), "left")
+    joined = df.join(by_category, match([F.lower(F.trim(F.col(predicted)))], [F.col("category__")]), "left")
     return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("routed__"), F.lit(default)).alias("route"))
 
 

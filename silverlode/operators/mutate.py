@@ -16,7 +16,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.operators.skew import match_keys
+from silverlode.operators.skew import match, match_keys
 from silverlode.session import ensure_checkpoints
 
 
@@ -138,7 +138,7 @@ def upsert_by_name(entries: DataFrame, changed: DataFrame, name: str) -> DataFra
 def remove_by_key(entries: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """Drop the entries whose name occurs in ``names``, in any case."""
     keys = names.select(_folded(name).alias("gone__")).filter(F.col("gone__").isNotNull()).distinct()
-    return entries.join(keys, _folded(name) == F.col("gone__"), "left_anti")
+    return entries.join(keys, match([_folded(name)], [F.col("gone__")]), "left_anti")
 
 
 def replace_snapshot(rows: DataFrame) -> DataFrame:
@@ -149,8 +149,8 @@ def replace_snapshot(rows: DataFrame) -> DataFrame:
 def difference(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` without a counterpart in ``right``; NULLs count as equal."""
     renamed = right.select(*[F.col(f"`{c}`").alias(f"{c}__r") for c in on]).distinct()
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(renamed[f"{c}__r"]) for c in on])
-    return left.join(renamed, same, "left_anti")
+    theirs = [renamed[f"{c}__r"].cast(left.schema[c].dataType) for c in on]
+    return left.join(renamed, match([left[c] for c in on], theirs, nulls_equal=True), "left_anti")
 
 
 def union_names(*frames: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.text import failed_generation, parse_answer
+from silverlode.operators.skew import match_keys
 from silverlode.session import ensure_checkpoints
 
 Expression = Callable[[Column], Column]
@@ -54,8 +55,8 @@ def score_with_model(df: DataFrame, prompt: Column, model: BatchModel, column: s
     prompts = named.select("prompt__").filter(F.col("prompt__").isNotNull()).distinct()
     if calls is not None:
         prompts = prompts.repartition(calls, "prompt__")
-    answers = prompts.select("prompt__", ask("prompt__").alias(column))
-    return named.join(answers, "prompt__", "left").drop("prompt__")
+    answers = prompts.select(F.col("prompt__").alias("asked__"), ask("prompt__").alias(column))
+    return named.join(answers, match_keys(named, answers, [("prompt__", "asked__")]), "left").drop("prompt__", "asked__")
 
 
 def sentiment(df: DataFrame, prompt: Column, scorer: Expression) -> DataFrame:

@@ -26,16 +26,19 @@ def keys_fit(df: DataFrame, keys: Sequence[str], bytes_per_row: int, limit: int
     return size <= limit
 
 
-def match_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """The join condition ``left = right`` on pairs of key columns, together with a hash of them.
+def match(left: Sequence[Column], right: Sequence[Column], nulls_equal: bool = False) -> Column:
+    """Equality of key expressions together with a hash of them. The types of the two sides must be the same.
 
     The hash adds nothing to the result, but a table that is partitioned by the keys alone does not satisfy a join on
     keys and hash: both sides get an exchange of their own for the join, and AQE can split a hot key.
     """
-    typed = [(left[a], right[b].cast(left.schema[a].dataType)) for a, b in pairs]
-    equal = [a == b for a, b in typed]
-    spread = F.xxhash64(*[a for a, _ in typed]) == F.xxhash64(*[b for _, b in typed])
-    return reduce(lambda x, y: x & y, [*equal, spread])
+    equal = [a.eqNullSafe(b) if nulls_equal else a == b for a, b in zip(left, right)]
+    return reduce(lambda x, y: x & y, [*equal, F.xxhash64(*left) == F.xxhash64(*right)])
+
+
+def match_keys(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+    """``match`` for pairs of key columns; the right side takes the types of the left."""
+    return match([left[a] for a, _ in pairs], [right[b].cast(left.schema[a].dataType) for a, b in pairs])
 
 
 def join_per_key(df: DataFrame, per_key: DataFrame, key: str, per_key_name: str, how: str, bytes_per_row: int) -> DataFrame:
