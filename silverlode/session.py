@@ -23,7 +23,7 @@ def scale_conf() -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # Extra shuffle is accepted when it lets a skewed join be split.
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        # Broadcasts are never hinted: Spark decides from the size estimate, AQE from the measured size.
+        # Spark decides on broadcasts from the size estimate, AQE from the measured size.
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.parquet.filterPushdown": "true",
