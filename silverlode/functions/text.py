@@ -226,7 +226,7 @@ def strip_comments(sql: Column) -> Column:
 def statement_class(sql: Column) -> Column:
     """Class of a logged statement, comments ignored."""
     bare = F.regexp_replace(F.coalesce(sql, F.lit("")), r"(?s)--[^\n]*(?:\n|\z)|/\*.*?(?:\*/|\z)", " ")
-    head = F.ltrim(F.substring(bare, 1, 512), F.lit(WHITE_SPACE))
+    head = F.ltrim(bare, F.lit(WHITE_SPACE))
     verb = F.upper(F.regexp_extract(head, rf"(?i)^({'|'.join(STATEMENT_VERBS)})\b", 1))
     return (
         F.when(head.rlike(r"(?i)^(SELECT|WITH)\b"), "SELECT")
