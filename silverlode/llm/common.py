@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.session import work_folder
+
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 CACHED_WORDS = 400_000
@@ -80,3 +82,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in the shared folder: lineage ends there, and lost executors cost no recomputation."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

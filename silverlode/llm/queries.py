@@ -1,5 +1,6 @@
 """Registered queries of this subpackage: name -> (query, SQL or None)."""
 
-from silverlode.llm import language_id, packing, quality_rules, secret_scan, topk_search
+from silverlode.llm import jaccard_join, language_id, packing, quality_rules, secret_scan, suffix_dedup, topk_search, tree_weighting
 
-QUERIES = {name: pair for module in (quality_rules, packing, topk_search, language_id, secret_scan) for name, pair in module.QUERIES.items()}
+_MODULES = (tree_weighting, quality_rules, packing, suffix_dedup, topk_search, language_id, secret_scan, jaccard_join)
+QUERIES = {name: pair for module in _MODULES for name, pair in module.QUERIES.items()}
