@@ -113,7 +113,7 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = """
 WITH sound AS (
   SELECT vec_id, embedding FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), terms AS (
   SELECT vec_id, unnest(range(len(embedding))) AS dim, floor(256 * CAST(unnest(embedding) AS DOUBLE))::BIGINT AS weight FROM sound
 ), scored AS (
