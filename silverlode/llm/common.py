@@ -64,12 +64,24 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     if len(hashes) == 0:
         return hashes
     n = max(1, len(hashes) - width + 1)
-    out = np.zeros(n, np.uint64)
-    for i in range(min(width, len(hashes))):
-        out = mixed(out + STEP) + hashes[i : i + n]
+    out = hashes[:n].copy()
+    for i in range(1, min(width, len(hashes))):
+        out *= STEP
+        out += hashes[i : i + n]
     return mixed(out)
 
 
+def planes(values: np.ndarray) -> bytes:
+    """Fixed-width values byte by byte (all first bytes, all second bytes, ...): small numbers then compress well."""
+    flat = np.ascontiguousarray(values)
+    return flat.view(np.uint8).reshape(len(flat), flat.dtype.itemsize).T.tobytes() if len(flat) else b""
+
+
+def from_planes(data: bytes, kind: np.dtype | str) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``most`` bytes of ``column`` (one row at least)."""
     for batch in batches:
