@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.functions.text import strip
+
 # The accepted layouts, in the order in which they are tried (day first before month first).
 # Each layout is tied to the shape of the text, so a row pays for one or two parses and not for thirteen.
 SHAPED_LAYOUTS = [
@@ -58,16 +60,18 @@ def _first_layout(text: Column, layouts) -> Column:
 
 def clean_date_text(value: Column) -> Column:
     """Trimmed, single blanks, no fraction of a second after a date with a time."""
-    text = F.regexp_replace(F.trim(value.cast("string")), r"\s+", " ")
+    text = F.regexp_replace(strip(value.cast("string")), r"(?U)\s+", " ")
     return F.regexp_replace(text, r"^(\d{4}[/-]\d{1,2}[/-]\d{1,2} \d{1,2}:\d{1,2}:\d{1,2})\.\d+", "$1")
 
 
 def parse_clean_date(text: Column) -> Column:
     """Cleaned text → timestamp. Stage the cleaned text as a column first: it is looked at many times."""
     number = F.when(text.rlike(r"^\d{1,7}(\.\d+)?$"), text.try_cast("double"))
+    # The wall clock counts: an offset is dropped, and the session's time zone has no part in it.
     iso = F.when(
-        text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"), text.try_cast("timestamp")
-    ).cast("timestamp_ntz")
+        text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"),
+        F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz"),
+    )
     return F.coalesce(
         _first_layout(text, SHAPED_LAYOUTS), iso, _first_layout(text, FREE_FORM_LAYOUTS), serial_to_timestamp(number)
     )

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from silverlode.functions.text import strip
+
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
 def _number(text: Column) -> Column:
-    trimmed = F.trim(text)
+    trimmed = strip(text)
     return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
 
 
@@ -20,7 +22,7 @@ def format_seconds(seconds: Column) -> Column:
 
 def elapsed_seconds(value: Column) -> Column:
     """``12ms``, ``3秒``, ``mm:ss``, ``hh:mm:ss``, ``1,234`` or a number → seconds; other text is kept."""
-    text = F.trim(value)
+    text = strip(value)
     unit = F.regexp_extract(text, "(ms|秒)$", 1)
     parts = F.split(F.regexp_replace(text, "(ms|秒)$|,", ""), ":")
     total = F.aggregate(parts, F.lit(0.0), lambda acc, part: acc * 60 + _number(part))
@@ -38,5 +40,5 @@ def display_timestamp(value: Column) -> Column:
 
 def status_message(status: Column) -> Column:
     """Error text of a status line: a leading mark (❌ ⚠️ ⏳ ✅) is one character shorter, as in the history."""
-    text = F.trim(F.coalesce(status, F.lit("")))
-    return F.when(text.rlike("^[❌⚠⏳✅]"), F.trim(F.substring(text, F.lit(2), F.length(text)))).otherwise(text)
+    text = strip(F.coalesce(status, F.lit("")))
+    return F.when(text.rlike("^[❌⚠⏳✅]"), strip(F.substring(text, F.lit(2), F.length(text)))).otherwise(text)

@@ -64,10 +64,6 @@ def parse_answer(answer: Column, schema: str = "label STRING, reason STRING") ->
     return F.from_json(strip_fences(answer), schema)
 
 
-def strip_sql_fences(answer: Column) -> Column:
-    return strip(F.regexp_replace(F.regexp_replace(answer, r"(?i)```sql\s*", ""), r"```\s*", ""))
-
-
 def extract_sql(answer: Column) -> Column:
     """P20: the SQL of a model answer; '' when there is none."""
     fence, label, bare = r"(?i)```sql\s*([\s\S]*?)```", r"(?i)SQL\s*:([\s\S]+)$", r"(?i)\b(?:SELECT|WITH)\b[\s\S]*"
@@ -187,12 +183,61 @@ def _content_sql(node: str, depth: int) -> str:
     return f"element_at(transform(array({node}), {v} -> coalesce(CASE {branches} END, '')), 1)"
 
 
-def payload_text(payload: str, depth: int = 3) -> Column:
+SHALLOW_LEVELS, SHALLOW_BRACKETS = 3, 4
+
+
+def _deep_content(node) -> str:
+    """The text of a content node of any depth, without recursion."""
+    out, work = [], [node]
+    while work:
+        value = work.pop()
+        if isinstance(value, str):
+            out.append(value)
+        elif isinstance(value, list):
+            work.extend(reversed(value))
+        elif isinstance(value, dict):
+            own = value.get("text")
+            work.append(own if isinstance(own, str) and own else value.get("content"))
+    return "".join(out)
+
+
+@F.pandas_udf(T.StringType())
+def _deep_payload_text(payloads: pd.Series) -> pd.Series:
+    def part(value, *path):
+        for name in path:
+            value = value.get(name) if isinstance(value, dict) else None
+        return value
+
+    def one(payload):
+        if payload is None:
+            return None
+        try:
+            root = json.loads(payload)
+        except (ValueError, RecursionError):
+            return ""
+        choices = part(root, "choices")
+        nodes = [part(c, *path) for c in (choices if isinstance(choices, list) else []) for path in (("delta", "content"), ("message", "content"), ("content",))]
+        nodes += [part(root, "message", "content"), part(root, "content")]
+        plain = part(root, "text")
+        texts = (_deep_content(n) for n in nodes)
+        return next((t for t in texts if t), plain if isinstance(plain, str) else "")
+
+    return payloads.map(one, na_action="ignore")
+
+
+def payload_text(payload: str) -> Column:
     """The first non-empty text of a chat payload (a column name or SQL expression).
 
     Looked for in each choice (delta, message, content), then in the message, the content and the text of the payload.
-    A content is a string, an object with ``text`` or ``content``, or a list of such; ``depth`` levels are followed.
+    A content is a string, an object with ``text`` or ``content``, or a list of such, however deep. Payloads with so few
+    brackets that built-in expressions reach every level stay in the JVM; only the others are sent to Python.
     """
+    brackets = f"length({payload}) - length(translate({payload}, '[{{', ''))"
+    deep = F.expr(f"{brackets} > {SHALLOW_BRACKETS}")
+    return F.when(deep, _deep_payload_text(F.when(deep, F.expr(payload)))).otherwise(_shallow_payload_text(payload, SHALLOW_LEVELS))
+
+
+def _shallow_payload_text(payload: str, depth: int) -> Column:
 
     def at(node: str, path: str) -> str:
         return f"nullif({_content_sql(f"variant_get({node}, '{path}', 'variant')", depth)}, '')"

@@ -266,7 +266,7 @@ def normalise_entries(entries: DataFrame, name: str, texts: list[str]) -> DataFr
     )
 
 
-def status_rows(status: DataFrame, rows: int = 200) -> DataFrame:
-    """The known status columns that are present, first rows only."""
+def status_rows(status: DataFrame, rows: int | None = None) -> DataFrame:
+    """The known status columns that are present; all rows, or at most ``rows``."""
     keep = [c for c in ("ID", "NAME", "ROWS_LOADED", "STATUS") if c in status.columns]  # fixed values
-    return status.limit(rows).select(*(keep or status.columns))
+    return (status if rows is None else status.limit(rows)).select(*(keep or status.columns))

@@ -44,7 +44,7 @@ def with_group_averages(df: DataFrame, key: str, measures: dict[str, str], scale
     A join and not a window: a window would sort a hot group in one task.
     """
     averages = group_averages(df, key, measures, scale).withColumnRenamed(key, "group__")
-    joined = join_per_key(df, averages, key, "group__", "left", 8 * len(measures))
+    joined = join_per_key(df, averages, key, "group__", "left")
     return joined.select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in df.columns if c != key], *measures)
 
 

@@ -64,8 +64,8 @@ def delete_feedback(entries: DataFrame, texts: DataFrame) -> DataFrame:
     return entries.join(gone, match([F.col("sql_text")], [F.col("gone__")]), "left_anti")
 
 
-def index_view(index: DataFrame, rows: int | None = INDEX_ROWS) -> DataFrame:
-    """Content and the two JSON attributes, first entries only."""
+def index_view(index: DataFrame, rows: int | None = None) -> DataFrame:
+    """Content and the two JSON attributes; all entries, or at most ``rows``."""
     view = index.select(
         "CONTENT",
         F.get_json_object("ATTRIBUTES", "$.sql_id").alias("SQL_ID"),

@@ -16,7 +16,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.operators.skew import match, match_keys
+from silverlode.functions.text import strip
+from silverlode.operators.skew import common_type, match, match_keys
 from silverlode.session import ensure_checkpoints
 
 
@@ -126,12 +127,12 @@ def merge(
 
 
 def _folded(column: str) -> Column:
-    return F.upper(F.trim(F.col(f"`{column}`")))
+    return F.upper(strip(F.col(f"`{column}`")))
 
 
 def upsert_by_name(entries: DataFrame, changed: DataFrame, name: str) -> DataFrame:
     """M03 for a metadata snapshot: names compared in any case, the whole entry replaced, nameless entries ignored."""
-    named = changed.filter(F.coalesce(F.trim(F.col(f"`{name}`")), F.lit("")) != "")
+    named = changed.filter(F.coalesce(strip(F.col(f"`{name}`")), F.lit("")) != "")
     return remove_by_key(entries, named, name).unionByName(named)
 
 
@@ -149,8 +150,8 @@ def replace_snapshot(rows: DataFrame) -> DataFrame:
 def difference(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``left`` without a counterpart in ``right``; NULLs count as equal."""
     renamed = right.select(*[F.col(f"`{c}`").alias(f"{c}__r") for c in on]).distinct()
-    theirs = [renamed[f"{c}__r"].cast(left.schema[c].dataType) for c in on]
-    return left.join(renamed, match([left[c] for c in on], theirs, nulls_equal=True), "left_anti")
+    ours, theirs = zip(*[common_type(left, c, renamed, f"{c}__r") for c in on])
+    return left.join(renamed, match(ours, theirs, nulls_equal=True), "left_anti")
 
 
 def union_names(*frames: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def _as_udf(model: BatchModel):
     def ask(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield from model(batches)
 
-    return F.pandas_udf(ask, "string")
+    return F.pandas_udf(ask, "string").asNondeterministic()  # no filter moves below the call and repeats it
 
 
 def score_with_model(df: DataFrame, prompt: Column, model: BatchModel, column: str, calls: int | None = None) -> DataFrame:
@@ -48,14 +48,15 @@ def score_with_model(df: DataFrame, prompt: Column, model: BatchModel, column: s
     distinct before the call (partial distinct first, so a prompt shared by a third of the rows costs one row per
     task), spread over ``calls`` tasks, and joined back; a hot prompt is a skewed left side, which AQE splits or
     broadcasts around. A NULL prompt is not sent and has a NULL answer. Spark may repeat a lost task, so a model may
-    see a prompt twice.
+    see a prompt twice. The answers are a checkpoint: however many consumers the result has, no prompt is sent again.
     """
+    ensure_checkpoints(df.sparkSession)
     ask = _as_udf(model)
     named = df.withColumn("prompt__", prompt)
     prompts = named.select("prompt__").filter(F.col("prompt__").isNotNull()).distinct()
     if calls is not None:
         prompts = prompts.repartition(calls, "prompt__")
-    answers = prompts.select(F.col("prompt__").alias("asked__"), ask("prompt__").alias(column))
+    answers = prompts.select(F.col("prompt__").alias("asked__"), ask("prompt__").alias(column)).checkpoint()
     return named.join(answers, match_keys(named, answers, [("prompt__", "asked__")]), "left").drop("prompt__", "asked__")
 
 

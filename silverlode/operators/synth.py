@@ -59,11 +59,14 @@ class Table:
     columns: dict[str, Draw | Reference]
 
 
-def pools(df: DataFrame, columns: Sequence[str], sample_rows: int) -> dict[str, list]:
-    """Value pools from ``sample_rows`` rows of an existing table, smallest row hash first: repeatable and small."""
-    order = F.xxhash64(*[F.col(c) for c in columns])
-    sample = df.select(*columns).orderBy(order).limit(sample_rows).collect()
-    return {c: sorted({r[c] for r in sample if r[c] is not None}, key=repr) for c in columns}
+def pools(df: DataFrame, columns: Sequence[str], values: int) -> dict[str, list]:
+    """Per column up to ``values`` different values of an existing table, those with the smallest hash: repeatable, small,
+    and as varied as the table."""
+    out = {}
+    for c in columns:
+        known = df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(F.xxhash64(c), F.col(c)).limit(values)
+        out[c] = sorted((r[0] for r in known.collect()), key=repr)
+    return out
 
 
 def seeded_number(table: str, column: str, row: Column, seed: int) -> Column:

@@ -11,7 +11,7 @@ from silverlode.operators.quality import quality_filter
 from silverlode.session import work_folder
 from silverlode.sources import csv_load
 from silverlode.sources.layers import Layer, layer_health
-from silverlode.sources.tables import browse, distinct_names, keyword_search, read_folder, union_all
+from silverlode.sources.tables import DEFAULT_RESULT_CAP, browse, distinct_names, keyword_search, read_folder, union_all
 
 
 def _parts_as_customers(spark, folder):
@@ -231,7 +231,7 @@ def browse_filter(spark, folder):
 
 def browse_capped(spark, folder):
     """Without an order the capped rows are any rows; how many is defined."""
-    rows = browse(read_folder(spark, folder, "orders"), "o_totalprice > 1000")
+    rows = browse(read_folder(spark, folder, "orders"), "o_totalprice > 1000", DEFAULT_RESULT_CAP)
     return rows.agg(F.count("*").alias("rows"))
 
 

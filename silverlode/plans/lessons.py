@@ -91,7 +91,7 @@ def above_overall_average(df: DataFrame, measure: str, columns: list[str], key:
 def above_group_average(df: DataFrame, group: str, measure: str, columns: list[str], key: str) -> DataFrame:
     """What Catalyst makes of the correlated subquery: an aggregate joined on the correlation key."""
     averages = df.groupBy(F.col(group).alias("group__")).agg(exact_average(measure, 10).alias("average__"))
-    joined = join_per_key(df, averages, group, "group__", "inner", 8)
+    joined = join_per_key(df, averages, group, "group__", "inner")
     return joined.filter(F.col(measure) > F.col("average__")).select(*columns).orderBy(desc(measure), asc(key))
 
 
@@ -105,7 +105,7 @@ def with_parent_and_average(
 ) -> DataFrame:
     """A grouped CTE, an inner join and a left join."""
     averages = child.groupBy(F.col(group).alias("group__")).agg(exact_average(measure).alias("average"))
-    joined = join_per_key(child, averages, group, "group__", "left", 8).join(parent, on)
+    joined = join_per_key(child, averages, group, "group__", "left").join(parent, on)
     return joined.select(*columns, "average").orderBy(*order)
 
 

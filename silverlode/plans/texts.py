@@ -239,13 +239,13 @@ def _glossary(spark):
 
 def glossary_rewrite(spark, folder):
     texts = read_folder(spark, folder, "documents").select("doc_id", "text")
-    done = glossary.rewrite(texts, "doc_id", "text", _glossary(spark))
+    done = glossary.rewrite(texts, "text", _glossary(spark))
     return done.select("doc_id", F.array_join("matched_terms", "|").alias("matched_terms"), "rewritten")
 
 
 def glossary_inverse(spark, folder):
     texts = read_folder(spark, folder, "benchmark").select("item_id", "text")
-    done = glossary.rewrite(texts, "item_id", "text", _glossary(spark), inverse=True)
+    done = glossary.rewrite(texts, "text", _glossary(spark), inverse=True)
     return done.select("item_id", "rewritten")
 
 

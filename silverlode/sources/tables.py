@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.text import TABLE_NAME
+from silverlode.functions.text import TABLE_NAME, strip
 
 # Row caps of the source's result grids.
 DEFAULT_RESULT_CAP = 100
@@ -68,8 +68,8 @@ def append_by_position(df: DataFrame, name: str) -> None:
     df.write.insertInto(name)
 
 
-def browse(table: DataFrame, where: str | Column | None = None, limit: int | None = DEFAULT_RESULT_CAP) -> DataFrame:
-    """Rows that match a free condition, at most ``limit`` (None = all)."""
+def browse(table: DataFrame, where: str | Column | None = None, limit: int | None = None) -> DataFrame:
+    """Rows that match a free condition, all of them or at most ``limit``."""
     rows = table
     if isinstance(where, Column):
         rows = rows.filter(where)
@@ -78,7 +78,7 @@ def browse(table: DataFrame, where: str | Column | None = None, limit: int | Non
     return rows if limit is None else rows.limit(limit)
 
 
-def browse_table(spark: SparkSession, name: str, where: str | None = None, limit: int = DEFAULT_RESULT_CAP) -> DataFrame:
+def browse_table(spark: SparkSession, name: str, where: str | None = None, limit: int | None = None) -> DataFrame:
     """F05 on a catalog table; the name is checked before it is used."""
     if not re.match(TABLE_NAME, name.upper()):
         raise ValueError(f"invalid table or view name: {name}")
@@ -93,7 +93,7 @@ def keyword_search(names: DataFrame, column: str, keyword: str | None) -> DataFr
 
 def distinct_names(names: DataFrame, column: str) -> DataFrame:
     """Trimmed, non-empty, each once."""
-    return names.select(F.trim(column).alias(column)).filter(F.col(column) != "").dropDuplicates([column])
+    return names.select(strip(F.col(column)).alias(column)).filter(F.col(column) != "").dropDuplicates([column])
 
 
 def sample_blocks(tables: dict[str, DataFrame], rows: int) -> DataFrame:

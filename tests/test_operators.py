@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,23 +159,31 @@ def _reference_rewrite(text, pairs):
     return out
 
 
-@pytest.mark.parametrize("pattern_terms", [300, 1])
-def test_glossary(spark, pattern_terms):
+_row = Row("id", "rewritten", "matched_terms")
+
+
+@pytest.mark.parametrize("limit", [2000, 1])
+@pytest.mark.parametrize("more", [0, 400])
+def test_glossary(spark, more, limit):
     texts = ["the network net aXb a.b", "netnetwork", "", "none", "NETWORKnet", "net"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
-    g = spark.createDataFrame(TERMS, "TERM string, DEFINITION string")
-    got = {r["id"]: r for r in glossary.rewrite(df, "id", "t", g, pattern_terms=pattern_terms).collect()}
+    g = spark.createDataFrame(TERMS + [(f"term {i:04d}", f"d{i}") for i in range(more)], "TERM string, DEFINITION string")
+    got = {r["id"]: r for r in glossary.rewrite(df, "t", g, pattern_terms=limit).collect()}
     pairs = {t: d for t, d in TERMS if t.strip() and d.strip()}
     assert [got[i]["rewritten"] for i in range(len(texts))] == [_reference_rewrite(t, pairs) for t in texts]
     assert got[0]["matched_terms"] == ["a.b", "net", "network"] and got[3]["matched_terms"] == []
-    back = glossary.rewrite(df.limit(1), "id", "t", g, inverse=True, pattern_terms=pattern_terms).collect()[0]
+    back = glossary.rewrite(df.limit(1), "t", g, True, limit).collect()[0]
     assert back["rewritten"] == "the network net aXb a.b"
+    odd = spark.createDataFrame([(1, "net"), (1, "a.b"), (None, "net"), (2, None)], "id int, t string")
+    assert sorted(map(str, glossary.rewrite(odd, "t", g, pattern_terms=limit).select("id", "rewritten", "matched_terms").collect())) == sorted(
+        map(str, [_row(1, "NETWORK", ["net"]), _row(1, "dot", ["a.b"]), _row(None, "NETWORK", ["net"]), _row(2, None, None)])
+    )
 
 
 def test_empty_glossary(spark):
     df = spark.createDataFrame([(1, "x")], "id int, t string")
     g = spark.createDataFrame([], "TERM string, DEFINITION string")
-    assert glossary.rewrite(df, "id", "t", g).collect()[0]["rewritten"] == "x"
+    assert glossary.rewrite(df, "t", g).collect()[0]["rewritten"] == "x"
 
 
 def test_prompts(spark):
@@ -358,6 +367,8 @@ def test_synthetic(spark):
         synth.generate(spark, tables[::-1])
     pool = synth.pools(spark.createDataFrame([("x", 1), ("y", None)], "s string, n int"), ["s", "n"], 10)
     assert pool == {"s": ["x", "y"], "n": [1]}
+    many = synth.pools(spark.range(1000).selectExpr("id % 25 AS brand"), ["brand"], 20)
+    assert len(many["brand"]) == 20
 
 
 def test_compute_once(spark):
