@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from silverlode.llm.common import mixed, table, utf8
+from silverlode.llm.common import from_planes, mixed, planes, table, utf8
 
 DEPTH = 5
 CHUNK_BYTES = 4_000_000
@@ -251,7 +251,7 @@ def _ask(group: pa.Table, depth: int, buckets: int) -> pa.Table:
         mine = order[cuts[b] : cuts[b + 1]]
         if len(mine):
             # Words hold no line feed; the end token is one, and is sent as an empty word.
-            rows.append(("word", b, chunk, b"\n".join(names[i].rstrip(END) for i in mine), number[mine].tobytes()))
+            rows.append(("word", b, chunk, b"\n".join(names[i].rstrip(END) for i in mine), planes(number[mine])))
     marked = np.sort((keys << np.uint64(1)) | np.repeat(learn, sizes).astype(np.uint64))
     flat = marked >> np.uint64(1)
     first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
@@ -263,13 +263,13 @@ def _ask(group: pa.Table, depth: int, buckets: int) -> pa.Table:
         mine = order[cuts[b] : cuts[b + 1]]
         if len(mine):
             steps = np.diff(different[mine], prepend=np.uint64(0))  # small numbers compress
-            rows.append(("byte", b, chunk, steps.astype("<u8").tobytes(), learned[mine].astype("<u4").tobytes()))
+            rows.append(("byte", b, chunk, planes(steps.astype("<u8")), planes(learned[mine].astype("<u4"))))
     return pa.table(dict(zip(("kind", "bucket", "chunk", "keys", "counts"), map(list, zip(*rows, strict=True)), strict=True)), schema=_empty(_BLOCKS).schema)
 
 
 def _byte_blocks(blocks: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, list[np.ndarray]]:
-    asked = [np.cumsum(np.frombuffer(x, "<u8")) for x in blocks["keys"].to_pylist()]
-    counts = np.concatenate([np.frombuffer(x, "<u4") for x in blocks["counts"].to_pylist()])
+    asked = [np.cumsum(from_planes(x, "<u8")) for x in blocks["keys"].to_pylist()]
+    counts = np.concatenate([from_planes(x, "<u4") for x in blocks["counts"].to_pylist()])
     keys, at = np.unique(np.concatenate(asked), return_inverse=True)
     sizes = np.cumsum([len(x) for x in asked])[:-1]
     return asked, keys, np.bincount(at, counts, len(keys)).astype(np.int64), np.split(at, sizes)
@@ -278,7 +278,7 @@ def _byte_blocks(blocks: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.nda
 def _word_blocks(blocks: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
     asked = [x.split(b"\n") for x in blocks["keys"].to_pylist()]
     flat = pa.array([w for x in asked for w in x], pa.binary()).dictionary_encode()
-    counts = np.concatenate([np.frombuffer(x, "<i8") for x in blocks["counts"].to_pylist()])
+    counts = np.concatenate([from_planes(x, "<i8") for x in blocks["counts"].to_pylist()])
     at = flat.indices.to_numpy()
     return np.bincount(at, counts, len(flat.dictionary)).astype(np.int64), np.split(at, np.cumsum([len(x) for x in asked])[:-1])
 
@@ -310,12 +310,12 @@ def _answer(blocks: pa.Table, tops: pa.Table, depth: int) -> pa.Table:
     kind, n = blocks["kind"][0].as_py(), blocks.num_rows
     if kind == "word":
         sums, places = _word_blocks(blocks)
-        answers = [sums[at].astype("<i8").tobytes() for at in places]
+        answers = [planes(sums[at].astype("<i8")) for at in places]
     else:
         _, keys, counts, places = _byte_blocks(blocks)
         share, left = (np.frombuffer(tops[c][0].as_py(), float) for c in ("share", "left"))
         logs = log_probabilities(keys, counts, depth, share, left)
-        answers = [logs[at].astype("<f4").tobytes() for at in places]
+        answers = [planes(logs[at].astype("<f4")) for at in places]
     totals = [[tops[c][0].as_py()] * n for c in ("train_tokens", "vocabulary")]
     return pa.table(dict(zip((x.split()[0] for x in _ANSWERS.split(", ")), [blocks["chunk"], blocks["kind"], blocks["bucket"], answers, *totals], strict=True)), schema=_empty(_ANSWERS).schema)
 
@@ -332,7 +332,7 @@ def _score(group: pa.Table, answers: pa.Table, ids: list[str], depth: int, bucke
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
         for b in np.unique(bucket).tolist():
-            out[order[cuts[b] : cuts[b + 1]]] = np.frombuffer(got[kind, b], dtype)
+            out[order[cuts[b] : cuts[b + 1]]] = from_planes(got[kind, b], dtype)
         return out
 
     count = gather("word", of_word, "<i8")
