@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.text import not_blank, strip, type_text, variant_text
 from silverlode.operators.concat import ordered_concat
+from silverlode.operators.skew import match
 from silverlode.operators.staging import compute_once
 from silverlode.sources.tables import union_all
 
@@ -115,9 +116,9 @@ def foreign_key_text(constraints: DataFrame, members: DataFrame) -> DataFrame:
     r_listed = listed.select(F.col("constraint_name").alias("rc_name"), F.col("columns").alias("r_columns"))
     joined = (
         constraints.filter(F.col("constraint_type") == "R")
-        .join(referenced, F.col("r_constraint_name") == F.col("r_name"))
+        .join(referenced, match([F.col("r_constraint_name")], [F.col("r_name")]))
         .join(listed, "constraint_name")
-        .join(r_listed, F.col("r_name") == F.col("rc_name"), "left")
+        .join(r_listed, match([F.col("r_name")], [F.col("rc_name")]), "left")
     )
     text = F.concat(
         F.col("constraint_name"), F.lit(": "), F.col("columns"), F.lit(" -> "), F.col("r_object"), F.lit("("),
@@ -206,8 +207,8 @@ def split_objects(profiles: DataFrame, column: str, catalog: DataFrame) -> DataF
     folded = catalog.groupBy(F.upper("name").alias("f_key")).agg(F.min(F.struct("kind", "name")).alias("f"))
     found = (
         listed_objects(profiles, column)
-        .join(exact, F.col("name") == F.col("e_name"), "left")
-        .join(folded, F.upper("name") == F.col("f_key"), "left")
+        .join(exact, match([F.col("name")], [F.col("e_name")]), "left")
+        .join(folded, match([F.upper("name")], [F.col("f_key")]), "left")
         .select("profile", F.coalesce("e_kind", "f.kind").alias("kind"), F.coalesce("e_name", "f.name").alias("name"))
         .filter("kind IS NOT NULL")
         .distinct()

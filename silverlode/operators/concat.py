@@ -1,4 +1,4 @@
-"""Ordered string aggregation in two steps (A05, A16), so that one long group is not sorted by one task."""
+"""Ordered string aggregation."""
 
 from __future__ import annotations
 
@@ -7,35 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK = 1000  # positions per chunk
-
 
 def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'").replace("\n", "\\n") + "'"
 
 
 def ordered_concat(
-    df: DataFrame, keys: Sequence[str], position: str, value: str, separator: str = ", ", name: str = "joined"
+    df: DataFrame, keys: Sequence[str], position: str, value: str, separator: str = ", ", name: str = "joined", run: int | None = None
 ) -> DataFrame:
-    """Values of a group joined in the order of an integer position (ties: by value).
-
-    First each run of ``CHUNK`` positions is joined, then the runs. The rows of a hot group are spread over many
-    tasks by their run; the last step only sees the joined pieces, whose size is that of the result itself.
+    """Values of a group joined in the order of an integer position (ties: by value); one shuffle on the keys.
 
-    The rows are repartitioned before each step: joining strings does not shrink them, so a map-side step would only
-    buffer and sort what is shuffled anyway. The aggregate then finds its rows in place and adds no exchange.
+    The result holds all values of its group, so one task must hold them in any case. With ``run``, stretches of that
+    many positions are joined first, in other tasks, and a second shuffle brings their pieces together: for long, dense
+    sequences, where sorting a group takes longer than moving it.
     """
     sep = _literal(separator)
-    run = F.expr(f"`{position}` div {CHUNK}")
-    pieces = (
-        df.filter(F.col(value).isNotNull())
-        .select(*keys, run.alias("run__"), F.col(position).alias("position__"), F.col(value).alias("value__"))
-        .repartition(*keys, "run__")
-        .groupBy(*keys, "run__")
-        .agg(F.expr(f"listagg(value__, {sep}) WITHIN GROUP (ORDER BY position__, value__)").alias("piece__"))
-    )
-    return (
-        pieces.repartition(*keys)
-        .groupBy(*keys)
-        .agg(F.expr(f"listagg(piece__, {sep}) WITHIN GROUP (ORDER BY run__)").alias(name))
-    )
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(position).alias("position__"), F.col(value).alias("value__"))
+    if run is not None:
+        stretch = F.expr(f"position__ div {run}").alias("position__")
+        joined = F.expr(f"listagg(value__, {sep}) WITHIN GROUP (ORDER BY at__, value__)").alias("value__")
+        rows = rows.select(*keys, stretch, F.col("position__").alias("at__"), "value__").groupBy(*keys, "position__").agg(joined)
+    return rows.groupBy(*keys).agg(F.expr(f"listagg(value__, {sep}) WITHIN GROUP (ORDER BY position__, value__)").alias(name))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from silverlode.functions.dates import clean_date_text, parse_clean_date
 from silverlode.operators import mutate
 from silverlode.operators.quality import quality_filter
+from silverlode.plans.guarding import derived
 from silverlode.session import work_folder
 from silverlode.sources import csv_load
 from silverlode.sources.layers import Layer, layer_health
@@ -201,6 +202,31 @@ def csv_counts(spark, folder):
     return csv_load.load_csv(_csv_rows(spark, folder), ORDER_TABLE, unread_dates="null").counts()
 
 
+DIRTY_TABLE = T.StructType([T.StructField("O_ORDERKEY", T.LongType(), False), T.StructField("O_NOTE", T.StringType(), True), T.StructField("O_TOTALPRICE", T.DoubleType(), True)])
+DIRTY_SQL = '''
+SELECT concat_ws(chr(10), 'o_orderkey,o_note,o_totalprice', array_join(sort_array(collect_list(line)), chr(10)), '') AS value FROM (
+ SELECT CASE o_orderkey % 4 WHEN 0 THEN cast(o_orderkey AS STRING) || ',"two' || chr(10) || 'lines, ""quoted""",1.5'
+  WHEN 1 THEN cast(o_orderkey AS STRING) || ',plain,2.5' WHEN 2 THEN cast(o_orderkey AS STRING) || ',too,many,cells'
+  ELSE cast(o_orderkey AS STRING) END AS line, o_orderkey % 7 AS part FROM orders) GROUP BY part
+'''
+
+
+def _dirty_csv(spark, folder):
+    """Files with line breaks inside quotes, and records with too many or too few cells."""
+    path = work_folder(spark, "dirty-csv")
+    derived(spark, folder, DIRTY_SQL, "orders").repartition(7).write.option("lineSep", "\n").text(path)
+    return csv_load.load_csv(csv_load.read_text_csv(spark, path), DIRTY_TABLE)
+
+
+def csv_dirty(spark, folder):
+    return _dirty_csv(spark, folder).accepted
+
+
+def csv_dirty_counts(spark, folder):
+    """Accepted and rejected records; together they are all records."""
+    return _dirty_csv(spark, folder).counts()
+
+
 def reference_load(spark, folder):
     """Rules without a category column, replacing what was there."""
     rows = read_folder(spark, folder, "benchmark").select(F.col("text").alias("rule"), "item_id")
@@ -322,6 +348,16 @@ QUERIES = {
     ),
     "reference_load": (reference_load, """SELECT '共通' AS "CATEGORY", text AS "RULE" FROM benchmark"""),
     "date_cascade": (date_cascade, "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS parsed FROM orders"),
+    "csv_dirty": (
+        csv_dirty,
+        """SELECT o_orderkey AS "O_ORDERKEY", CASE o_orderkey % 4 WHEN 0 THEN 'two' || chr(10) || 'lines, "quoted"' ELSE 'plain' END AS "O_NOTE",
+        CASE o_orderkey % 4 WHEN 0 THEN 1.5::DOUBLE ELSE 2.5 END AS "O_TOTALPRICE" FROM orders WHERE o_orderkey % 4 < 2""",
+    ),
+    "csv_dirty_counts": (
+        csv_dirty_counts,
+        """SELECT 'accepted' AS outcome, count(*) AS rows FROM orders WHERE o_orderkey % 4 < 2
+        UNION ALL SELECT 'rejected', count(*) FROM orders WHERE o_orderkey % 4 >= 2""",
+    ),
     "browse_filter": (browse_filter, "SELECT * FROM supplier WHERE s_acctbal > 5000 AND s_nationkey < 10"),
     "browse_capped": (browse_capped, "SELECT least(100, count(*)) AS rows FROM orders WHERE o_totalprice > 1000"),
     "keyword_names": (keyword_names, "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'widget')"),

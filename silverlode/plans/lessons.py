@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from silverlode.functions.dates import year_range
 from silverlode.operators.enrich import exact_average
-from silverlode.operators.skew import join_per_key
+from silverlode.operators.skew import join_per_key, match_keys
 from silverlode.sources.tables import read_folder
 
 
@@ -61,9 +61,15 @@ def join_parent(child: DataFrame, parent: DataFrame, on: Column, columns: list[s
     return child.join(parent, on).select(*columns).orderBy(*[asc(c) for c in order])
 
 
-def without_children(parent: DataFrame, child: DataFrame, on: Column, columns: list[str], order: list[str]) -> DataFrame:
+def _child_keys(parent: DataFrame, parent_key: str, child: DataFrame, child_key: str) -> tuple[DataFrame, Column]:
+    """Each key of the children once (partial distinct first: a hot key is a row per task), and the join on it."""
+    keys = child.select(F.col(child_key).alias("child__")).distinct()
+    return keys, match_keys(parent, keys, [(parent_key, "child__")])
+
+
+def without_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str, columns: list[str], order: list[str]) -> DataFrame:
     """The outer join with a NULL test, written as the anti-join it is."""
-    return parent.join(child, on, "left_anti").select(*columns).orderBy(*[asc(c) for c in order])
+    return parent.join(*_child_keys(parent, parent_key, child, child_key), "left_anti").select(*columns).orderBy(*[asc(c) for c in order])
 
 
 def count_and_sum(child: DataFrame, parent: DataFrame, on: Column, group: list[str], measure: str) -> DataFrame:
@@ -95,9 +101,9 @@ def above_group_average(df: DataFrame, group: str, measure: str, columns: list[s
     return joined.filter(F.col(measure) > F.col("average__")).select(*columns).orderBy(desc(measure), asc(key))
 
 
-def with_children(parent: DataFrame, child: DataFrame, on: Column, columns: list[str], order: list[str]) -> DataFrame:
+def with_children(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str, columns: list[str], order: list[str]) -> DataFrame:
     """EXISTS."""
-    return parent.join(child, on, "left_semi").select(*columns).orderBy(*[asc(c) for c in order])
+    return parent.join(*_child_keys(parent, parent_key, child, child_key), "left_semi").select(*columns).orderBy(*[asc(c) for c in order])
 
 
 def with_parent_and_average(
@@ -155,8 +161,7 @@ def l07_join(spark, folder):
 
 def l08_anti(spark, folder):
     orders, lineitem = read_folder(spark, folder, "orders"), read_folder(spark, folder, "lineitem")
-    on = F.col("o_orderkey") == F.col("l_orderkey")
-    return without_children(orders, lineitem, on, ["o_orderkey", "o_totalprice"], ["o_orderkey"])
+    return without_children(orders, lineitem, "o_orderkey", "l_orderkey", ["o_orderkey", "o_totalprice"], ["o_orderkey"])
 
 
 def l09_count_sum(spark, folder):
@@ -185,8 +190,7 @@ def l13_correlated(spark, folder):
 
 def l14_exists(spark, folder):
     orders, lineitem = read_folder(spark, folder, "orders"), read_folder(spark, folder, "lineitem")
-    on = F.col("o_orderkey") == F.col("l_orderkey")
-    return with_children(orders, lineitem, on, ["o_orderkey", "o_totalprice"], ["o_orderkey"])
+    return with_children(orders, lineitem, "o_orderkey", "l_orderkey", ["o_orderkey", "o_totalprice"], ["o_orderkey"])
 
 
 def l15_cte(spark, folder):
@@ -200,8 +204,7 @@ def l15_cte(spark, folder):
 
 def doc_without_label(spark, folder):
     documents, labels = read_folder(spark, folder, "documents"), read_folder(spark, folder, "labels").withColumnRenamed("doc_id", "l_doc_id")
-    on = F.col("doc_id") == F.col("l_doc_id")
-    return without_children(documents, labels, on, ["doc_id", "lang", "source"], ["doc_id"])
+    return without_children(documents, labels, "doc_id", "l_doc_id", ["doc_id", "lang", "source"], ["doc_id"])
 
 
 def _avg(column: str, scale: int) -> str:

@@ -22,26 +22,37 @@ REPORTED_REJECTS = 5  # fixed value: rejects shown to the user
 class CsvLoad:
     accepted: DataFrame
     rejected: DataFrame
+    judged: DataFrame  # every record, with its ``reason`` (empty: accepted)
 
     def counts(self) -> DataFrame:
-        """Accepted and rejected row counts."""
-        kept = self.accepted.agg(F.count("*").alias("rows")).select(F.lit("accepted").alias("outcome"), "rows")
-        bad = self.rejected.agg(F.count("*").alias("rows")).select(F.lit("rejected").alias("outcome"), "rows")
-        return kept.unionByName(bad)
+        """Accepted and rejected row counts, from one pass over the records."""
+        both = self.judged.agg(F.count_if(F.col("reason") == "").alias("accepted"), F.count_if(F.col("reason") != "").alias("rejected"))
+        return both.select(F.expr("stack(2, 'accepted', accepted, 'rejected', rejected) AS (outcome, rows)"))
 
     def reported(self) -> DataFrame:
         """The rejects to show; the reject table itself is complete."""
         return self.rejected.limit(REPORTED_REJECTS)
 
 
-def read_text_csv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """A CSV file with a header, every column as text: no inference pass over the data."""
-    return spark.read.options(header=True, enforceSchema=False, multiLine=False, escape='"', **options).csv(path)
+MALFORMED = "_malformed"
+
+
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = True, **options) -> DataFrame:
+    """A CSV file, or a folder of them, with a header, every column as text: no inference pass over the data.
+
+    A record may go over several lines inside quotes; a file is then read by one task, and a folder's files side by
+    side. ``multi_line=False`` also splits large files, for data known to have one record per line. A record with too
+    many or too few cells is kept whole in ``_malformed``, and the load rejects it.
+    """
+    reader = spark.read.options(header=True, multiLine=multi_line, escape='"', **options)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
+    return reader.options(enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).schema(schema).csv(path)
 
 
 def preview_csv(spark: SparkSession, path: str) -> DataFrame:
     """The first rows; fails on a file without rows."""
-    head = read_text_csv(spark, path).limit(PREVIEW_ROWS)
+    head = read_text_csv(spark, path).drop(MALFORMED).limit(PREVIEW_ROWS)
     if head.isEmpty():
         raise ValueError("the CSV file holds no rows")
     return head
@@ -87,7 +98,7 @@ def load_csv(
     """
     if unread_dates not in {"reject", "null", "dateutil"}:
         raise ValueError(f"unread_dates: {unread_dates}")
-    by_name = {c.upper(): c for c in rows.columns}
+    by_name = {c.upper(): c for c in rows.columns if c != MALFORMED}
     defaults = defaults or {}
     present = [f for f in schema.fields if f.name.upper() in by_name]
     if not present:
@@ -95,6 +106,9 @@ def load_csv(
 
     source = [F.col(f"`{c}`").alias(f"s{i}__") for i, c in enumerate(rows.columns)]
     texts, values, problems = {}, {}, []
+    if MALFORMED in rows.columns:
+        whole = F.col(f"s{rows.columns.index(MALFORMED)}__")
+        problems.append(F.when(whole.isNotNull(), F.concat(F.lit("malformed record "), whole)))
     for i, f in enumerate(present):
         raw = not_blank(F.col(f"s{rows.columns.index(by_name[f.name.upper()])}__"))
         texts[f"t{i}__"] = clean_date_text(raw) if _is_date(f.dataType) else raw
@@ -125,9 +139,9 @@ def load_csv(
         staged = staged.withColumns(free)
     staged = staged.withColumn("reason", F.concat_ws("; ", *problems) if problems else F.lit(""))
     accepted = staged.filter("reason = ''").select(*out)
-    row = F.struct(*[F.col(f"s{i}__").alias(c) for i, c in enumerate(rows.columns)])
+    row = F.struct(*[F.col(f"s{i}__").alias(c) for i, c in enumerate(rows.columns) if c != MALFORMED])
     rejected = staged.filter("reason <> ''").select("reason", F.to_json(row).alias("source_row"))
-    return CsvLoad(accepted, rejected)
+    return CsvLoad(accepted, rejected, staged)
 
 
 def publish_csv(load: CsvLoad, table: str, mode: str = "INSERT") -> None:

@@ -73,8 +73,8 @@ def test_lessons(staff):
     bands = lessons.banded(e, "salary", 600000, 500000, "band", ["e_id", "salary"], "e_id")
     assert "".join(in_order(bands, "band")) == "LSSMMMLL"  # NULL first when descending
     assert in_order(lessons.join_parent(e, d, on, ["d_id", "e_id"], ["d_id", "e_id"]), "e_id") == [1, 2, 5, 6, 3, 8, 4, 7]
-    assert in_order(lessons.without_children(d, p, F.col("p_dept") == F.col("d_id"), ["d_id"], ["d_id"]), "d_id") == [80]
-    assert in_order(lessons.with_children(d, p, F.col("p_dept") == F.col("d_id"), ["d_id"], ["d_id"]), "d_id") == [10, 20, 30, 40]
+    assert in_order(lessons.without_children(d, p, "d_id", "p_dept", ["d_id"], ["d_id"]), "d_id") == [80]
+    assert in_order(lessons.with_children(d, p, "d_id", "p_dept", ["d_id"], ["d_id"]), "d_id") == [10, 20, 30, 40]
     sums = lessons.count_and_sum(e, d, on, ["d_name"], "salary").collect()
     assert [(r["d_name"], r["row_count"], int(r["total"])) for r in sums][:2] == [("B", 3, 1730000), ("C", 2, 480000)]
     assert in_order(lessons.average_at_least(e, "dept", "salary", 500000), "dept") == [20, 40]
@@ -132,6 +132,7 @@ def test_retry(spark):
 def test_ordered_concat_over_runs(spark):
     df = spark.range(2500).select(F.lit("hot").alias("k"), F.col("id").cast("int").alias("pos"), F.col("id").cast("string").alias("v")).repartition(5)
     assert ordered_concat(df, ["k"], "pos", "v", "\n").collect()[0]["joined"] == "\n".join(map(str, range(2500)))
+    assert ordered_concat(df, ["k"], "pos", "v", "\n", run=1000).collect()[0]["joined"] == "\n".join(map(str, range(2500)))
     quoted = spark.createDataFrame([("k", 1, "a"), ("k", 2, None), ("k", 3, "b")], "k string, pos int, v string")
     assert ordered_concat(quoted, ["k"], "pos", "v", "'\\").collect()[0]["joined"] == "a'\\b"
 
