@@ -371,7 +371,7 @@ def access_inventory(
         ),
     )
     per_object = tagged.groupBy(F.col("object_name").alias("p_object")).agg(
-        F.count_if(~F.col("managed")).alias("unmanaged"),
+        F.count_distinct(F.when(~F.col("managed"), F.col("policy_name"))).alias("unmanaged"),  # a policy may have several rows
         F.bool_or(F.col("managed") & (F.upper("enabled") == "YES")).alias("policy_on"),
     )
     readable = reads.select(F.col("object_name").alias("g_object")).distinct()

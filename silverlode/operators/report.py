@@ -11,13 +11,18 @@ from silverlode.sources.history import REPORT_COLUMNS
 GENERATE, RUN = "select_ai", "select"  # the two phases of an execution
 
 
+def _exact_sum(milliseconds: Column) -> Column:
+    """The sum does not depend on the order of the rows."""
+    return F.sum(milliseconds.cast("decimal(28,6)")).cast("double")
+
+
 def phase_times(phases: DataFrame) -> DataFrame:
     """Per execution and phase the time summed over attempts, the first start and the last end.
 
     ``phases``: execution_id, phase, started_at, finished_at, elapsed_ms. Negative times count as zero.
     """
     return phases.groupBy("execution_id", "phase").agg(
-        F.sum(F.greatest(F.lit(0.0), F.col("elapsed_ms"))).alias("elapsed_ms"),
+        _exact_sum(F.greatest(F.lit(0.0), F.col("elapsed_ms"))).alias("elapsed_ms"),
         F.min("started_at").alias("started_at"),
         F.max("finished_at").alias("finished_at"),
         F.count("*").alias("attempts"),
@@ -40,7 +45,7 @@ def execution_records(executions: DataFrame, phases: DataFrame) -> DataFrame:
 
     def side(phase: str, prefix: str) -> list[Column]:
         return [
-            F.sum(F.when(F.col("phase") == phase, F.greatest(F.lit(0.0), F.col("elapsed_ms")))).alias(f"{prefix}_ms"),
+            _exact_sum(F.when(F.col("phase") == phase, F.greatest(F.lit(0.0), F.col("elapsed_ms")))).alias(f"{prefix}_ms"),
             F.min(of(phase, "started_at")).alias(f"{prefix}_start"),
             F.max(of(phase, "finished_at")).alias(f"{prefix}_end"),
         ]
