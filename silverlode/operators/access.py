@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.functions.text import OBJECT_NAME, is_object_name
-from silverlode.operators.skew import match
+from silverlode.operators.skew import match, match_keys
 
 NONE, FULL, ROW_MATCH, RELATION_MATCH = "NONE", "FULL", "ROW_MATCH", "RELATION_MATCH"
 STAGED, ACTIVE, ERROR = "STAGED", "ACTIVE", "ERROR"
@@ -138,11 +138,11 @@ def matches_login(df: DataFrame, column: str, login: str | None) -> Column:
         half = 1 << (bits[type(dtype)] - 1)
         fits = number is not None and -half <= number < half
         return F.col(column) == F.lit(number).cast(dtype) if fits else F.lit(False)
-    if isinstance(dtype, T.DecimalType) and dtype.scale == 0:
-        if number is None or abs(number) >= 10**dtype.precision:
+    if isinstance(dtype, T.DecimalType):
+        if number is None or abs(number) >= 10 ** (dtype.precision - dtype.scale):
             return F.lit(False)
         return F.col(column) == F.lit(Decimal(number)).cast(dtype)
-    raise ValueError(f"{column}: a match column is text or a whole number")
+    raise ValueError(f"{column}: a match column is text, a whole number or a decimal")
 
 
 def apply_rule(df: DataFrame, rule: Rule, login: str | None, relation: DataFrame | None = None) -> DataFrame:
@@ -159,7 +159,8 @@ def apply_rule(df: DataFrame, rule: Rule, login: str | None, relation: DataFrame
     keys = relation.filter(matches_login(relation, rule.relation_match_column, login)).select(
         F.col(rule.relation_object_column).alias("key__")
     )
-    return df.join(keys, F.col(rule.relation_target_column) == F.col("key__"), "left_semi")
+    keys = keys.distinct()  # a hot key is a row per task
+    return df.join(keys, match_keys(df, keys, [(rule.relation_target_column, "key__")]), "left_semi")
 
 
 @dataclass(frozen=True)
@@ -212,8 +213,13 @@ def registry_violations(rules: DataFrame) -> DataFrame:
 
 
 def business_objects(objects: DataFrame, registry_table: str) -> DataFrame:
-    """tables and views a rule may protect. Columns: object_name, object_type, temporary, generated, secondary."""
+    """tables and views a rule may protect. Columns: object_name, object_type, temporary, generated, secondary, and, if
+    the catalog has them, oracle_maintained and subobject_name (objects of the system and parts of objects are none)."""
     name = F.col("object_name")
+    if "oracle_maintained" in objects.columns:
+        objects = objects.filter(F.coalesce("oracle_maintained", F.lit("N")) != "Y")
+    if "subobject_name" in objects.columns:
+        objects = objects.filter(F.col("subobject_name").isNull())
     return objects.filter(
         F.col("object_type").isin("TABLE", "VIEW")
         & ~name.startswith("BIN$")

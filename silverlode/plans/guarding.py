@@ -137,6 +137,14 @@ def policy_row_match_number(spark, folder):
     return out
 
 
+def policy_gold_decimal(spark, folder):
+    """A match column of the type that Gold numbers have."""
+    rule = Rule("ORDERS", "TABLE", ROW_MATCH, match_column="o_custkey")
+    orders = read_folder(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").cast("decimal(38,10)").alias("o_custkey"))
+    seen = access.apply_rule(orders, rule, "0042").unionByName(access.apply_rule(orders, rule, "4.5"))
+    return seen.select("o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey"))
+
+
 def policy_relation(spark, folder):
     return _reader(spark, folder).read("orders", "BUILDING").select("o_orderkey", "o_custkey", "o_totalprice")
 
@@ -305,6 +313,7 @@ QUERIES = {
         """SELECT o_orderkey, o_custkey, o_totalprice, login FROM orders
            JOIN (VALUES ('42', 42), ('0042', 42), ('4e1', 40)) l(login, n) ON o_custkey = n""",
     ),
+    "policy_gold_decimal": (policy_gold_decimal, "SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey FROM orders WHERE o_custkey = 42"),
     "policy_relation": (
         policy_relation,
         """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
