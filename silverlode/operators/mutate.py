@@ -272,14 +272,23 @@ def affected_rows(df: DataFrame, steps: Sequence[Step]) -> DataFrame:
     return state.agg(F.array(*counts).alias("steps")).select(F.inline("steps"))
 
 
-def _measure(df: DataFrame, steps: Sequence[tuple[int, Step]]) -> tuple[dict[int, int], int]:
-    """Affected rows per step. Every value is hashed along the way, so a step whose values cannot be computed fails
-    here and not later, when the table is written."""
-    started = time.perf_counter()
-    state = _chain(df, steps)
-    values = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    row = state.agg(*[F.count_if(F.array_contains(HITS, n)).alias(f"s{n}") for n, _ in steps], values).first()
-    return {n: row[f"s{n}"] for n, _ in steps}, int((time.perf_counter() - started) * 1000)
+def _written(state: DataFrame) -> DataFrame:
+    """The state as a checkpoint: every value is computed, a step whose values cannot be computed fails here, and counts and
+    table are read from what was written."""
+    ensure_checkpoints(state.sparkSession)
+    return state.checkpoint()
+
+
+def _counts(state: DataFrame, steps: Sequence[tuple[int, Step]]) -> dict[int, int]:
+    """Affected rows per step, from one pass over a written state."""
+    if not steps:
+        return {}
+    row = state.agg(*[F.count_if(F.array_contains(HITS, n)).alias(f"s{n}") for n, _ in steps]).first()
+    return {n: row[f"s{n}"] for n, _ in steps}
+
+
+def _ms(started: float) -> int:
+    return int((time.perf_counter() - started) * 1000)
 
 
 @dataclass(frozen=True)
@@ -308,49 +317,59 @@ def _summary(df: DataFrame, rows: list[tuple]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, SUMMARY_SCHEMA)
 
 
+def _one_by_one(df: DataFrame, numbered: Sequence[tuple[int, Step]], stop: bool) -> tuple[DataFrame, DataFrame, int, dict[int, tuple[int, int]], dict[int, str]]:
+    """Each step on the written state before it, once: the state at the end, the state after the last TRUNCATE and that step's
+    number, rows and milliseconds of the steps that worked, and the errors."""
+    state = kept = _marked(df)
+    last, done, errors = 0, {}, {}
+    for n, step in numbered:
+        started = time.perf_counter()
+        try:
+            after = _written(_apply(state, n, step))
+        except _STEP_ERRORS as error:
+            errors[n] = str(error).splitlines()[0]
+            if stop:
+                break
+            continue
+        state, done[n] = after, (_counts(after, [(n, step)])[n], _ms(started))
+        if step.kind == "TRUNCATE":
+            kept, last = after, n
+    return state, kept, last, done, errors
+
+
 def run_batch(df: DataFrame, steps: Sequence[Step]) -> Batch:
-    """All steps or none. Stops at the first failure; a failed batch leaves the table as it was.
+    """All steps or none. Stops at the first failure; a failed batch leaves the table as it was, or as the last
+    TRUNCATE left it: truncating commits what came before and cannot be rolled back.
 
-    The good case is one job for the whole batch. Only after a failure are prefixes run to find the step to report.
+    The good case computes the whole batch once; its time is that of every row of the summary. Only after a failure are
+    the steps run one by one to find the one to report, each once.
     """
-    numbered = list(enumerate(steps, 1))
+    numbered, started = list(enumerate(steps, 1)), time.perf_counter()
     try:
-        counts, ms = _measure(df, numbered)
+        state = _written(_chain(df, numbered))
+        counts, ms = _counts(state, numbered), _ms(started)
         rows = [_row(n, s, DONE, counts[n], f"RowsAffected={counts[n]}", COMMITTED, ms) for n, s in numbered]
-        return Batch(True, _table(_chain(df, numbered)), _summary(df, rows))
+        return Batch(True, _table(state), _summary(df, rows))
     except _STEP_ERRORS:
         pass
+    _, kept, last, done, errors = _one_by_one(df, numbered, stop=True)
     rows = []
     for n, step in numbered:
-        try:
-            counts, ms = _measure(df, numbered[:n])
-            rows.append(_row(n, step, DONE, counts[n], f"RowsAffected={counts[n]}", ROLLED_BACK, ms))
-        except _STEP_ERRORS as error:
-            rows.append(_row(n, step, FAILED, -1, str(error).splitlines()[0], NOT_APPLIED, 0))
-            break
-    return Batch(False, df, _summary(df, rows))
+        if n in done:
+            rows.append(_row(n, step, DONE, done[n][0], f"RowsAffected={done[n][0]}", COMMITTED if n <= last else ROLLED_BACK, done[n][1]))
+        elif n in errors:
+            rows.append(_row(n, step, FAILED, -1, errors[n], NOT_APPLIED, 0))
+    return Batch(False, _table(kept) if last else df, _summary(df, rows))
 
 
 def run_lenient(df: DataFrame, steps: Sequence[Step]) -> Batch:
     """Every step on its own; a failed step is skipped and the others still count."""
     numbered = list(enumerate(steps, 1))
-    try:
-        _measure(df, numbered)
-        good = numbered
-        errors: dict[int, str] = {}
-    except _STEP_ERRORS:
-        good, errors = [], {}
-        for n, step in numbered:
-            try:
-                _measure(df, [*good, (n, step)])
-                good.append((n, step))
-            except _STEP_ERRORS as error:
-                errors[n] = str(error).splitlines()[0]
-    counts, ms = _measure(df, good) if good else ({}, 0)
+    state, _, _, done, errors = _one_by_one(df, numbered, stop=False)
     rows = [
         _row(n, s, FAILED, -1, errors[n], NOT_APPLIED, 0)
         if n in errors
-        else _row(n, s, DONE, counts[n], f"RowsAffected={counts[n]}", COMMITTED, ms)
+        else _row(n, s, DONE, done[n][0], f"RowsAffected={done[n][0]}", COMMITTED, done[n][1])
         for n, s in numbered
     ]
-    return Batch(not errors, _table(_chain(df, good)), _summary(df, rows))
+    return Batch(not errors, _table(state), _summary(df, rows))

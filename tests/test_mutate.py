@@ -111,3 +111,22 @@ def test_lenient_batch(spark, target):
     assert [r["Status"] for r in batch.summary.orderBy("No").collect()] == ["成功", "失敗", "失敗", "成功"]
     assert batch.outcome().collect()[0].asDict() == {"succeeded": 2, "failed": 2, "rows_affected": 2}
     assert batch.table.count() == 2
+
+
+def test_truncate_is_not_rolled_back(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    more = spark.createDataFrame([(3, "c")], "id long, name string")
+    steps = [mutate.delete_step("id = 1"), mutate.truncate_step(), mutate.insert_step(more), mutate.update_step({"nowhere": "x"})]
+    batch = mutate.run_batch(target, steps)
+    assert not batch.ok and batch.table.count() == 0
+    assert [(r["RowsAffected"], r["Permanent"]) for r in batch.summary.orderBy("No").collect()] == [
+        (1, mutate.COMMITTED), (1, mutate.COMMITTED), (1, mutate.ROLLED_BACK), (-1, mutate.NOT_APPLIED),
+    ]
+
+
+def test_keys_of_different_types(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    theirs = spark.createDataFrame([(1.5,), (2.0,)], "id double")
+    assert [r["id"] for r in mutate.difference(target, theirs, ["id"]).collect()] == [1]
+    large = spark.createDataFrame([(2**53 + 1, "x")], "id long, name string")
+    assert mutate.difference(large, spark.createDataFrame([(float(2**53),)], "id double"), ["id"]).count() == 1
