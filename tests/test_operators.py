@@ -107,6 +107,7 @@ def test_model_is_asked_once_per_prompt(spark, tmp_path):
     df = spark.range(1000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") < 900, F.concat(F.lit("p"), (F.col("id") % 5))).alias("p"))
     out = scoring.score_with_model(df, F.col("p"), model, "answer", calls=2)
     got = out.collect()
+    assert out.filter("answer = 'HOT'").count() == 334 and len(out.groupBy("answer").count().collect()) == 7  # two more consumers
     assert len(got) == 1000 and all(r["answer"] == (r["p"].upper() if r["p"] else None) for r in got)
     asked = [line for f in tmp_path.iterdir() for line in f.read_text().split("\n") if line]
     assert sorted(asked) == ["hot", "p0", "p1", "p2", "p3", "p4"]
