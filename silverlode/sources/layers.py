@@ -1,12 +1,14 @@
 """Versioned snapshots for Bronze, Silver and Gold.
 
-A layer is a folder. Version N lives in ``version=N`` and is never written again once it is published. A version is
-published by appending one row to the layer's ``manifest``, after its data is complete; readers see only published
-versions, so a job that dies half way leaves nothing visible. One writer per layer at a time.
+A layer is a folder. Every write has a data folder of its own, which nothing writes to again. A version is published after
+its data is complete, as the one row of ``manifest/version=N`` that names the data folder; readers see only published
+versions, so a job that dies half way leaves nothing visible. If two writers publish the same version, the second one
+fails and the published version stays as it is.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from silverlode.sources.tables import register_table, union_all
 
-MANIFEST_SCHEMA = "version long, row_count long, published_at timestamp"
+MANIFEST_SCHEMA = "row_count long, published_at timestamp, folder string, version long"
 
 
 @dataclass(frozen=True)
@@ -24,7 +26,11 @@ class Layer:
     root: str
 
     def path(self, version: int) -> str:
-        return f"{self.root.rstrip('/')}/version={version}"
+        """The data folder of a published version."""
+        row = self.versions().filter(F.col("version") == version).select("folder").first()
+        if row is None:
+            raise ValueError(f"version {version} of {self.root} is not published")
+        return f"{self.root.rstrip('/')}/{row[0]}"
 
     def versions(self) -> DataFrame:
         """Published versions; empty when nothing has been published."""
@@ -46,12 +52,13 @@ class Layer:
         if merge_schema and last is not None:
             empty_last = self.read(last).limit(0)
             df = empty_last.unionByName(df, allowMissingColumns=True)
-        df.write.mode("overwrite").parquet(self.path(version))
-        rows = self.spark.read.parquet(self.path(version)).count()  # footers only
-        row = self.spark.createDataFrame([(version, rows)], "version long, row_count long")
-        row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").json(
-            f"{self.root.rstrip('/')}/manifest"
-        )
+        root, folder = self.root.rstrip("/"), f"data-{uuid.uuid4().hex}"
+        df.write.mode("errorifexists").parquet(f"{root}/{folder}")
+        rows = self.spark.read.parquet(f"{root}/{folder}").count()  # footers only
+        row = self.spark.createDataFrame([(rows, folder)], "row_count long, folder string")
+        row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("errorifexists").json(f"{root}/manifest/version={version}")
+        if self.path(version) != f"{root}/{folder}":
+            raise RuntimeError(f"version {version} of {self.root} was published by another writer")
         return version
 
     def read(self, version: int | None = None) -> DataFrame:

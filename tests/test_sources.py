@@ -94,7 +94,7 @@ def test_layer_versions(spark):
     with pytest.raises(ValueError):
         layer.read(2)
     # Data without a manifest row is not visible.
-    first.write.parquet(layer.path(2))
+    first.write.parquet(f"{layer.root}/data-unfinished")
     assert layer.latest() == 1
     assert layer.write(first.limit(1)) == 2 and layer.read().count() == 1
     assert layer.register("layer_now").count() == 1 and layer.register("layer_now", 0).count() == 2
