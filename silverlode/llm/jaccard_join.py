@@ -11,8 +11,8 @@ of near copies.
 among itself: it is connected already, however large the group is.
 
 *Windows.* What is left are members of a region that belong to different components. By the triangle inequality two of
-them can link only if their distances to the pivot differ by no more than the threshold; these pairs, and no
-others, are compared exactly. Regions with one component drop out, and lengths that differ too much are never compared.
+them can link only if their distances to the pivot differ by no more than the threshold, and only if they share as many
+regions as the overlap of linked sets of their sizes demands; these pairs, and no others, are compared exactly. Regions with one component drop out, and lengths that differ too much are never compared.
 
 Equal sets are one set from the start (``min`` of the id per fingerprint); copies never are compared. Common shingles
 come last in the order: they are found by counts over all texts, so a line that many texts share makes no region unless
@@ -27,27 +27,47 @@ name it unless it has null ids only. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordHashes, mixed, slices, table, utf8, window_hashes, written
+from silverlode.llm.common import WordHashes, from_planes, mixed, planes, slices, table, utf8, window_hashes, written
 from silverlode.llm.components import components
 from silverlode.operators.skew import match
 
 WORDS, LEAST = 5, 75
 COMMON_KEPT = 1 << 16
-BLOCK_BYTES, COUNT_BYTES = 8_000_000, 32_000_000
+BLOCK_BYTES, COUNT_BYTES, BUCKET_BYTES = 8_000_000, 32_000_000, 32_000_000
+FILTER_BITS = 20
 _LONG = np.dtype("<u8")
 
 
-def shingles(raw: bytes, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
-    """The set of a text, ordered by hash."""
-    found = np.sort(window_hashes(hashes.of(raw.lower().split()), words))
-    return found[np.r_[True, found[1:] != found[:-1]]] if len(found) else found
+def shingles(raws: list[bytes], hashes: WordHashes, words: int = WORDS, run: int = 1_000_000) -> Iterator[np.ndarray]:
+    """The sets of some texts, each ordered by hash. Words are held for about ``run`` bytes at a time."""
+    start = 0
+    while start < len(raws):
+        stop, size = start, 0
+        while stop < len(raws) and (stop == start or size + len(raws[stop]) <= run):
+            size += len(raws[stop])
+            stop += 1
+        lists = [x.lower().split() for x in raws[start:stop]]
+        flat = hashes.of(list(chain.from_iterable(lists)))
+        windows = window_hashes(flat, words) if len(flat) >= words else flat
+        at = 0
+        for n in map(len, lists):
+            found = windows[at : at + n - words + 1] if n >= words else window_hashes(flat[at : at + n], words)
+            at += n
+            found = np.sort(found)
+            if len(found) > 1 and (double := found[1:] == found[:-1]).any():
+                found = found[np.r_[True, ~double]]
+            yield found
+        start = stop
 
 
 def fingerprint(found: np.ndarray) -> int:
@@ -64,7 +84,7 @@ def common_shingles(docs: DataFrame, text: str, words: int, kept: int = COMMON_K
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches, "raw", COUNT_BYTES):
-            sets = [shingles(x, hashes, words) for x in batch.column(0).to_pylist()]
+            sets = list(shingles(batch.column(0).to_pylist(), hashes, words))
             every = np.sort(np.concatenate(sets)) if sets else np.empty(0, _LONG)
             first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]]) if len(every) else np.empty(0, np.int64)
             count = np.diff(np.r_[first, len(every)])
@@ -78,45 +98,55 @@ def common_shingles(docs: DataFrame, text: str, words: int, kept: int = COMMON_K
     return np.sort(out, order="h")
 
 
-def leading(found: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
-    """The first shingles of a set in the common order, as many as a link needs."""
-    number = len(found) - -(-least * len(found) // 100) + 1
-    if len(common) and len(found):
-        at = np.minimum(np.searchsorted(common["h"], found), len(common) - 1)
-        count = np.where(common["h"][at] == found, common["n"][at], 0)
-        if count.any():
-            return found[np.lexsort((found, count))[:number]]
-    return found[:number]
+class Order:
+    """The common order of shingles: by count, as far as they are common, then by hash."""
+
+    def __init__(self, common: np.ndarray):
+        self.hashes, self.counts = common["h"], common["n"]
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def leading(self, found: np.ndarray, least: int) -> np.ndarray:
+        """The first shingles of a set, as many as a link needs."""
+        number = len(found) - -(-least * len(found) // 100) + 1
+        some = np.flatnonzero(self.seen[(found >> np.uint64(44)).astype(np.int64)])
+        if len(some):
+            at = np.minimum(np.searchsorted(self.hashes, found[some]), len(self.hashes) - 1)
+            count = np.where(self.hashes[at] == found[some], self.counts[at], 0)
+            if count.any():
+                every = np.zeros(len(found), np.int64)
+                every[some] = count
+                return found[np.lexsort((found, every))[:number]]
+        return found[:number]
 
 
 def _keys(docs: DataFrame, text: str, common: np.ndarray, words: int, least: int, buckets: int) -> DataFrame:
-    """Blocks of (shingle, set) for the leading shingles, one per task's block and bucket, and each row's set.
+    """Blocks of (shingle, set) for the leading shingles, and each row's set.
 
-    Rows with a ``bucket`` hold arrays: sets (``prints``, ``sizes``), and for each shingle (``keys``, in order) the set's
-    place (``places``). Rows without are one text each: ``row``, ``text_hash``, ``print``, ``size``.
+    Rows with ``keys`` are a task's block for a bucket: sets (``prints``, ``sizes``), and for each shingle (``keys``, in
+    order) the set's place (``places``). Rows without are one text each: ``id``, ``text_hash``, ``print``, ``size``.
     """
     columns = {"bucket": pa.int64(), "keys": pa.binary(), "places": pa.binary(), "prints": pa.binary(), "sizes": pa.binary(), "id": pa.int64(), "text_hash": pa.int64(), "print": pa.int64(), "size": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, order_of = WordHashes(), Order(common)
         for batch in slices(batches, "raw", BLOCK_BYTES):
-            prints, sizes, keys, places, own = [], [], [], [], {}
+            prints, sizes, keys, places, own = [], [], [], [], set()
             all_prints, all_sizes = [], []
-            for x in batch.column(2).to_pylist():
-                found = shingles(x, hashes, words)
+            for found in shingles(batch.column(2).to_pylist(), hashes, words):
                 mark = fingerprint(found)
                 all_prints.append(mark)
                 all_sizes.append(len(found))
-                if len(found) and (mark, len(found)) not in own:
-                    first = leading(found, common, least)
+                if len(found) and mark not in own:
+                    first = order_of.leading(found, least)
                     keys.append(first)
                     places.append(np.full(len(first), len(own), np.uint32))
-                    own[mark, len(found)] = None
+                    own.add(mark)
                     prints.append(mark)
                     sizes.append(len(found))
             n = batch.num_rows
-            nothing = [None] * n
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip([nothing, nothing, nothing, nothing, nothing, batch.column(0), batch.column(1), all_prints, all_sizes], columns.values(), strict=True)], names=list(columns))
+            spread = np.arange(n) % buckets
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip([spread, *[[None] * n] * 4, batch.column(0), batch.column(1), all_prints, all_sizes], columns.values(), strict=True)], names=list(columns))
             if not keys:
                 continue
             key, place = np.concatenate(keys), np.concatenate(places)
@@ -129,46 +159,59 @@ def _keys(docs: DataFrame, text: str, common: np.ndarray, words: int, least: int
             for b in range(buckets):
                 if cuts[b] < cuts[b + 1]:
                     mine, at = np.unique(place[cuts[b] : cuts[b + 1]], return_inverse=True)
-                    rows.append((b, key[cuts[b] : cuts[b + 1]].tobytes(), at.astype(np.uint32).tobytes(), print_[mine].tobytes(), size[mine].tobytes(), None, None, None, None))
+                    rows.append((b, key[cuts[b] : cuts[b + 1]].tobytes(), planes(at.astype(np.uint32)), print_[mine].tobytes(), planes(size[mine]), None, None, None, None))
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), columns.values(), strict=True)], names=list(columns))
 
     kinds = {pa.int64(): "long", pa.binary(): "binary"}
     return docs.mapInArrow(run, ", ".join(f"{k} {kinds[v]}" for k, v in columns.items()))
 
 
+_REGIONS = "region long, print long, size long, pivot long, pivot_size long, id long, text_hash long, is_set boolean"
+
+
 def _regions(group: pa.Table) -> pa.Table:
-    """Members of the regions of a bucket's shingles with two sets or more, each with the region's pivot."""
+    """Members of the regions of a bucket's shingles with two sets or more, each with the region's pivot; and the sets of rows as they came."""
+    rows = group.filter(pc.is_null(group["keys"]))
     keys, places, prints, sizes, base = [], [], [], [], 0
-    for k, p, f, n in zip(*(group[c].to_pylist() for c in ("keys", "places", "prints", "sizes")), strict=True):
+    blocks = group.filter(pc.is_valid(group["keys"]))
+    for k, p, f, n in zip(*(blocks[c].to_pylist() for c in ("keys", "places", "prints", "sizes")), strict=True):
         keys.append(np.frombuffer(k, _LONG))
-        places.append(np.frombuffer(p, np.uint32).astype(np.int64) + base)
+        places.append(from_planes(p, np.uint32).astype(np.int64) + base)
         prints.append(np.frombuffer(f, np.int64))
-        sizes.append(np.frombuffer(n, np.int64))
+        sizes.append(from_planes(n, np.int64))
         base += len(prints[-1])
-    key, place, print_, size = (np.concatenate(x) for x in (keys, places, prints, sizes))
+    none = [np.empty(0, np.int64)]
+    key, place, print_, size = (np.concatenate(x or none) for x in (keys, places, prints, sizes))
+    key = key.view(_LONG)
     order = np.argsort(key, kind="stable")
     key, place = key[order], place[order]
-    many = np.r_[False, key[1:] == key[:-1]]
+    many = np.zeros(len(key), bool)
+    many[1:] = key[1:] == key[:-1]
     many[:-1] |= many[1:]
     key, member, n = key[many], print_[place[many]], size[place[many]]
-    order = np.lexsort((n, member, mixed(member.view(_LONG)), key))
+    order = np.lexsort((member, mixed(member.view(_LONG)), key))
     key, member, n = key[order], member[order], n[order]
-    new = np.r_[True, (key[1:] != key[:-1]) | (member[1:] != member[:-1]) | (n[1:] != n[:-1])] if len(key) else np.empty(0, bool)
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
     key, member, n = key[new], member[new], n[new]  # the same set from different tasks
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.empty(0, np.int64)
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(head)
     count = np.diff(np.r_[first, len(key)])
     pivot = np.repeat(first, count)
     keep = np.repeat(count > 1, count)
-    values = (key.view(np.int64), member, n, member[pivot], n[pivot])
-    return pa.table({c: v[keep] for c, v in zip(("region", "print", "size", "pivot", "pivot_size"), values, strict=True)})
+    values = [v[keep] for v in (key.view(np.int64), member, n, member[pivot], n[pivot])]
+    empty, more = [None] * int(keep.sum()), [None] * rows.num_rows
+    columns = [(values[0], more), (values[1], rows["print"]), (values[2], rows["size"]), (values[3], more), (values[4], more), (empty, rows["id"]), (empty, rows["text_hash"]), ([False] * len(empty), [True] * len(more))]
+    kinds = {"long": pa.int64(), "boolean": pa.bool_()}
+    names = [x.split() for x in _REGIONS.split(", ")]
+    array = lambda v, t: v.combine_chunks() if isinstance(v, pa.ChunkedArray) else pa.array(v, t)
+    return pa.table({c: pa.chunked_array([array(v, kinds[t]) for v in pair]) for (c, t), pair in zip(names, columns, strict=True)})
 
 
 def _compared(texts: pa.Table, pairs: pa.Table, words: int) -> pa.Table:
     """Sizes of intersection and union of the pairs of a cell."""
-    hashes, sets = WordHashes(), {}
-    for mark, raw in zip(texts["print"].to_pylist(), texts["raw"].to_pylist(), strict=True):
-        if mark not in sets:
-            sets[mark] = shingles(raw, hashes, words)
+    sets = dict(zip(texts["print"].to_pylist(), shingles([zlib.decompress(x) for x in texts["packed"].to_pylist()], WordHashes(), words), strict=True))
     a, b = pairs["a"].to_pylist(), pairs["b"].to_pylist()
     both = []
     for x, y in zip(a, b, strict=True):
@@ -181,52 +224,92 @@ def _compared(texts: pa.Table, pairs: pa.Table, words: int) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "both": pa.array(both, pa.int64()), "either": pa.array(union, pa.int64())})
 
 
-def compare(pairs: DataFrame, texts: DataFrame, words: int = WORDS, cells: int = 64) -> DataFrame:
-    """(``a``, ``b``, ``both``, ``either``) for pairs of sets; ``texts`` has one ``raw`` text per ``print``."""
-    cell = [F.pmod(F.xxhash64("b"), F.lit(cells)).alias("p"), F.pmod(F.xxhash64("a", F.lit(1)), F.lit(4)).alias("q")]
-    placed = pairs.select("a", "b", *cell)
+def compare(pairs: DataFrame, texts: DataFrame, words: int = WORDS, cells: int = 64, crowd: int = 20_000) -> DataFrame:
+    """(``a``, ``b``, ``both``, ``either``) for pairs of sets; ``texts`` has one ``packed`` text per ``print``.
+
+    Pairs of the same ``home`` (their region's pivot) share a cell, so that a text is sent about once; a home with more
+    than ``crowd`` pairs is split by the hash of ``a``.
+    """
+    many = pairs.groupBy(F.col("home").alias("of")).agg(F.ceil(F.count("*") / crowd).alias("parts"))
+    sized = pairs.join(many, match([pairs["home"]], [many["of"]]), "inner")
+    placed = sized.select("a", "b", F.pmod(F.xxhash64("home"), F.lit(cells)).alias("p"), F.pmod(F.xxhash64("a", F.lit(1)), F.col("parts")).alias("q"))
     need = placed.select(F.col("a").alias("need"), "p", "q").union(placed.select(F.col("b").alias("need"), "p", "q")).distinct()
-    sent = need.join(texts, match([need["need"]], [texts["print"]]), "inner").select(F.col("p").alias("u"), F.col("q").alias("v"), "print", "raw")
+    sent = need.join(texts, match([need["need"]], [texts["print"]]), "inner").select(F.col("p").alias("u"), F.col("q").alias("v"), "print", "packed")
     out = "a long, b long, both long, either long"
     return sent.groupBy("u", "v").cogroup(placed.groupBy("p", "q")).applyInArrow(lambda x, y: _compared(x, y, words), out)
 
 
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(``print``, ``packed``): a compressed text for each wanted set (``print``, ``of_id``, ``of_hash``, ``times``).
+
+    A bit table of the wanted texts' hashes (``2 ** FILTER_BITS`` bits, whatever the corpus) keeps most other texts from
+    being shuffled; the join decides.
+    """
+    marks = wanted.select(F.pmod("of_hash", F.lit(1 << FILTER_BITS)).alias("m")).distinct().toPandas()["m"].to_numpy(np.int64)
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[marks] = True
+    packed_bits = np.packbits(bits).tobytes()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(packed_bits, np.uint8)).astype(bool)
+        for batch in batches:
+            batch = batch.filter(pa.array(known[batch.column(1).to_numpy() & ((1 << FILTER_BITS) - 1)]))
+            packed = pa.array([zlib.compress(x, 1) for x in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["id", "text_hash", "packed"])
+
+    some = rows.mapInArrow(run, "id long, text_hash long, packed binary")
+    same = match([some["id"], some["text_hash"]], [wanted["of_id"], wanted["of_hash"]], nulls_equal=True)
+    found = some.join(wanted, same, "inner")
+    once = found.where("times = 1").select("print", "packed")
+    return once.union(found.where("times > 1").select("print", "packed").dropDuplicates(["print"]))
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = WORDS, least: int = LEAST) -> DataFrame:
     """(``id``, ``text_hash``, ``print``, ``size``, ``component``) for each row: its set and the smallest id that links reach."""
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = int(max(4, min(8192, size // 4_000_000 + 1)))
+    buckets, cells = int(max(8, min(8192, size // BUCKET_BYTES + 1))), int(max(16, size // BLOCK_BYTES))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(utf8(text)).alias("text_hash"), utf8(text).alias("raw"))
     common = common_shingles(docs, text, words)
-    found = written(_keys(rows, text, common, words, least, buckets), "shingles")
-    sets = found.where("bucket is null").select("id", "text_hash", "print", "size")
-    blocks = found.where("bucket is not null").select("bucket", "keys", "places", "prints", "sizes")
-    regions = written(blocks.groupBy("bucket").applyInArrow(lambda g: _regions(g), "region long, print long, size long, pivot long, pivot_size long"), "regions")
+    blocks = _keys(rows, text, common, words, least, buckets)
+    found = written(blocks.groupBy("bucket").applyInArrow(lambda g: _regions(g), _REGIONS), "regions")
+    sets = found.where("is_set").select("id", "text_hash", "print", "size")
+    regions = found.where("not is_set").select("region", "print", "size", "pivot", "pivot_size")
     fits = lambda a, b: 100 * F.least(a, b) >= least * F.greatest(a, b)
-    own = sets.where("size > 0").groupBy("print").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_hash")).alias("of"))
-    needed = regions.select("print").distinct()
-    wanted = own.join(needed, match([own["print"]], [needed["print"]]), "left_semi")
-    same = match([rows["id"], rows["text_hash"]], [wanted["of.id"], wanted["of.text_hash"]], nulls_equal=True)
-    texts = written(rows.join(wanted, same, "inner").select("print", "raw").dropDuplicates(["print"]), "texts")
-    cells = int(max(16, size // 8_000_000))
+    own = sets.where("size > 0").groupBy("print", "id", "text_hash").agg(F.count("*").alias("times"))
+    own = own.groupBy("print").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_hash", "times")).alias("of"))
+    own = written(own.select("print", "id", F.col("of.id").alias("of_id"), F.col("of.text_hash").alias("of_hash"), F.col("of.times").alias("times")), "sets")
+
+    def distances(pairs: DataFrame) -> DataFrame:
+        pairs = written(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).distinct()
+        wanted = own.join(needed, match([own["print"]], [needed["p"]]), "left_semi").select("print", "of_id", "of_hash", "times")
+        return written(compare(pairs, _texts(rows, wanted), words, cells), "distances")
+
+    linked = lambda d: d.where(100 * F.col("both") >= least * F.col("either")).select("a", "b")
     first = regions.where((F.col("print") != F.col("pivot")) & fits(F.col("size"), F.col("pivot_size")))
     first = first.select(F.col("print").alias("a"), F.col("pivot").alias("b")).distinct()
-    measured = written(compare(first, texts, words, cells), "distances")
-    links = measured.where(100 * F.col("both") >= least * F.col("either")).select("a", "b")
+    measured = distances(first.withColumn("home", F.col("b")))
+    links = linked(measured)
     known = components(links)
     # Regions that still hold several components, and the windows of their members.
     part = regions.join(known, match([regions["print"]], [known["node"]]), "left").select("region", "print", "size", "pivot", F.coalesce("least", "print").alias("part"))
     open_ = part.groupBy("region").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select(F.col("region").alias("open"))
     left = part.join(open_, match([part["region"]], [open_["open"]]), "left_semi").where(F.col("print") != F.col("pivot"))
     away = measured.select(F.col("a").alias("m"), F.col("b").alias("of"), (1 - F.col("both") / F.col("either")).alias("away"))
-    left = left.join(away, match([left["print"], left["pivot"]], [away["m"], away["of"]]), "left").select("region", "print", "size", "part", "away")
+    left = left.join(away, match([left["print"], left["pivot"]], [away["m"], away["of"]]), "left").select("region", "pivot", "print", "size", "part", "away")
     left = written(left, "open")
-    a, b = (left.select("region", *[F.col(c).alias(f"{c}_{s}") for c in ("print", "size", "part", "away")]) for s in "ab")
+    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("region", "pivot", "print", "size", "part", "away")]) for s in "ab")
     window = F.abs(F.col("away_a") - F.col("away_b")) <= F.lit(1 - least / 100 + 1e-9)
-    pairs = a.join(b, "region").where((F.col("part_a") < F.col("part_b")) & fits(F.col("size_a"), F.col("size_b")) & F.coalesce(window, F.lit(True)))
-    pairs = pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b")).distinct()
-    more = written(compare(pairs, texts, words, cells), "distances")
-    more = more.where(100 * F.col("both") >= least * F.col("either")).select("a", "b")
-    whole = components(links.union(more))
+    apart = (F.col("part_a") < F.col("part_b")) & fits(F.col("size_a"), F.col("size_b")) & F.coalesce(window, F.lit(True))
+    met = a.join(b, match([F.col("region_a")], [F.col("region_b")]) & apart, "inner").groupBy("print_a", "print_b")
+    met = met.agg(F.count("*").alias("shared"), F.min("pivot_a").alias("home"), F.first("size_a").alias("m"), F.first("size_b").alias("n"))
+    # Of the leading shingles of the set whose leading part ends first, all that both sets hold are leading in both; so sets
+    # that link share more than one region, the more the larger they are.
+    overlap = F.expr(f"({least} * (m + n) + {99 + least}) div {100 + least}")
+    largest = F.expr(f"({least} * greatest(m, n) + 99) div 100")
+    pairs = met.where(F.col("shared") >= overlap - largest + 1)
+    more = distances(pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b"), "home"))
+    whole = components(links.union(linked(more)))
     tied = own.join(whole, match([own["print"]], [whole["node"]]), "left").select("print", "id", F.coalesce("least", "print").alias("least"))
     lowest = tied.groupBy(F.col("least").alias("lowest")).agg(F.min("id").alias("component"))
     per_set = tied.join(lowest, match([tied["least"]], [lowest["lowest"]]), "inner").select(F.col("print").alias("of"), "component")
