@@ -43,27 +43,30 @@ def _fold_table() -> np.ndarray:
     return out
 
 
-_FOLD: list[np.ndarray] = []
+_TABLES: list[np.ndarray] = []  # folded symbols, letters
 
 
 def folded(raw: bytes) -> np.ndarray:
     """Symbols of a UTF-8 text, runs of blanks as one, a blank before and after; empty without a letter."""
-    if not _FOLD:
-        _FOLD.append(_fold_table())
+    if not _TABLES:
+        _TABLES.extend([_fold_table(), np.array([chr(c).isalpha() for c in range(0x10000)])])
+    fold, letter = _TABLES
     points = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     if len(points) and points.max() > 0xFFFF:
         high = points > 0xFFFF
         letters = np.array([chr(c).isalpha() for c in points[high].tolist()], bool)
+        worded = letters.any()
         points = points.copy()
         points[high] = np.where(letters, 0xE000 + points[high] % 0x1900, 0)
-        symbols = _FOLD[0][points]
+        worded |= letter[points].any()
+        symbols = fold[points]
         symbols[high] = np.where(letters, points[high], BLANK)
     else:
-        symbols = _FOLD[0][points]
+        worded, symbols = letter[points].any(), fold[points]
     keep = np.ones(len(symbols), bool)
     keep[1:] = (symbols[1:] != BLANK) | (symbols[:-1] != BLANK)
     symbols = symbols[keep]
-    if not (symbols != BLANK).any():
+    if not worded:
         return symbols[:0]
     return np.concatenate([[BLANK], symbols[int(symbols[0] == BLANK) :], [BLANK] * int(symbols[-1] != BLANK)]).astype(np.uint64)
 
@@ -157,7 +160,8 @@ class Model:
 
 
 def bucket(column: str, modulus: int = 3) -> Column:
-    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus))
+    """Hash class of an id; null is in class 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(modulus)), F.lit(0))
 
 
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", rows_per_language: int = ROWS_PER_LANGUAGE, order: int = ORDER) -> Model:
@@ -166,8 +170,11 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang", rows_per_lang
     ensure_checkpoints(spark)
     raw = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("h"), F.col(text).cast("binary").alias("raw"))
     # The same text (a group of copies) is drawn once.
+    different = raw.select("lang", "h").distinct()
+    share = 3.0 * rows_per_language / F.col("n")  # of the hash range; three times what is wanted, whatever the language's size
+    low = different.join(F.broadcast(different.groupBy("lang").agg(F.count("*").alias("n"))), "lang").where((F.col("h") + 2.0**63) / 2.0**64 < share)
     order_by = Window.partitionBy("lang").orderBy("h")
-    hashes = raw.select("lang", "h").distinct().withColumn("n", F.row_number().over(order_by)).where(F.col("n") <= rows_per_language).select("lang", "h")
+    hashes = low.withColumn("n", F.row_number().over(order_by)).where(F.col("n") <= rows_per_language).select("lang", "h")
     picked = raw.join(F.broadcast(hashes), ["lang", "h"], "left_semi")  # rows_per_language keys per language
     picked = picked.dropDuplicates(["lang", "h"]).checkpoint()
 
