@@ -37,7 +37,7 @@ MODEL = "piece_bpe_32k.model"
 BLANK = "▁"
 UNIT = re.compile(f"{BLANK}+[^{BLANK}]*|[^{BLANK}]+")
 OFFSET, POWER = 2.7, 1.0
-BATCH_BYTES = 12_000_000
+BATCH_BYTES = 4_000_000
 _ODD = np.uint64(0x2545F4914F6CDD1D)
 _SPELLED = 1 << 24
 
@@ -67,9 +67,9 @@ class Vocabulary:
             hashes = piece_hashes(codes.ravel(), np.arange(len(ids)) * n, n) if len(ids) else np.empty(0, np.uint64)
             order = np.argsort(hashes)
             weights = np.array([-POWER * np.log(rank[i] + OFFSET) - norm for i in ids])
-            seen = np.zeros(1 << 16, bool)
-            seen[(hashes >> np.uint64(48)).astype(np.int64)] = True
-            self.by_length.append((hashes[order], ids[order], weights[order], seen))
+            seen = np.zeros(1 << 18, bool)
+            seen[(hashes >> np.uint64(46)).astype(np.int64)] = True
+            self.by_length.append((hashes[order], ids[order].astype(np.int32), weights[order], seen))
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids; a leading blank was added by the encoder and goes."""
@@ -113,71 +113,68 @@ class Lattice:
         self.end = np.cumsum(sizes)
         self.start = self.end - sizes
         n, width = len(codes), vocabulary.longest
-        left = np.repeat(self.end, sizes) - np.arange(n)  # characters to the unit's end
-        sources, pieces, weights, lengths = [], [], [], []
-        hashes, at = np.zeros(n, np.uint64), np.arange(n)
-        bare = np.ones(n, bool)
+        left = (np.repeat(self.end, sizes) - np.arange(n)).astype(np.int32)  # characters to the unit's end
+        found: list[tuple[np.ndarray, ...]] = []  # per length: source, rank among its edges, piece, weight
+        hashes, at = np.zeros(n, np.uint64), np.arange(n, dtype=np.int32)
+        self.degree = np.zeros(n, np.int32)
         for length in range(1, width + 1):
-            on = left[at] >= length
-            at, hashes = at[on], hashes[on]
+            if length > 1:
+                on = np.flatnonzero(left[at] >= length)
+                at, hashes = at[on], hashes[on]
             if not len(at):
                 break
-            hashes = (hashes + codes[at + length - 1].astype(np.uint64) + np.uint64(1)) * _ODD
+            hashes = (hashes + codes[at + (length - 1)].astype(np.uint64) + np.uint64(1)) * _ODD
             known, ids, weight, seen = vocabulary.by_length[length - 1]
-            if not len(known):
-                continue
-            key = mixed(hashes)
-            some = np.flatnonzero(seen[(key >> np.uint64(48)).astype(np.int64)])
-            place = np.minimum(np.searchsorted(known, key[some]), len(known) - 1)
-            hit = known[place] == key[some]
-            source, place = at[some[hit]], place[hit]
+            if len(known):
+                key = mixed(hashes)
+                some = np.flatnonzero(seen[(key >> np.uint64(46)).astype(np.int64)])
+                key = key[some]
+                place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                hit = np.flatnonzero(known[place] == key)
+                source, place = at[some[hit]], place[hit]
+                found.append((source, self.degree[source], ids[place], weight[place], length))
+                self.degree[source] += 1
             if length == 1:
-                bare[source] = False
-            sources.append(source)
-            pieces.append(ids[place])
-            weights.append(weight[place])
-            lengths.append(np.full(len(source), length))
-        spelled = np.flatnonzero(bare)
-        code = codes[spelled].astype(np.int64)
-        sources.append(spelled)
-        pieces.append(np.where(code < 128, vocabulary.byte_ids[np.minimum(code, 127)], _SPELLED + code))
-        weights.append((1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)) * vocabulary.byte_weight)
-        lengths.append(np.ones(len(spelled), np.int64))
-        source, piece, weight, length = (np.concatenate(x) for x in (sources, pieces, weights, lengths))
-        order = np.argsort(source * (width + 1) + length, kind="stable")  # sorted runs, one per length
-        source, self.piece, weight, self.length = source[order], piece[order], weight[order], length[order]
-        self.degree = np.bincount(source, minlength=n)
-        self.first = np.r_[0, np.cumsum(self.degree)]
+                source = np.flatnonzero(self.degree == 0).astype(np.int32)
+                code = codes[source].astype(np.int32)
+                piece = np.where(code < 128, vocabulary.byte_ids[np.minimum(code, 127)], _SPELLED + code).astype(np.int32)
+                found.append((source, self.degree[source], piece, (1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF)) * vocabulary.byte_weight, 1))
+                self.degree[source] = 1
+        self.first = np.r_[0, np.cumsum(self.degree, dtype=np.int64)]
+        edges = int(self.first[-1])
+        source, self.piece, weight, self.length = np.empty(edges, np.int32), np.empty(edges, np.int32), np.empty(edges), np.empty(edges, np.int32)
+        rank = np.empty(edges, np.int32)
+        while found:
+            of, turn, piece, w, length = found.pop()
+            to = self.first[of] + turn
+            source[to], rank[to], self.piece[to], weight[to], self.length[to] = of, turn, piece, w, length
         # Mass from each position to the unit's end, from the back, all units at once.
         mass = np.zeros(n + 1)
-        target = source + self.length
-        inner = target < np.repeat(self.end, sizes)[source] if n else target < 0
-        distance = left[source] if n else target
-        if len(distance) and distance.max() < 1 << 16:
-            distance = distance.astype(np.uint16)
-        order = np.argsort(distance, kind="stable")
-        cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(distance[order]) > 0]), len(order)] if len(order) else [0]
+        distance = left[source]
+        inner = self.length < distance
+        order = np.argsort(distance.astype(np.uint16) if n and distance.max() < 1 << 16 else distance, kind="stable")
+        cuts = np.r_[np.flatnonzero(np.r_[True, np.diff(distance[order]) > 0]), edges] if edges else [0]
         total = weight
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             e = order[a:b]
-            total[e] += np.where(inner[e], mass[np.minimum(target[e], n - 1)], 0)
             from_ = source[e]
-            head = np.flatnonzero(np.r_[True, from_[1:] != from_[:-1]])
-            top = np.maximum.reduceat(total[e], head)
+            value = total[e]
+            some = np.flatnonzero(inner[e])
+            value[some] += mass[from_[some] + self.length[e[some]]]
+            total[e] = value
+            head = np.flatnonzero(rank[e] == 0)
+            top = np.maximum.reduceat(value, head)
             count = np.diff(np.r_[head, len(e)])
-            mass[from_[head]] = top + np.log(np.add.reduceat(np.exp(total[e] - np.repeat(top, count)), head))
+            mass[from_[head]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, count)), head))
         self.log = total - mass[source]
-        rank = np.arange(len(source)) - self.first[source]
         chance = np.zeros((n, int(self.degree.max(initial=1))), np.float32)
         chance[source, rank] = np.exp(self.log)
         self.upto = np.cumsum(chance, 1)
 
 
-def uniform(*parts: np.ndarray) -> np.ndarray:
-    """Hash of the parts as a number in (0, 1)."""
-    out = np.uint64(0)
-    for x in parts:
-        out = mixed((out ^ np.asarray(x).astype(np.uint64)) + STEP)
+def uniform(seeds: np.ndarray, number: np.ndarray | int) -> np.ndarray:
+    """Hash of (mixed) seeds and numbers as a number in (0, 1)."""
+    out = mixed(seeds + (np.asarray(number).astype(np.uint64) + np.uint64(1)) * STEP)
     return ((out >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -191,10 +188,11 @@ class Paths:
         sizes = np.diff(np.r_[starts, len(text)])
         self.rows, self.starts, self.sizes = text[starts], starts, sizes
         self.step = np.arange(len(text)) - np.repeat(starts, sizes)
-        total = np.cumsum(self.log)
-        base = np.repeat((total - self.log)[starts] if len(text) else total, sizes)
-        self.before = total - self.log - base  # log-probability of the steps before
-        self.total = (total - base)[starts + sizes - 1] if len(text) else total
+        upto = np.empty(len(text))
+        for a, n in zip(starts.tolist(), sizes.tolist(), strict=True):  # each on its own: sums don't depend on the batch
+            np.cumsum(self.log[a : a + n], out=upto[a : a + n])
+        self.before = upto - self.log  # log-probability of the steps before
+        self.total = upto[starts + sizes - 1] if len(text) else upto
 
 
 def draw(units: np.ndarray, place: np.ndarray, lattice: Lattice, keys: np.ndarray, number: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -314,7 +312,7 @@ def _search(kinds: np.ndarray, n_units: np.ndarray, keys: np.ndarray, k: int, la
         return out
     who, place, edge = draw(kinds, lattice.start[kinds], lattice, keys[text], number, 0)
     paths = Paths(text[who], who, place, edge, lattice)
-    value = -np.log(-np.log(uniform(keys[paths.rows], np.uint64(1) << np.uint64(42))))
+    value = -np.log(-np.log(uniform(mixed(keys[paths.rows] + STEP), np.full(len(paths.rows), 1 << 42))))
     spaces = [Subspaces(paths, value, np.zeros(len(value), np.int64), np.zeros(len(value), np.int64), lattice, keys, 0)]
     found = [(paths, value)]
     for j in range(1, k + 1):
@@ -360,7 +358,7 @@ def _search(kinds: np.ndarray, n_units: np.ndarray, keys: np.ndarray, k: int, la
         spaces.append(Subspaces(paths, value[order], first[order], gone[order], lattice, keys, j))
         found.append((paths, value[order]))
     for paths, value in found:
-        ids = lattice.piece[paths.edge]
+        ids = lattice.piece[paths.edge].astype(np.int64)
         spelled = np.flatnonzero(ids >= _SPELLED)
         cuts = paths.starts
         if len(spelled):
