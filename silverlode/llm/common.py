@@ -15,7 +15,7 @@ from silverlode.session import work_folder
 
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 STEP = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 60_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

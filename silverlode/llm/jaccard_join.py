@@ -10,6 +10,9 @@ of near copies.
 *Distances.* Every member is compared with its region's pivot, exactly. What links to the pivot needs no comparison
 among itself: it is connected already, however large the group is.
 
+Regions of ``CROWDED`` members or more whose members are still apart get up to ``TURNS`` more pivots in turn, chosen by another
+mix of the fingerprint each time, which merges most of what links at all.
+
 *Windows.* What is left are members of a region that belong to different components. By the triangle inequality two of
 them can link only if their distances to the pivot differ by no more than the threshold, and only if they share as many
 regions as the overlap of linked sets of their sizes demands; these pairs, and no others, are compared exactly. Regions with one component drop out, and lengths that differ too much are never compared.
@@ -34,7 +37,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm.common import WordHashes, from_planes, mixed, planes, slices, table, utf8, window_hashes, written
@@ -43,8 +46,9 @@ from silverlode.operators.skew import match
 
 WORDS, LEAST = 5, 75
 COMMON_KEPT = 1 << 16
-BLOCK_BYTES, COUNT_BYTES, BUCKET_BYTES = 8_000_000, 32_000_000, 32_000_000
+BLOCK_BYTES, COUNT_BYTES, BUCKET_BYTES = 8_000_000, 8_000_000, 16_000_000
 FILTER_BITS = 20
+CROWDED, TURNS = 24, 3
 _LONG = np.dtype("<u8")
 
 
@@ -279,37 +283,64 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     own = own.groupBy("print").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_hash", "times")).alias("of"))
     own = written(own.select("print", "id", F.col("of.id").alias("of_id"), F.col("of.text_hash").alias("of_hash"), F.col("of.times").alias("times")), "sets")
 
-    def distances(pairs: DataFrame) -> DataFrame:
-        pairs = written(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("p")).union(pairs.select("b")).distinct()
+    def texts_of(needed: DataFrame) -> DataFrame:
         wanted = own.join(needed, match([own["print"]], [needed["p"]]), "left_semi").select("print", "of_id", "of_hash", "times")
-        return written(compare(pairs, _texts(rows, wanted), words, cells), "distances")
+        return written(_texts(rows, wanted), "texts")
 
     linked = lambda d: d.where(100 * F.col("both") >= least * F.col("either")).select("a", "b")
+    star = lambda known: known.select(F.col("node").alias("a"), F.col("least").alias("b"))
+    with_part = lambda r, known: r.join(known, match([r["print"]], [known["node"]]), "left").select(*r.columns, F.coalesce("least", "print").alias("part"))
+    degree = written(regions.groupBy(F.col("print").alias("of")).agg(F.count("*").alias("regions")), "degrees")
+
+    def shared_at_least(m: Column, n: Column) -> Column:
+        """Of the leading shingles of the set whose leading part ends first, all that both sets hold are leading in both; so
+        sets of sizes m and n that link share at least so many regions."""
+        overlap = F.floor((least * (m + n) + (99 + least)) / (100 + least))
+        return overlap - F.floor((least * F.greatest(m, n) + 99) / 100) + 1
+
+    def with_degree(pairs: DataFrame, column: str, name: str) -> DataFrame:
+        joined = pairs.join(degree, match([pairs[column]], [degree["of"]]), "inner")
+        return joined.select(*pairs.columns, F.col("regions").alias(name))
+
     first = regions.where((F.col("print") != F.col("pivot")) & fits(F.col("size"), F.col("pivot_size")))
-    first = first.select(F.col("print").alias("a"), F.col("pivot").alias("b")).distinct()
-    measured = distances(first.withColumn("home", F.col("b")))
-    links = linked(measured)
-    known = components(links)
+    first = first.select(F.col("print").alias("a"), F.col("pivot").alias("b"), F.col("size").alias("m"), F.col("pivot_size").alias("n")).distinct()
+    first = with_degree(with_degree(first, "a", "ra"), "b", "rb")
+    first = written(first.where(F.least("ra", "rb") >= shared_at_least(F.col("m"), F.col("n"))).select("a", "b"), "pairs")
+    crowded = regions.groupBy(F.col("region").alias("of")).agg(F.count("*").alias("n")).where(F.col("n") >= CROWDED)
+    crowded = regions.join(crowded, match([regions["region"]], [crowded["of"]]), "left_semi").select("region", "print", "size")
+    crowded = written(with_degree(crowded, "print", "regions"), "crowded")
+    needed = first.select(F.col("a").alias("p")).union(first.select("b")).union(crowded.select("print")).distinct()
+    texts = texts_of(needed)
+    measured = written(compare(first.withColumn("home", F.col("b")), texts, words, cells), "distances")
+    known = components(linked(measured))
+    # Crowded regions get further pivots, each compared with the members of other components.
+    for turn in range(1, TURNS + 1):
+        part = with_part(crowded, known)
+        chosen = part.groupBy(F.col("region").alias("of")).agg(F.min_by(F.struct("print", "size", "part", "regions"), F.struct(F.xxhash64("print", F.lit(turn)), "print")).alias("v"))
+        met = part.join(chosen, match([part["region"]], [chosen["of"]]) & (F.col("part") != F.col("v.part")) & fits(F.col("size"), F.col("v.size")), "inner")
+        met = met.where(F.least("regions", "v.regions") >= shared_at_least(F.col("size"), F.col("v.size")))
+        pairs = written(met.select(F.col("print").alias("a"), F.col("v.print").alias("b")).distinct(), "pairs")
+        if pairs.isEmpty():
+            break
+        new = linked(compare(pairs.withColumn("home", F.col("b")), texts, words, cells))
+        known = components(star(known).union(new))
     # Regions that still hold several components, and the windows of their members.
-    part = regions.join(known, match([regions["print"]], [known["node"]]), "left").select("region", "print", "size", "pivot", F.coalesce("least", "print").alias("part"))
+    part = with_part(regions, known)
     open_ = part.groupBy("region").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select(F.col("region").alias("open"))
     left = part.join(open_, match([part["region"]], [open_["open"]]), "left_semi").where(F.col("print") != F.col("pivot"))
     away = measured.select(F.col("a").alias("m"), F.col("b").alias("of"), (1 - F.col("both") / F.col("either")).alias("away"))
     left = left.join(away, match([left["print"], left["pivot"]], [away["m"], away["of"]]), "left").select("region", "pivot", "print", "size", "part", "away")
-    left = written(left, "open")
-    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("region", "pivot", "print", "size", "part", "away")]) for s in "ab")
+    left = written(with_degree(left, "print", "regions"), "open")
+    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("region", "pivot", "print", "size", "part", "away", "regions")]) for s in "ab")
     window = F.abs(F.col("away_a") - F.col("away_b")) <= F.lit(1 - least / 100 + 1e-9)
-    apart = (F.col("part_a") < F.col("part_b")) & fits(F.col("size_a"), F.col("size_b")) & F.coalesce(window, F.lit(True))
+    enough = F.least("regions_a", "regions_b") >= shared_at_least(F.col("size_a"), F.col("size_b"))
+    apart = enough & (F.col("part_a") < F.col("part_b")) & fits(F.col("size_a"), F.col("size_b")) & F.coalesce(window, F.lit(True))
     met = a.join(b, match([F.col("region_a")], [F.col("region_b")]) & apart, "inner").groupBy("print_a", "print_b")
     met = met.agg(F.count("*").alias("shared"), F.min("pivot_a").alias("home"), F.first("size_a").alias("m"), F.first("size_b").alias("n"))
-    # Of the leading shingles of the set whose leading part ends first, all that both sets hold are leading in both; so sets
-    # that link share more than one region, the more the larger they are.
-    overlap = F.expr(f"({least} * (m + n) + {99 + least}) div {100 + least}")
-    largest = F.expr(f"({least} * greatest(m, n) + 99) div 100")
-    pairs = met.where(F.col("shared") >= overlap - largest + 1)
-    more = distances(pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b"), "home"))
-    whole = components(links.union(linked(more)))
+    pairs = met.where(F.col("shared") >= shared_at_least(F.col("m"), F.col("n")))
+    pairs = written(pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b"), "home"), "pairs")
+    more = linked(compare(pairs, texts_of(pairs.select(F.col("a").alias("p")).union(pairs.select("b")).distinct()), words, cells))
+    whole = components(star(known).union(more))
     tied = own.join(whole, match([own["print"]], [whole["node"]]), "left").select("print", "id", F.coalesce("least", "print").alias("least"))
     lowest = tied.groupBy(F.col("least").alias("lowest")).agg(F.min("id").alias("component"))
     per_set = tied.join(lowest, match([tied["least"]], [lowest["lowest"]]), "inner").select(F.col("print").alias("of"), "component")
