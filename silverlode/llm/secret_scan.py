@@ -1,7 +1,7 @@
 """Secrets in texts, also inside URL, Unicode, base64 and compressed layers.
 
-The base patterns are matched on the whole text. Then a worklist unwraps layers: each encoded run of a text becomes a
-new text, which is scanned and searched for further layers, until nothing new appears. A layer whose content was met
+The base patterns are matched on the whole text. Then a worklist unwraps layers: all URL runs of a text, all its Unicode
+escapes and each base64 run become a new text, which is scanned and searched for further layers, until nothing new appears. A layer whose content was met
 before is not entered again, so a text that decodes to itself ends. Every character of a layer remembers the span of
 the original text it came from (one span for a whole base64 or compressed run), so all findings have spans there.
 
@@ -21,6 +21,7 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from silverlode.llm.common import batches_of, schema_of, table, utf8
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
+# The same at every place, also inside another match: decoded blanks and quotes may end a value early.
+EACH_ASSIGN = re.compile(f"(?={ASSIGN.pattern})", re.ASCII)
 KINDS = ("assign", "access", "hex")
 HINTS = ("passw", "secret", "token", "api")
 
@@ -38,18 +41,17 @@ PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-TOKEN = re.compile(r"\S+")
 MAX_LAYER = 8_000_000
 
 Span = tuple[int, int]
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
+def base_spans(text: str, assign: re.Pattern = ASSIGN) -> list[tuple[int, int, int]]:
     """(start, end, kind number) of the base patterns, ordered so."""
     found = []
     lower = text.lower()
     if any(x in lower for x in HINTS):
-        found += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+        found += [(m.start(), m.end(2), 0) for m in assign.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
@@ -57,15 +59,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A decoded text; ``at[i]`` is the original span of its character i, or ``whole`` the span of all of them."""
+    """A decoded text; character i comes from ``starts[i]`` to ``ends[i]`` of the original, or all from ``whole``."""
 
-    def __init__(self, text: str, at: list[Span] | None, whole: Span | None):
+    def __init__(self, text: str, at: tuple[np.ndarray, np.ndarray] | None, whole: Span | None):
         self.text, self.at, self.whole = text, at, whole
 
     def span(self, start: int, end: int) -> Span:
         if self.at is None:
             return self.whole or (start, end)
-        return self.at[start][0], max(x[1] for x in self.at[start:end])
+        return int(self.at[0][start]), int(self.at[1][end - 1])
+
+    def rewritten(self, pieces: list[tuple[int, int, str]]) -> Layer:
+        """The text with each piece (start, end) replaced by one character."""
+        parts, last = [], 0
+        for start, end, c in pieces:
+            parts += [self.text[last:start], c]
+            last = end
+        text = "".join([*parts, self.text[last:]])
+        if self.whole:
+            return Layer(text, None, self.whole)
+        first, stop = (np.fromiter((x[k] for x in pieces), np.int64, len(pieces)) for k in (0, 1))
+        shrunk = np.r_[0, np.cumsum(stop - first - 1)]
+        place = first - shrunk[:-1]
+        starts = np.arange(len(text)) + np.repeat(shrunk, np.diff(np.r_[0, place + 1, len(text)]))
+        ends = starts + 1
+        ends[place] = stop
+        return Layer(text, (starts, ends) if self.at is None else (self.at[0][starts], self.at[1][ends - 1]), None)
 
 
 def readable(data: bytes) -> str | None:
@@ -100,53 +119,35 @@ def unpacked(data: bytes, most: int) -> tuple[bytes | None, bool]:
     return None, False
 
 
-def _percent(token: str, offset: int, layer: Layer) -> Layer | None:
-    text, at, last = [], [], 0
-    for m in PERCENT_RUN.finditer(token):
-        for i in range(last, m.start()):
-            text.append(token[i])
-            at.append(layer.span(offset + i, offset + i + 1))
-        plain = unquote_to_bytes(m[0]).decode("utf-8", "replace")
+def _percent(layer: Layer) -> Layer:
+    """All URL runs of a text decoded at once; bytes that are no UTF-8 become U+FFFD one by one."""
+    pieces = []
+    for m in PERCENT_RUN.finditer(layer.text):
         used = m.start()
-        for c in plain:
-            width = 3 * len(c.encode()) if c != "\ufffd" else 3
-            text.append(c)
-            at.append(layer.span(offset + used, min(offset + used + width, offset + m.end())))
-            used = min(used + width, m.end() - 3)
-        last = m.end()
-    for i in range(last, len(token)):
-        text.append(token[i])
-        at.append(layer.span(offset + i, offset + i + 1))
-    return Layer("".join(text), at, None)
-
-
-def _escapes(token: str, offset: int, layer: Layer) -> Layer | None:
-    text, at, last = [], [], 0
-    for m in ESCAPE.finditer(token):
-        for i in range(last, m.start()):
-            text.append(token[i])
-            at.append(layer.span(offset + i, offset + i + 1))
+        for c in unquote_to_bytes(m[0]).decode("utf-8", "surrogateescape"):
+            lost = 0xDC80 <= ord(c) < 0xDD00
+            width = 3 if lost else 3 * len(c.encode())
+            pieces.append((used, used + width, "\ufffd" if lost else c))
+            used += width
+    return layer.rewritten(pieces)
+
+
+def _escapes(layer: Layer) -> Layer:
+    """All Unicode escapes of a text decoded at once."""
+    pieces = []
+    for m in ESCAPE.finditer(layer.text):
         number = int(m[5]) if m[5] else int(m[1] or m[2] or m[3] or m[4], 16)
-        text.append(chr(number) if number < 0x110000 and not 0xD800 <= number < 0xE000 else "\ufffd")
-        at.append(layer.span(offset + m.start(), offset + m.end()))
-        last = m.end()
-    for i in range(last, len(token)):
-        text.append(token[i])
-        at.append(layer.span(offset + i, offset + i + 1))
-    return Layer("".join(text), at, None)
+        pieces.append((m.start(), m.end(), chr(number) if number < 0x110000 and not 0xD800 <= number < 0xE000 else "\ufffd"))
+    return layer.rewritten(pieces)
 
 
 def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
     """The layers directly inside a text, and whether one was longer than ``most``."""
     text = layer.text
     if "%" in text and PERCENT.search(text):
-        for m in TOKEN.finditer(text):
-            if "%" in m[0] and PERCENT.search(m[0]):
-                yield _percent(m[0], m.start(), layer), False
-    if "\\" in text or "&#" in text:
-        for m in TOKEN.finditer(text):
-            if ("\\" in m[0] or "&#" in m[0]) and ESCAPE.search(m[0]):
-                yield _escapes(m[0], m.start(), layer), False
+        yield _percent(layer), False
+    if ("\\" in text or "&#" in text) and ESCAPE.search(text):
+        yield _escapes(layer), False
     for m in BASE64.finditer(text):
         body = m[0].rstrip("=")
         if len(body) % 4 == 1:
@@ -175,7 +176,7 @@ def scan(text: str, most: int = MAX_LAYER) -> tuple[list[tuple[int, int, int]],
                 continue
             seen.add(key)
             entered += 1
-            spans.update((*inner.span(a, b), kind) for a, b, kind in base_spans(inner.text))
+            spans.update((*inner.span(a, b), kind) for a, b, kind in base_spans(inner.text, EACH_ASSIGN))
             work.append(inner)
     return base, sorted(spans, key=lambda x: (x[0], x[2], x[1])), entered, over
 
