@@ -2,7 +2,9 @@
 
 A text is cut into sentences (at ``. ! ? ;`` before white space, at ``:`` before a line end). A sentence is normalised: ASCII lower case, everything
 but letters and digits becomes one blank. Known sentences have identifiers; where a sentence over several lines
-is not known, its lines are looked up one by one. The identifiers, in the order of the text, make a sequence; unknown
+is not known, all runs of its neighbouring lines are looked up, from the left and the longest first, so a title, a copyright
+line or a URL without a full stop, blank lines and comment leaders do not hide what stands beside them. (The SQL looks up single
+lines only and agrees where no notice is wrapped beside an unterminated line.) The identifiers, in the order of the text, make a sequence; unknown
 sentences between them do not count. Rules are ordered, each a sequence of identifiers and a licence: a rule that occurs
 takes its identifiers out of the sequence, so a long rule stands before the short ones that it contains.
 
@@ -78,10 +80,12 @@ HINTS = ["licens", "warrant", "permi", "redistribut", "liab", "rights reserved",
 
 ENDS = "[.!?;]+[ \t\n\r\f\x0b]|:[ \t\r]*\n"
 CUT = "\x01"
+# Comment leaders that would cut or spoil a line; others are neither letters nor digits.
+LEADERS = "(?im)^[ \t]*(?:;+|(?:rem|dnl)(?=[ \t]))"
 
 
 def normal(sentence: str) -> str:
-    """The Python form of ``_normal``, for the known sentences."""
+    """A known sentence as it is looked up."""
     kept = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence)
     return " ".join(kept.lower().split())
 
@@ -91,23 +95,19 @@ def known_sentences() -> dict[str, str]:
     return {normal(x): name for name, forms in SENTENCES.items() for x in forms}
 
 
-def _normal(sentence: Column) -> Column:
-    lower = F.translate(sentence, string.ascii_uppercase, string.ascii_lowercase)
-    return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
-
-
 def sentence_ids(text: str) -> Column:
     """Identifiers of the known sentences of a text, in order."""
-    known = F.create_map(*[F.lit(x) for pair in sorted(known_sentences().items()) for x in pair])
-    look = lambda x: F.element_at(known, _normal(x))
-
-    def of(sentence: Column) -> Column:
-        lines = F.filter(F.transform(F.split(sentence, "\n"), look), lambda x: x.isNotNull())
-        return F.when(look(sentence).isNotNull(), F.array(look(sentence))).when(sentence.contains("\n"), lines).otherwise(F.array().cast("array<string>"))
-
-    joined = F.regexp_replace(F.col(text), ENDS, CUT + "\n")
+    known = known_sentences()
+    ids = F.create_map(*[F.lit(x) for pair in sorted(known.items()) for x in pair])
+    # Every blank of a known sentence may be a line end; both its ends are ends of a line or sentence. The longest come first.
+    runs = "|".join(x.replace(" ", "[ |]") for x in sorted(known, key=lambda x: (-len(x), x)))
+    cut = F.regexp_replace(F.regexp_replace(F.col(text), LEADERS, " "), ENDS, CUT + "\n")
+    lower = F.translate(cut, string.ascii_uppercase + "|", string.ascii_lowercase + " ")
+    lines = F.regexp_replace(F.regexp_replace(lower, f"[^a-z0-9\n{CUT}]+", " "), " ?\n[ \n]*", "|")
+    marked = F.regexp_replace(F.concat(F.lit(CUT), lines, F.lit(CUT)), f"[ |]*{CUT}[ |]*", CUT)
+    found = F.regexp_extract_all(marked, F.lit(f"(?<=[|{CUT}])(?:{runs})(?=[|{CUT}])"), F.lit(0))
     hint = F.col(text).rlike("(?i)" + "|".join(HINTS))
-    return F.when(hint, F.flatten(F.transform(F.split(joined, CUT), of))).otherwise(F.array().cast("array<string>"))
+    return F.when(hint, F.transform(found, lambda x: F.element_at(ids, F.translate(x, "|", " ")))).otherwise(F.array().cast("array<string>"))
 
 
 def licenses(docs: DataFrame, text: str = "text") -> DataFrame:

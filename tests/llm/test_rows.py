@@ -118,6 +118,72 @@ def test_licences(spark):
     assert all(hints.search(x) for forms in license_scan.SENTENCES.values() for x in forms)
 
 
+MIT_TEXT = """Copyright (c) 2020 A Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+APACHE_TEXT = """Copyright 2020 A Person
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL_TEXT = """A program that does things
+Copyright (C) 2020  A Person
+
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_licence_headers_as_published(spark):
+    mit, gpl = [f"mit-{x}" for x in ("grant", "notice", "as-is", "liable")], ["gpl3-free", "gpl-hope", "gpl-hope", "gpl-see"]
+    apache = [f"apache2-{x}" for x in ("under", "comply", "copy", "basis", "see")]
+    for text, ids, name in ((MIT_TEXT, mit, "MIT"), ("MIT License\n\n" + MIT_TEXT, ["mit-under", *mit], "MIT"), (APACHE_TEXT, apache, "Apache-2.0"), (GPL_TEXT, gpl, "GPL-3.0-or-later")):
+        forms = [text, text.replace("\n", "\r\n"), "Title | of it\n" + text + "\nint x", "/*\n" + re.sub("(?m)^", " * ", text) + "\n */"]
+        forms += [re.sub("(?m)^", leader, text) for leader in ("# ", "// ", ";; ", "; ", "REM ", "dnl ", "-- ", "| ")]
+        for form in forms:
+            assert licences_of(spark, form) == (ids, [name], 0), form
+    both = licences_of(spark, MIT_TEXT + "\n\n" + GPL_TEXT)
+    assert both == ([*mit, *gpl], ["MIT", "GPL-3.0-or-later"], 0)
+
+
+def test_no_known_sentence_holds_another_of_other_meaning():
+    known = license_scan.known_sentences()
+    assert not [(x, y) for x, i in known.items() for y, j in known.items() if i != j and f" {y} " in f" {x} "]
+
+
 def test_licences_keep_the_table(spark):
     docs = data.table(spark)
     found = license_scan.licenses(docs)
