@@ -6,8 +6,10 @@ before is not entered again, so a text that decodes to itself ends. Every charac
 the original text it came from (one span for a whole base64 or compressed run), so all findings have spans there.
 
 A text's work stays in one row of an Arrow batch; nothing is shuffled. Null and empty texts give a row without spans.
-Compressed data are unpacked up to ``max_layer`` characters per layer as protection against bombs; rows in which that
-happened say so in ``n_oversize``.
+All members of compressed data are unpacked to the end, in parts of about ``max_layer`` characters that end where no match
+can go on; ``n_oversize`` counts the layers longer than that. Bytes that are no UTF-8 become U+FFFD. Where something
+cannot be read (broken data, an unbroken run of more than four parts, a row with more than ``MAX_ROW`` characters of
+layers), ``found`` has a span of kind ``unread`` over the whole run or row, which the redaction takes out.
 """
 
 from __future__ import annotations
@@ -15,10 +17,12 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
+import codecs
+import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote_to_bytes
 
 import numpy as np
@@ -35,13 +39,20 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 # The same at every place, also inside another match: decoded blanks and quotes may end a value early.
 EACH_ASSIGN = re.compile(f"(?={ASSIGN.pattern})", re.ASCII)
 KINDS = ("assign", "access", "hex")
+# A run that holds something that could not be read is a span of its own kind.
+NAMES, UNREAD = (*KINDS, "unread"), 3
 HINTS = ("passw", "secret", "token", "api")
 
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-MAX_LAYER = 8_000_000
+PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+# Behind these no match and no encoded run goes on.
+CLOSED = re.compile(r"""[^A-Za-z0-9+/_.=\-"':%\\&#;{}\s]|\n[ \t\r]*\n|[G-Zg-z]\x20+(?=[A-Za-z])""")
+# Length of a part of a compressed layer, how many of them an unbroken run may take, characters of all layers of a row.
+MAX_LAYER, HELD, MAX_ROW = 8_000_000, 4, 1 << 32
+ENDED = (None, None, False)
 
 Span = tuple[int, int]
 
@@ -87,36 +98,87 @@ class Layer:
         return Layer(text, (starts, ends) if self.at is None else (self.at[0][starts], self.at[1][ends - 1]), None)
 
 
-def readable(data: bytes) -> str | None:
-    """The data as text if they look like one."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    bad = sum(1 for c in text if not (c.isprintable() or c in "\t\r\n"))
-    return text if len(text) >= 4 and bad * 20 <= len(text) else None
-
-
-def unpacked(data: bytes, most: int) -> tuple[bytes | None, bool]:
-    """Content of gzip, zlib, bzip2 or xz data, and whether it was longer than ``most``."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            one = zlib.decompressobj(31)
-            out = one.decompress(data, most)
-            return out, bool(one.unconsumed_tail)
-        if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
-            one = zlib.decompressobj()
-            out = one.decompress(data, most)
-            return out, bool(one.unconsumed_tail)
-        if data[:3] == b"BZh":
-            one = bz2.BZ2Decompressor()
-            return one.decompress(data, most), not one.eof
-        if data[:6] == b"\xfd7zXZ\x00":
-            one = lzma.LZMADecompressor()
-            return one.decompress(data, most), not one.eof
-    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-        pass
-    return None, False
+def readable(text: str) -> bool:
+    bad = sum(1 for c in text if c == "\ufffd" or not (c.isprintable() or c in "\t\r\n"))
+    return len(text) >= 4 and bad * 20 <= len(text)
+
+
+def opener(data: bytes) -> Callable | None:
+    """What unpacks gzip, zlib, bzip2 or xz data."""
+    if data[:2] == b"\x1f\x8b":
+        return lambda: zlib.decompressobj(31)
+    if len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor
+    return lzma.LZMADecompressor if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def unpacked(data: bytes, most: int) -> Iterator[bytes | None]:
+    """Content of all members in parts of up to ``most`` bytes, then what follows them; None where the data break off."""
+    while data:
+        make = opener(data)
+        if make is None:
+            yield data
+            return
+        one = make()
+        try:
+            while not one.eof:
+                out = one.decompress(data, most)
+                data = getattr(one, "unconsumed_tail", b"")
+                if out:
+                    yield out
+                elif not one.eof and getattr(one, "needs_input", not data):
+                    yield None
+                    return
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            yield None
+            return
+        data = one.unused_data.lstrip(b"\0")
+
+
+def closed(text: str) -> int:
+    """The last place that no match and no encoded run can go over; 0 if there is none."""
+    for size in (1 << 16, 1 << 20, len(text)):
+        start = max(0, len(text) - size)
+        place = 0
+        for m in CLOSED.finditer(text, start):
+            place = m.end()
+        if place or not start:
+            return place
+    return 0
+
+
+def contents(data: bytes, most: int) -> Iterator[tuple[str | None, bool]]:
+    """The data, unpacked if they are compressed, as texts that nothing goes over, and whether the content is longer
+    than ``most`` (said once). None stands for something that could not be read."""
+    parts = unpacked(data, most) if opener(data) else iter(())
+    part = next(parts, None)
+    if part is None:
+        yield data.decode("utf-8", "replace"), False
+        if PACKED.match(data):
+            yield None, False
+        return
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    held, size, over, broken = "", 0, False, False
+    while part is not None:
+        held += decoder.decode(part)
+        size += len(part)
+        if len(held) > most:
+            place = closed(held)
+            if place:
+                yield held[:place], size > most and not over
+                held, over = held[place:], True
+            elif len(held) > HELD * most:
+                yield held, not over
+                held, over, broken = held[-(most // 2) :], True, True
+        part = next(parts, b"")
+        if part == b"":
+            break
+    held += decoder.decode(b"", True)
+    yield held, size > most and not over
+    if broken or (part is None and (PACKED.match(data) or readable(held))):
+        yield None, False
 
 
 def _percent(layer: Layer) -> Layer:
@@ -141,13 +203,13 @@ def _escapes(layer: Layer) -> Layer:
     return layer.rewritten(pieces)
 
 
-def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
-    """The layers directly inside a text, and whether one was longer than ``most``."""
+def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, bool]]:
+    """The layers directly inside a text, None for an unreadable one; its span; whether one was longer than ``most``."""
     text = layer.text
     if "%" in text and PERCENT.search(text):
-        yield _percent(layer), False
+        yield _percent(layer), (0, 0), False
     if ("\\" in text or "&#" in text) and ESCAPE.search(text):
-        yield _escapes(layer), False
+        yield _escapes(layer), (0, 0), False
     for m in BASE64.finditer(text):
         body = m[0].rstrip("=")
         if len(body) % 4 == 1:
@@ -156,33 +218,45 @@ def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer, bool]]:
             data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
         except (binascii.Error, ValueError):
             continue
-        plain, over = unpacked(data, most)
-        inner = readable(data if plain is None else plain) if not over else (plain or b"").decode("utf-8", "replace")
-        if inner is not None:
-            yield Layer(inner, None, layer.span(m.start(), m.end())), over
+        span = layer.span(m.start(), m.end())
+        for inner, over in contents(data, most):
+            yield None if inner is None else Layer(inner, None, span), span, over
+
 
+def scan(text: str, most: int = MAX_LAYER, row: int = MAX_ROW) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
+    """Base spans; all spans; number of layers that read as text or hold a secret; number of layers longer than ``most``.
 
-def scan(text: str, most: int = MAX_LAYER) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:
-    """Base spans; all spans; number of layers entered; number of layers cut at ``most``."""
+    A row whose layers hold more than ``row`` characters is unread as a whole.
+    """
     base = base_spans(text)
-    spans, entered, over = set(base), 0, 0
-    work, seen = [Layer(text, None, None)], {text}
+    spans, entered, over, size = set(base), 0, 0, 0
+    seen, work = set(), [(text, layers_of(Layer(text, None, None), most))]
     while work:
-        layer = work.pop()
-        for inner, cut in layers_of(layer, most):
-            over += cut
-            key = (inner.text, inner.span(0, len(inner.text)) if inner.text else None)
-            if not inner.text or key in seen or inner.text == layer.text:
+        outer, inside = work[-1]
+        inner, span, cut = next(inside, ENDED)
+        over += cut
+        if span is None:
+            work.pop()
+        elif inner is None:
+            spans.add((*span, UNREAD))
+        elif inner.text and inner.text != outer:
+            key = (hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), inner.span(0, len(inner.text)))
+            if key in seen:
                 continue
             seen.add(key)
-            entered += 1
-            spans.update((*inner.span(a, b), kind) for a, b, kind in base_spans(inner.text, EACH_ASSIGN))
-            work.append(inner)
+            size += len(inner.text)
+            if size > row:
+                spans.add((0, len(text), UNREAD))
+                break
+            found = base_spans(inner.text, EACH_ASSIGN)
+            entered += bool(found) or readable(inner.text)
+            spans.update((*inner.span(a, b), kind) for a, b, kind in found)
+            work.append((inner.text, layers_of(inner, most)))
     return base, sorted(spans, key=lambda x: (x[0], x[2], x[1])), entered, over
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in spans)
+    return ",".join(f"{NAMES[k]}:{a}:{b}" for a, b, k in spans)
 
 
 def secrets(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", max_layer: int = MAX_LAYER) -> DataFrame:
@@ -192,7 +266,7 @@ def secrets(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "te
     fields = [("base", span), ("found", span), ("n_layers", pa.int64()), ("n_oversize", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = lambda spans: [{"start": a, "end": b, "kind": KINDS[k]} for a, b, k in spans]
+        rows = lambda spans: [{"start": a, "end": b, "kind": NAMES[k]} for a, b, k in spans]
         for batch in batches:
             out = [scan(x.decode("utf-8", "replace"), max_layer) for x in batch.column(len(ids)).to_pylist()]
             yield batches_of([[rows(x[0]) for x in out], [rows(x[1]) for x in out], [x[2] for x in out], [x[3] for x in out]], batch, ids, fields)
@@ -220,7 +294,7 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
                 for a, b, kind in scan(x)[1]:
                     if b > last:
                         if a >= last:
-                            out += [x[last:a], f"<{KINDS[kind]}>"]
+                            out += [x[last:a], f"<{NAMES[kind]}>"]
                         last = b
                 if last:
                     texts[i] = "".join(out) + x[last:]

@@ -1,8 +1,10 @@
 """Packing, licences, top-k search, segmentations, secrets, and the pipeline."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import math
 import re
 import zlib
@@ -331,6 +333,54 @@ def test_layers_with_blanks_around_the_sign(text):
         assert any(first <= a and b <= last and b >= last - 1 and KINDS[k] == "assign" for a, b, k in new), (whole, spans)
 
 
+PACKERS = (gzip.compress, zlib.compress, bz2.compress, lzma.compress)
+
+
+def run_of(data):
+    return base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_long_compressed_layers(pack):
+    for filler in ("a b, c\n", "nothing here ", "no break/", "\u00e9"):
+        for n in (0, 1, 90, 97, 1300):
+            text = run_of(pack((filler * n + SECRET + filler * n).encode()))
+            base, spans, _, over = secret_scan.scan(text, 100)
+            assert (0, len(text), 0) in set(spans) - set(base), (filler, n)
+            assert over == (len((filler * 2 * n + SECRET).encode()) > 100)
+    # Every place of the secret relative to the parts.
+    for n in range(130):
+        text = run_of(pack(("ab cd, " * 19)[:n].encode() + b" " + SECRET.encode() + b", and more" * 20))
+        assert secret_scan.KINDS.index("assign") in {k for _, _, k in secret_scan.scan(text, 64)[1]}, n
+
+
+@pytest.mark.parametrize("pack", PACKERS)
+def test_all_members(pack):
+    text = run_of(pack(b"first, nothing ") + pack(b"second, ") + b"\0" * 4 + pack(SECRET.encode()))
+    assert (0, len(text), 0) in secret_scan.scan(text)[1]
+    text = run_of(pack(b"first, nothing ") + b"and after it " + SECRET.encode())
+    assert (0, len(text), 0) in secret_scan.scan(text)[1]
+
+
+def test_layers_with_stray_bytes():
+    for data in (b"caf\xe9 " + SECRET.encode(), bytes(range(256)) + SECRET.encode() + b"\0" * 40):
+        for text in (run_of(data), run_of(gzip.compress(data))):
+            assert (0, len(text), 0) in secret_scan.scan(text)[1]
+
+
+def test_unread_layers_are_said_and_redacted(spark):
+    random = np.random.default_rng(5).integers(97, 123, 4000, np.uint8).tobytes()
+    broken = [run_of(pack(random)[:-900]) for pack in (gzip.compress, zlib.compress, lzma.compress)]
+    for text in broken:
+        assert (2, 2 + len(text.rstrip("=")), 3) in [(a, a + len(text[: b - a].rstrip("=")), k) for a, b, k in secret_scan.scan("a " + text)[1]]
+    clean = secret_scan.redact(data.table(spark, [(i, f"a {x} b") for i, x in enumerate(broken)])).collect()
+    assert {r.text for r in clean} == {"a <unread> b"}
+    bomb = run_of(gzip.compress(b"xy" * 5000))
+    assert secret_scan.scan(bomb, 1000)[1:] == ([(0, len(bomb), 3)], 3, 1)
+    assert (0, len(bomb) + 2, 3) in secret_scan.scan("a " + bomb, 100_000, 9000)[1]
+    assert secret_scan.scan(bomb)[1:] == ([], 1, 0)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("AKI0af9g =:\"'%41\\u0x_passwordtokenSECRETé", max_size=80))
 def test_base_spans(text):
