@@ -14,7 +14,6 @@ layers), ``found`` has a span of kind ``unread`` over the whole run or row, whic
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import codecs
@@ -22,7 +21,7 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
 from urllib.parse import unquote_to_bytes
 
 import numpy as np
@@ -46,8 +45,11 @@ HINTS = ("passw", "secret", "token", "api")
 PERCENT = re.compile(r"%[0-9A-Fa-f]{2}")
 PERCENT_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# A run goes on over line ends, also escaped ones; what stands beside it may be in the alphabet too.
+BREAK = re.compile(r"[ \t]*\r?\n[ \t]*|(?:\\r)?\\n")
+BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]+)*={{0,2}}")
 PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+STARTS = re.compile(PACKED.pattern + rb"|\x78[\x01\x5e\x9c\xda]")
 # Behind these no match and no encoded run goes on.
 CLOSED = re.compile(r"""[^A-Za-z0-9+/_.=\-"':%\\&#;{}\s]|\n[ \t\r]*\n|[G-Zg-z]\x20+(?=[A-Za-z])""")
 # Length of a part of a compressed layer, how many of them an unbroken run may take, characters of all layers of a row.
@@ -115,12 +117,14 @@ def opener(data: bytes) -> Callable | None:
 
 
 def unpacked(data: bytes, most: int) -> Iterator[bytes | None]:
-    """Content of all members in parts of up to ``most`` bytes, then what follows them; None where the data break off."""
+    """Content of all members in parts of up to ``most`` bytes, and what stands between and behind them; None where the data break off."""
     while data:
         make = opener(data)
         if make is None:
-            yield data
-            return
+            more = PACKED.search(data)
+            yield data[: more.start()] if more else data
+            data = data[more.start() :] if more else b""
+            continue
         one = make()
         try:
             while not one.eof:
@@ -149,36 +153,35 @@ def closed(text: str) -> int:
     return 0
 
 
-def contents(data: bytes, most: int) -> Iterator[tuple[str | None, bool]]:
-    """The data, unpacked if they are compressed, as texts that nothing goes over, and whether the content is longer
-    than ``most`` (said once). None stands for something that could not be read."""
-    parts = unpacked(data, most) if opener(data) else iter(())
-    part = next(parts, None)
-    if part is None:
-        yield data.decode("utf-8", "replace"), False
-        if PACKED.match(data):
-            yield None, False
-        return
+def contents(data: bytes, most: int, span: Span) -> Generator[tuple[Layer | None, Span, bool], None, bool]:
+    """The content of compressed data as layers that nothing goes over, and whether it is longer than ``most`` (said
+    once). None stands for something that could not be read. Returns whether the data were compressed at all."""
+    parts = unpacked(data, most) if opener(data) else iter((None,))
+    part = next(parts, b"")
+    if part is None and PACKED.match(data):
+        yield None, span, False
+    if not part:
+        return part is not None or PACKED.match(data) is not None
     decoder = codecs.getincrementaldecoder("utf-8")("replace")
     held, size, over, broken = "", 0, False, False
-    while part is not None:
+    while part:
         held += decoder.decode(part)
         size += len(part)
         if len(held) > most:
             place = closed(held)
             if place:
-                yield held[:place], size > most and not over
+                yield Layer(held[:place], None, span), span, size > most and not over
                 held, over = held[place:], True
             elif len(held) > HELD * most:
-                yield held, not over
+                yield Layer(held, None, span), span, not over
                 held, over, broken = held[-(most // 2) :], True, True
         part = next(parts, b"")
-        if part == b"":
-            break
     held += decoder.decode(b"", True)
-    yield held, size > most and not over
-    if broken or (part is None and (PACKED.match(data) or readable(held))):
-        yield None, False
+    yield Layer(held, None, span), span, size > most and not over
+    lost = part is None and (PACKED.match(data) is not None or readable(held))
+    if broken or lost:
+        yield None, span, False
+    return part is not None or lost
 
 
 def _percent(layer: Layer) -> Layer:
@@ -203,6 +206,45 @@ def _escapes(layer: Layer) -> Layer:
     return layer.rewritten(pieces)
 
 
+def _plain(data: bytes, shift: int, lines: list[Span], layer: Layer, span: Span) -> Layer:
+    """Data of a base64 run from its character ``shift`` on as a text; over several lines each character has the span of its line."""
+    if len(lines) == 1:
+        return Layer(data.decode("utf-8", "replace"), None, span)
+    text = data.decode("utf-8", "surrogateescape")
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    lost = (codes >= 0xDC80) & (codes < 0xDD00)
+    width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000) - 2 * lost
+    last = np.cumsum(width) - 1
+    ends = np.cumsum([b - a for a, b in lines])
+    spans = np.array([layer.span(a, b) for a, b in lines], np.int64)
+    line = lambda at: np.minimum(np.searchsorted(ends, at, side="right"), len(lines) - 1)
+    first, final = line(shift + (last - width + 1) * 8 // 6), line(shift + (last * 8 + 7) // 6)
+    return Layer("".join("\ufffd" if 0xDC80 <= ord(c) < 0xDD00 else c for c in text), (spans[first, 0], spans[final, 1]), None)
+
+
+def _base64(m: re.Match, layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, bool]]:
+    """Layers of a base64 run at its four alignments, so that characters before the encoded part do not matter; at one if
+    that reads. Compressed data may begin anywhere."""
+    lines, at = [], m.start()
+    for x in BREAK.finditer(layer.text, m.start(), m.end()):
+        lines.append((at, x.start()))
+        at = x.end()
+    lines.append((at, m.end()))
+    body = "".join(layer.text[a:b] for a, b in lines).rstrip("=").replace("-", "+").replace("_", "/")
+    span = layer.span(m.start(), m.end())
+    for shift in range(4):
+        size = len(body) - shift
+        data = binascii.a2b_base64(body[shift : len(body) - (size % 4 == 1)] + "=" * (-size % 4 % 3))
+        if not (yield from contents(data, most, span)):
+            plain = _plain(data, shift, lines, layer, span)
+            yield plain, span, False
+            if not shift and "\ufffd" not in plain.text and all(c.isprintable() or c in "\t\r\n" for c in plain.text):
+                return
+            for x in STARTS.finditer(data, 1):
+                if (yield from contents(data[x.start() :], most, span)):
+                    break
+
+
 def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, bool]]:
     """The layers directly inside a text, None for an unreadable one; its span; whether one was longer than ``most``."""
     text = layer.text
@@ -211,16 +253,7 @@ def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, boo
     if ("\\" in text or "&#" in text) and ESCAPE.search(text):
         yield _escapes(layer), (0, 0), False
     for m in BASE64.finditer(text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        span = layer.span(m.start(), m.end())
-        for inner, over in contents(data, most):
-            yield None if inner is None else Layer(inner, None, span), span, over
+        yield from _base64(m, layer, most)
 
 
 def scan(text: str, most: int = MAX_LAYER, row: int = MAX_ROW) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int, int]:

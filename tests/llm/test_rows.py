@@ -368,6 +368,36 @@ def test_layers_with_stray_bytes():
             assert (0, len(text), 0) in secret_scan.scan(text)[1]
 
 
+def wrapped(text, width, end="\n"):
+    return end.join(text[i : i + width] for i in range(0, len(text), width))
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    ", " \n", "\\n", "\\r\\n"])
+def test_wrapped_base64(end):
+    for n in range(0, 90, 7):
+        text = wrapped(run_of(("a" * n + " " + SECRET + " b é " * 20).encode()), 76, end)
+        spans = secret_scan.scan("see:\n" + text + "\nend of it")[1]
+        assert any(k == 0 and a >= 5 and b <= 5 + len(text) for a, b, k in spans), n
+    for pack in PACKERS:
+        content = np.random.default_rng(1).integers(97, 123, 600, np.uint8).tobytes() + b" " + SECRET.encode()
+        text = wrapped(run_of(pack(content)), 64, end)
+        assert secret_scan.scan(text)[1] == [(0, len(text), 0)]
+    one = run_of(SECRET.encode()).rstrip("=")
+    assert secret_scan.scan(f"{one}{end}next line")[1] == [(0, len(one), 0)]
+
+
+def test_glued_base64():
+    part = run_of(b"token=abcdef123456")
+    for prefix in ("https://h.example/callback/", "x-", "v_", "v1/", "/", *("abcdefghij"[:n] for n in range(10))):
+        for behind in ("", "/", "-ab", "/abc", "_abcd"):
+            text = f"é {prefix}{part}{behind} end"
+            assert {(k, a <= 2 + len(prefix), b >= 2 + len(prefix) + len(part)) for a, b, k in secret_scan.scan(text)[1]} == {(0, True, True)}, text
+            for pack in PACKERS:
+                text = f"{prefix}{run_of(pack(SECRET.encode())).rstrip('=')}{behind} end"
+                assert 0 in {k for _, _, k in secret_scan.scan(text)[1]}, text
+    assert secret_scan.scan(run_of(gzip.compress(b"")))[1] == []
+
+
 def test_unread_layers_are_said_and_redacted(spark):
     random = np.random.default_rng(5).integers(97, 123, 4000, np.uint8).tobytes()
     broken = [run_of(pack(random)[:-900]) for pack in (gzip.compress, zlib.compress, lzma.compress)]
