@@ -7,7 +7,8 @@ k of each array are picked by partition, and the picks of all candidate blocks a
 
 A group holds ``candidates x queries`` scores of one block pair, whatever the table's size, and sends k rows per query
 on. Vectors that are null or hold null or non-finite components take no part; vectors of different lengths lack the
-dimensions beyond their end. An id that repeats is several candidates; a query skips all candidates of its own id.
+dimensions beyond their end. Rows without an id take no part. An id that repeats is several candidates and, with its vectors,
+several queries, each with its own k places; a query skips all candidates of its own id.
 """
 
 from __future__ import annotations
@@ -57,14 +58,14 @@ def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
 
 
 def best(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query id, candidate id and score of the k best candidates of each query; ties go to the smaller id."""
+    """Place of the query, candidate id and score of the k best candidates of each query; ties go to the smaller id."""
     order = np.argsort(ids, kind="stable")
     candidates, ids = candidates[order], ids[order]
     got: list[list[np.ndarray]] = [[], [], []]
     for start in range(0, len(queries), 256):
         part, own = queries[start : start + 256], query_ids[start : start + 256]
         dense = scores(part, candidates)
-        for row, query in zip(dense, own, strict=True):
+        for place, (row, query) in enumerate(zip(dense, own, strict=True), start):
             a, b = np.searchsorted(ids, query), np.searchsorted(ids, query, side="right")
             keep = np.arange(len(ids)) if a == b else np.r_[0:a, b : len(ids)]
             found = row[keep]
@@ -74,7 +75,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids
                 pick = np.r_[above, level[: k - len(above)]]
             else:
                 pick = np.arange(len(found))
-            got[0].append(np.full(len(pick), query, np.int64))
+            got[0].append(np.full(len(pick), place, np.int64))
             got[1].append(ids[keep[pick]])
             got[2].append(found[pick].astype(np.int64))
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in got)
@@ -82,24 +83,30 @@ def best(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", weights: str = "weights", candidate_block: int = CANDIDATE_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id``, ``rank`` (from 1), the candidate's id and ``score``. Weights are arrays of long; null ones are left out."""
-    candidates = candidates.where(F.col(weights).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(weights).alias("w"))
-    queries = queries.where(F.col(weights).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(weights).alias("w"))
+    taking = F.col(weights).isNotNull() & F.col(id_col).isNotNull()
+    candidates = candidates.where(taking).select(F.col(id_col).cast("long").alias("id"), F.col(weights).alias("w"))
+    queries = queries.where(taking).select(F.col(id_col).cast("long").alias("id"), F.col(weights).alias("w"))
+    # Equal query rows are asked once and answered as often as they occur.
+    queries = queries.groupBy("id", "w").agg(F.count("*").alias("times")).withColumn("vector", F.xxhash64("w"))
     n_c, n_q = max(1, -(-candidates.count() // candidate_block)), max(1, -(-queries.count() // query_block))
     block = lambda n: F.pmod(F.xxhash64("id", "w"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = candidates.select("id", "w", block(n_c).alias("c"), each(n_q).alias("q"))
-    right = queries.select("id", "w", each(n_c).alias("c"), block(n_q).alias("q"))
+    right = queries.select("id", "w", "times", "vector", each(n_c).alias("c"), block(n_q).alias("q"))
+    names = ("query_id", "vector", "times", "id", "score")
 
     def run(some: pa.Table, asked: pa.Table) -> pa.Table:
         if not some.num_rows or not asked.num_rows:
-            return pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "id", "score")})
+            return pa.table({n: pa.array([], pa.int64()) for n in names})
         width = max(1, max(pc.max(pc.list_value_length(t["w"])).as_py() for t in (some, asked)))
-        found = best(_matrix(asked["w"], width), asked["id"].to_numpy(), _matrix(some["w"], width), some["id"].to_numpy(), k)
-        return pa.table(dict(zip(("query_id", "id", "score"), found, strict=True)))
+        place, ids, score = best(_matrix(asked["w"], width), asked["id"].to_numpy(), _matrix(some["w"], width), some["id"].to_numpy(), k)
+        query = [asked[n].to_numpy()[place] for n in ("id", "vector", "times")]
+        return pa.table(dict(zip(names, (*query, ids, score), strict=True)))
 
-    picks = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(run, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    picks = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(run, ", ".join(f"{n} long" for n in names))
+    order = Window.partitionBy("query_id", "vector").orderBy(F.col("score").desc(), "id")
     ranked = picks.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = ranked.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 

@@ -220,6 +220,24 @@ def test_top_k_with_ties_gaps_and_bad_vectors(spark):
     assert topk_search.top_k(empty, empty).count() == 0 and topk_search.top_k(weights.where("vec_id = 0"), weights.where("vec_id = 0")).count() == 0
 
 
+def test_top_k_of_repeated_and_missing_ids(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-3, 4, 4)]) for i in range(90)]
+    rows += [(50, [1.0, 1.0]), (50, rows[50][1]), (0, rows[0][1]), (0, rows[0][1]), (None, [9.0] * 4), (None, None), (7, [5.0] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    weights = df.select("vec_id", topk_search.quantised(df).alias("weights"))
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None]
+    want = Counter()
+    for i, q in good:
+        if i % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in good if j != i)
+            want.update((i, r + 1, j, -s) for r, (s, j) in enumerate(scored[:5]))
+    for sizes in ({}, {"candidate_block": 20, "query_block": 2}):
+        found = topk_search.top_k(weights, weights.where("vec_id % 50 = 0 or vec_id is null"), **sizes)
+        assert dict(found.dtypes)["vec_id"] == "bigint"
+        assert Counter(tuple(r) for r in found.collect()) == want
+
+
 # -- segmentations ----------------------------------------------------------------------------------------------------
 
 
