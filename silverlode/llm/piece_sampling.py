@@ -23,6 +23,7 @@ Repeated rows (same key and text) have the same samples. U+2581 in a text counts
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -380,10 +381,15 @@ def _search(kinds: np.ndarray, n_units: np.ndarray, keys: np.ndarray, k: int, la
     return out
 
 
-def encode(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", k: int = 2, seed: int = 0, model: str = MODEL, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """Up to ``k`` rows per row: ids, ``sample`` (from 1), ``piece_ids``, ``log_prob``, ``perturbed``, ``log_inclusion``."""
+def encode(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", k: int = 2, seed: int = 0, model: str = MODEL, batch_bytes: int = BATCH_BYTES, decoded: bool = False) -> DataFrame:
+    """Up to ``k`` rows per row: ids, ``sample`` (from 1), ``piece_ids``, ``log_prob``, ``perturbed``, ``log_inclusion``.
+
+    ``decoded`` adds what the piece ids decode to: ``text_crc32`` (of its UTF-8 bytes) and ``same_text``, whether it is the row's text.
+    """
     ids = list(ids)
     fields = {"sample": pa.int32(), "piece_ids": pa.binary(), "log_prob": pa.float64(), "perturbed": pa.float64(), "log_inclusion": pa.float64()}
+    if decoded:
+        fields |= {"text_crc32": pa.int64(), "same_text": pa.bool_()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
@@ -393,12 +399,15 @@ def encode(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "tex
             rows = sample(texts, keys, k, vocabulary)
             take = pa.array(np.repeat(np.arange(len(rows)), [len(x) for x in rows]))
             flat = [(j + 1, *y) for x in rows for j, y in enumerate(x)]
+            if decoded:
+                again = (vocabulary.decode(np.frombuffer(x[1], "<u4").tolist()) for x in flat)
+                flat = [(*x, zlib.crc32(y.encode()), y == texts[i]) for x, y, i in zip(flat, again, take.to_pylist(), strict=True)]
             columns = [batch.column(i).take(take) for i in range(len(ids))]
             columns += [pa.array(v, t) for v, t in zip(zip(*flat, strict=True), fields.values(), strict=True)] if flat else [pa.array([], t) for t in fields.values()]
             yield pa.RecordBatch.from_arrays(columns, names=[*ids, *fields])
 
     rows = docs.select(*ids, F.xxhash64(F.lit(seed), *ids).alias("key"), utf8(text).alias("raw"))
-    ddl = "sample int, piece_ids binary, log_prob double, perturbed double, log_inclusion double"
+    ddl = "sample int, piece_ids binary, log_prob double, perturbed double, log_inclusion double" + (", text_crc32 long, same_text boolean" if decoded else "")
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*ids).schema.fields)
     return rows.mapInArrow(run, f"{own}, {ddl}")
 
@@ -418,10 +427,10 @@ def decode(encoded: DataFrame, ids: str = "piece_ids", out: str = "text", model:
 
 
 def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two sampled segmentations of every row of ``documents``."""
-    rows = encode(table(spark, sf_dir, "documents"))
+    """Two sampled segmentations of every row of ``documents``, and what they decode to."""
+    rows = encode(table(spark, sf_dir, "documents"), decoded=True)
     size = (F.octet_length("piece_ids") / 4).cast("long")
-    return rows.select("doc_id", "sample", size.alias("n_pieces"), F.crc32("piece_ids").alias("ids_crc32"), "log_prob", "perturbed", "log_inclusion")
+    return rows.select("doc_id", "sample", size.alias("n_pieces"), F.crc32("piece_ids").alias("ids_crc32"), "log_prob", "perturbed", "log_inclusion", "text_crc32", "same_text")
 
 
 QUERIES = {"op8_piece_sampling": (op8_piece_sampling, None)}

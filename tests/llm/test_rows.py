@@ -294,6 +294,16 @@ def test_round_trip_and_fewer_segmentations(spark, vocabulary):
     assert key(other) != key(encoded)
 
 
+def test_query_decodes_every_row(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    texts = {r.doc_id: (r.text or "").replace("\u2581", " ").encode() for r in docs}
+    rows = piece_sampling.op8_piece_sampling(spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts)
+    assert all(r.same_text and r.text_crc32 == zlib.crc32(texts[r.doc_id]) for r in rows)
+    odd = piece_sampling.encode(data.table(spark), ("doc_id", "text"), k=3, decoded=True).collect()
+    assert len({r.doc_id for r in odd}) == len({i for i, _ in ROWS}) and all(r.same_text and r.text_crc32 == zlib.crc32((r.text or "").encode()) for r in odd)
+
+
 # -- secrets ----------------------------------------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
