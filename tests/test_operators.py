@@ -1,12 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.operators import catalog, chat, classify, enrich, feedback, glossary, lookup, quality, report, scoring, similarity, synth
+from silverlode.operators import automaton, catalog, chat, classify, enrich, feedback, glossary, lookup, quality, report, scoring, similarity, synth
 from silverlode.operators.concat import ordered_concat
 from silverlode.operators.staging import compute_once
 from silverlode.plans import flagship, lessons
@@ -164,24 +165,54 @@ def _reference_rewrite(text, pairs):
 _row = Row("id", "rewritten", "matched_terms")
 
 
-@pytest.mark.parametrize("limit", [2000, 1])
+def _terms(df):
+    return {r["id"]: r for r in df.collect()}
+
+
+@pytest.mark.parametrize("sizes", [{}, {"part_bytes": 40, "round_bytes": 1}, {"part_bytes": 60, "round_bytes": 4000}])
 @pytest.mark.parametrize("more", [0, 400])
-def test_glossary(spark, more, limit):
+def test_glossary(spark, more, sizes):
     texts = ["the network net aXb a.b", "netnetwork", "", "none", "NETWORKnet", "net"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     g = spark.createDataFrame(TERMS + [(f"term {i:04d}", f"d{i}") for i in range(more)], "TERM string, DEFINITION string")
-    got = {r["id"]: r for r in glossary.rewrite(df, "t", g, pattern_terms=limit).collect()}
+    got = _terms(glossary.rewrite(df, "t", g, **sizes))
     pairs = {t: d for t, d in TERMS if t.strip() and d.strip()}
     assert [got[i]["rewritten"] for i in range(len(texts))] == [_reference_rewrite(t, pairs) for t in texts]
     assert got[0]["matched_terms"] == ["a.b", "net", "network"] and got[3]["matched_terms"] == []
-    back = glossary.rewrite(df.limit(1), "t", g, True, limit).collect()[0]
+    back = glossary.rewrite(df.limit(1), "t", g, True, **sizes).collect()[0]
     assert back["rewritten"] == "the network net aXb a.b"
     odd = spark.createDataFrame([(1, "net"), (1, "a.b"), (None, "net"), (2, None)], "id int, t string")
-    assert sorted(map(str, glossary.rewrite(odd, "t", g, pattern_terms=limit).select("id", "rewritten", "matched_terms").collect())) == sorted(
+    assert sorted(map(str, glossary.rewrite(odd, "t", g, **sizes).select("id", "rewritten", "matched_terms").collect())) == sorted(
         map(str, [_row(1, "NETWORK", ["net"]), _row(1, "dot", ["a.b"]), _row(None, "NETWORK", ["net"]), _row(2, None, None)])
     )
 
 
+def test_overlapping_and_long_terms(spark):
+    long = "ab" * 3000
+    terms = {"a": "1", "ab": "2", "abab": "3", "bab": "4", long: "LONG", long + "c": "LONGC", "é": "e", "日本": "JP", "本": "X", "aé": "5", "\x00b": "Z"}
+    texts = ["ababab", "babab", long + "c" + long + long[1:], "x" + long[:-1], "日本語本é aé", "é日", "a\x00b", "\x00", "b" * 5000 + "abab" * 2500]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    g = spark.createDataFrame(list(terms.items()), "TERM string, DEFINITION string")
+    want = [_reference_rewrite(t, terms) for t in texts]
+    for sizes in ({}, {"part_bytes": 5000, "round_bytes": 1}):
+        got = _terms(glossary.rewrite(df, "t", g, **sizes))
+        assert [got[i]["rewritten"] for i in range(len(texts))] == want
+        assert [len(got[i]["matched_terms"]) > 0 for i in range(len(texts))] == [w != t for w, t in zip(want, texts)]
+
+
+def test_automaton_blocks(monkeypatch):
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))) for _ in range(60)})
+    made = automaton.built([(t.encode(), t) for t in terms])
+    text = "".join(rng.choice("abcd") for _ in range(9000))
+    want = {i: max((t for t in terms if text.startswith(t, i)), key=len, default=None) for i in range(len(text))}
+    for block, lanes in ((1 << 22, 4096), (1000, 3), (7, 2)):
+        monkeypatch.setattr(automaton, "BLOCK_BYTES", block)
+        monkeypatch.setattr(automaton, "LANES", lanes)
+        places, numbers = automaton.occurrences(made, np.frombuffer(text.encode(), np.uint8))
+        assert dict(zip(places.tolist(), (terms[n] for n in numbers))) == {i: t for i, t in want.items() if t} and sorted(places.tolist()) == places.tolist()
+
+
 def test_empty_glossary(spark):
     df = spark.createDataFrame([(1, "x")], "id int, t string")
     g = spark.createDataFrame([], "TERM string, DEFINITION string")
