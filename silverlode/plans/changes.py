@@ -204,18 +204,38 @@ def csv_counts(spark, folder):
 
 DIRTY_TABLE = T.StructType([T.StructField("O_ORDERKEY", T.LongType(), False), T.StructField("O_NOTE", T.StringType(), True), T.StructField("O_TOTALPRICE", T.DoubleType(), True)])
 DIRTY_SQL = '''
-SELECT concat_ws(chr(10), 'o_orderkey,o_note,o_totalprice', array_join(sort_array(collect_list(line)), chr(10)), '') AS value FROM (
- SELECT CASE o_orderkey % 4 WHEN 0 THEN cast(o_orderkey AS STRING) || ',"two' || chr(10) || 'lines, ""quoted""",1.5'
+SELECT CASE o_orderkey % 4 WHEN 0 THEN cast(o_orderkey AS STRING) || ',"two' || chr(10) || 'lines, ""quoted""",1.5'
   WHEN 1 THEN cast(o_orderkey AS STRING) || ',plain,2.5' WHEN 2 THEN cast(o_orderkey AS STRING) || ',too,many,cells'
-  ELSE cast(o_orderkey AS STRING) END AS line, o_orderkey % 7 AS part FROM orders) GROUP BY part
+  ELSE cast(o_orderkey AS STRING) END AS value FROM orders
 '''
 
 
 def _dirty_csv(spark, folder):
     """Files with line breaks inside quotes, and records with too many or too few cells."""
     path = work_folder(spark, "dirty-csv")
-    derived(spark, folder, DIRTY_SQL, "orders").repartition(7).write.option("lineSep", "\n").text(path)
-    return csv_load.load_csv(csv_load.read_text_csv(spark, path), DIRTY_TABLE)
+    derived(spark, folder, DIRTY_SQL, "orders").write.option("lineSep", "\n").text(path)
+    return csv_load.load_csv(csv_load.read_text_csv(spark, path, names=["o_orderkey", "o_note", "o_totalprice"]), DIRTY_TABLE)
+
+
+NOTE_SQL = """SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'first' || chr(10) || 'and, "second"' || chr(10) || chr(10) || o_orderpriority
+ WHEN 1 THEN o_orderpriority || ', "x' ELSE 'plain' END AS o_note, o_totalprice FROM orders"""
+
+
+def _one_file(spark, folder):
+    path = work_folder(spark, "one-csv")
+    derived(spark, folder, NOTE_SQL, "orders").coalesce(1).write.csv(path, header=True, escape='"')
+    return path
+
+
+def csv_one_file(spark, folder):
+    """All orders in one file with line breaks in cells; many tasks read it."""
+    return csv_load.load_csv(csv_load.read_text_csv(spark, _one_file(spark, folder)), DIRTY_TABLE).accepted
+
+
+def csv_preview(spark, folder):
+    """The first ten rows of that file; which they are depends on how the table was written, what they hold does not."""
+    head = csv_load.preview_csv(spark, _one_file(spark, folder))
+    return head.agg(F.count("*").alias("rows"), F.count_if(F.col("o_orderkey").try_cast("long").isNotNull()).alias("keys"))
 
 
 def csv_dirty(spark, folder):
@@ -358,6 +378,12 @@ QUERIES = {
         """SELECT 'accepted' AS outcome, count(*) AS rows FROM orders WHERE o_orderkey % 4 < 2
         UNION ALL SELECT 'rejected', count(*) FROM orders WHERE o_orderkey % 4 >= 2""",
     ),
+    "csv_one_file": (
+        csv_one_file,
+        """SELECT o_orderkey AS "O_ORDERKEY", CASE o_orderkey % 3 WHEN 0 THEN 'first' || chr(10) || 'and, "second"' || chr(10) || chr(10) || o_orderpriority
+        WHEN 1 THEN o_orderpriority || ', "x' ELSE 'plain' END AS "O_NOTE", o_totalprice AS "O_TOTALPRICE" FROM orders""",
+    ),
+    "csv_preview": (csv_preview, "SELECT least(10, count(*)) AS rows, least(10, count(*)) AS keys FROM orders"),
     "browse_filter": (browse_filter, "SELECT * FROM supplier WHERE s_acctbal > 5000 AND s_nationkey < 10"),
     "browse_capped": (browse_capped, "SELECT least(100, count(*)) AS rows FROM orders WHERE o_totalprice > 1000"),
     "keyword_names": (keyword_names, "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'widget')"),

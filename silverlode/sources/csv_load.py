@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 from silverlode.functions.dates import clean_date_text, parse_clean_date
 from silverlode.functions.text import not_blank
 from silverlode.operators.staging import compute_once
+from silverlode.sources.csv_split import records
 from silverlode.sources.tables import PREVIEW_ROWS
 
 SHARED_CATEGORY = "共通"  # fixed value: the category whose rules apply everywhere
@@ -37,40 +37,50 @@ class CsvLoad:
 MALFORMED = "_malformed"
 
 
-def read_text_csv(spark: SparkSession, path: str, multi_line: bool = True, **options) -> DataFrame:
-    """A CSV file, or a folder of them, with a header, every column as text: no inference pass over the data.
+def _reader(spark: SparkSession, multi_line: bool, header: bool, options: dict):
+    return spark.read.options(header=header, multiLine=multi_line, escape='"', **options)
 
-    A record may go over several lines inside quotes; a file is then read by one task, and a folder's files side by
-    side. ``multi_line=False`` also splits large files, for data known to have one record per line. A record with too
-    many or too few cells is kept whole in ``_malformed``, and the load rejects it.
-    """
-    reader = spark.read.options(header=True, multiLine=multi_line, escape='"', **options)
-    names = reader.csv(path).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, MALFORMED]])
-    return reader.options(enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).schema(schema).csv(path)
 
+def _with_malformed(names: list[str]) -> str:
+    return ", ".join("`" + n.replace("`", "``") + "` string" for n in [*names, MALFORMED])
 
-def preview_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The first rows; fails on a file without rows."""
-    head = read_text_csv(spark, path).drop(MALFORMED).limit(PREVIEW_ROWS)
-    if head.isEmpty():
-        raise ValueError("the CSV file holds no rows")
-    return head
 
+def _by_file(spark: SparkSession, path: str, names: list[str], header: bool, multi_line: bool, options: dict) -> DataFrame:
+    reader = _reader(spark, multi_line, header, options)
+    return reader.options(enforceSchema=False, mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).schema(_with_malformed(names)).csv(path)
 
-@F.pandas_udf(T.TimestampNTZType())
-def _free_form(values: pd.Series) -> pd.Series:
-    from dateutil import parser
 
-    start = pd.Timestamp("1900-01-01").to_pydatetime()  # missing parts do not depend on the clock
+def read_text_csv(spark: SparkSession, path: str, multi_line: bool = True, names: list[str] | None = None, **options) -> DataFrame:
+    """A CSV file, or a folder of them, every column as text: no inference pass over the data.
 
-    def one(text):
-        try:
-            return parser.parse(text, dayfirst=False, default=start).replace(tzinfo=None)
-        except (ValueError, OverflowError):
-            return None
+    Files have a header, or ``names`` gives the columns of files without one. A record may go over several lines inside
+    quotes; one file is read by many tasks all the same (``csv_split``: a first pass counts quotes per byte range).
+    ``multi_line=False`` saves that pass, for data known to have one record per line. A record with too many or too
+    few cells is kept whole in ``_malformed``, and the load rejects it. ``options``: those of Spark's reader; with any other
+    than ``sep`` and ``quote`` a file with records of several lines is read by one task.
+    """
+    header = names is None
+    names = names or _reader(spark, multi_line, True, options).csv(path).columns
+    cut = records(spark, path, options.get("sep", ","), options.get("quote", '"')) if multi_line and set(options) <= {"sep", "quote"} else None
+    if cut is None:
+        return _by_file(spark, path, names, header, multi_line, options)
+    settings = {**options, "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
+    rows = compute_once(cut, {"cells__": F.from_csv("record", _with_malformed(names), settings)})
+    if header:
+        cells = F.array(*[F.coalesce(F.col("cells__").getField(n), F.lit("")) for n in names])
+        same = F.lower(F.array_join(cells, "\n")) == F.lit("\n".join(names).lower())
+        wrong = F.raise_error(F.concat(F.lit("not the header of the first file: "), F.col("record"))).cast("boolean")
+        rows = rows.where(F.when(~F.col("first"), True).when(same, False).otherwise(wrong))
+    return rows.select(*[F.col("cells__").getField(n).alias(n) for n in [*names, MALFORMED]])
 
-    return pd.to_datetime(values.map(one, na_action="ignore"), errors="coerce")
+
+def preview_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The first rows; fails on a file without rows. Reads no further than it needs."""
+    names = _reader(spark, True, True, {}).csv(path).columns
+    head = _by_file(spark, path, names, True, True, {}).drop(MALFORMED).limit(PREVIEW_ROWS)
+    if head.isEmpty():
+        raise ValueError("the CSV file holds no rows")
+    return head
 
 
 def _is_date(dtype: T.DataType) -> bool:
@@ -91,12 +101,11 @@ def load_csv(
 
     Headers match table columns in any case; other CSV columns are dropped, table columns without a CSV column take
     their default. A value that cannot be read, or a NULL in a NOT NULL column, sends the row to the rejects with the
-    reasons. ``unread_dates``: ``reject`` (default), ``null`` (keep the row, date NULL) or ``dateutil`` (free-form
-    parser for the texts that the fixed layouts do not cover, in Arrow batches; the rest becomes NULL).
+    reasons. ``unread_dates``: ``reject`` (default) or ``null`` (keep the row, date NULL).
 
     Accepted and rejected are two filters over the same narrow plan, without a shuffle.
     """
-    if unread_dates not in {"reject", "null", "dateutil"}:
+    if unread_dates not in {"reject", "null"}:
         raise ValueError(f"unread_dates: {unread_dates}")
     by_name = {c.upper(): c for c in rows.columns if c != MALFORMED}
     defaults = defaults or {}
@@ -130,13 +139,6 @@ def load_csv(
         if not f.nullable:
             problems.append(F.when(default.isNull(), F.lit(f"{f.name}: NULL not allowed")))
     staged = compute_once(compute_once(rows.select(*source), texts), values)
-    if unread_dates == "dateutil":
-        free = {
-            f"v{i}__": F.coalesce(F.col(f"v{i}__"), _free_form(F.when(F.col(f"v{i}__").isNull(), F.col(f"t{i}__"))).cast(f.dataType))
-            for i, f in enumerate(present)
-            if _is_date(f.dataType)
-        }
-        staged = staged.withColumns(free)
     staged = staged.withColumn("reason", F.concat_ws("; ", *problems) if problems else F.lit(""))
     accepted = staged.filter("reason = ''").select(*out)
     row = F.struct(*[F.col(f"s{i}__").alias(c) for i, c in enumerate(rows.columns) if c != MALFORMED])

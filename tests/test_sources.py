@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from pathlib import Path
 
 import pytest
@@ -58,8 +59,68 @@ def test_csv_unread_dates(spark):
     rows = _csv(spark)
     kept = {r["ID"]: r["DAY"] for r in csv_load.load_csv(rows, TARGET, unread_dates="null").accepted.collect()}
     assert kept[3] is None and kept[7] is None
-    free = {r["ID"]: r["DAY"] for r in csv_load.load_csv(rows, TARGET, unread_dates="dateutil").accepted.collect()}
-    assert free[7] == dt.datetime(2024, 12, 24) and free[3] is None and free[1] == dt.datetime(2024, 1, 2)
+    with pytest.raises(ValueError, match="unread_dates"):
+        csv_load.load_csv(rows, TARGET, unread_dates="guess")
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Byte ranges of 64 bytes, so that records go over many of them."""
+    names = {"spark.sql.files.maxPartitionBytes": "64", "spark.sql.files.openCostInBytes": "1"}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    yield
+    for k in names:
+        spark.conf.unset(k)
+
+
+def _random_csv(seed, rows, columns=3, end="\n"):
+    rng, out = random.Random(seed), ["a,b,c" + end]
+    for _ in range(rows):
+        cells = []
+        for _ in range(columns + rng.choice([0, 0, 0, 0, -1, 1])):
+            kind = rng.random()
+            body = "".join(rng.choice(["x", "yz", " ", "é", "1", "," if kind < 0.5 else "-", end if kind < 0.3 else "w", '""' if kind < 0.5 else "q"]) for _ in range(rng.randint(0, 12)))
+            cells.append(f'"{body}"' if kind < 0.5 else body + rng.choice(["", "", 'a"b', '"']) if body.strip() else body)
+        out.append(",".join(cells) + end + (end if rng.random() < 0.05 else ""))
+    return "".join(out)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_csv_records_over_ranges(spark, small_ranges, seed):
+    """Many tasks cut the records that Spark's reader finds with one task per file."""
+    path = work_folder(spark, "csv")
+    Path(path).mkdir(parents=True)
+    for k in range(2):
+        text = _random_csv(seed * 10 + k, 60, end="\r\n" if seed == 5 else "\n")
+        (Path(path) / f"{k}.csv").write_bytes((("\ufeff" if seed == 4 else "") + text[: None if seed % 2 else -1]).encode())
+    got = csv_load.read_text_csv(spark, path)
+    assert got.rdd.getNumPartitions() > 8
+    want = csv_load._by_file(spark, path, ["a", "b", "c"], True, True, {})
+    plain = lambda df: sorted((tuple(None if x is None else x.replace("\r\n", "\n").strip("\r\n") for x in r) for r in df.collect()), key=repr)
+    assert plain(got) == plain(want)
+
+
+def test_csv_record_over_many_ranges(spark, small_ranges):
+    path = work_folder(spark, "csv")
+    Path(path).mkdir(parents=True)
+    long = "\n".join(f'line {i}, ""{i}""' for i in range(200))
+    (Path(path) / "one.csv").write_text(f'a,b,c\n1,"{long}",2\n3,"{long}",4\n5,x,6\n')
+    rows = csv_load.read_text_csv(spark, path).collect()
+    assert {(r.a, r.b, r.c, r._malformed) for r in rows} == {("1", long.replace('""', '"'), "2", None), ("3", long.replace('""', '"'), "4", None), ("5", "x", "6", None)}
+
+
+def test_csv_other_separators_and_headers(spark, small_ranges):
+    path = work_folder(spark, "csv")
+    Path(path).mkdir(parents=True)
+    (Path(path) / "one.csv").write_text("a;b\n1;'x\n;y'\n2;z\n")
+    rows = csv_load.read_text_csv(spark, path, sep=";", quote="'").collect()
+    assert {tuple(r) for r in rows} == {("1", "x\n;y", None), ("2", "z", None)}
+    rows = csv_load.read_text_csv(spark, path, sep=";", quote="'", names=["p", "q"]).collect()
+    assert {tuple(r) for r in rows} == {("a", "b", None), ("1", "x\n;y", None), ("2", "z", None)}
+    (Path(path) / "two.csv").write_text("a;other\n1;2\n")
+    with pytest.raises(Exception, match="not the header"):
+        csv_load.read_text_csv(spark, path, sep=";", quote="'").collect()
 
 
 def test_csv_headers(spark):
