@@ -1,8 +1,9 @@
 """Token counts: texts go into the tokenizer's library in batches of like size, and only lengths come out.
 
-A text is cut into pieces of about ``piece_chars`` characters at boundaries no token can cross, so a text of any length
-is encoded in bounded memory; pieces of many rows are put together into batches of about ``batch_bytes`` bytes, and the
-lengths are added up per row. Equal pieces of a batch are encoded once. Ids never leave the library.
+A text is cut at places no token can cross: into blocks of about ``block_chars`` characters, so a text of any length is
+encoded in bounded memory, and these into words. Blocks of many rows make up batches of about ``batch_bytes`` bytes; a
+batch's different words go to the library at once, and their lengths are added up per row. Lengths of short words are
+remembered, a bounded number of them. Ids never leave the library.
 
 Where a cut is safe is derived from the tokenizer's own description (``json_cuts``, ``piece_cuts``). A tokenizer whose
 description is not one of the known forms is given whole texts; so is a text without any such place, e.g. one endless word.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from silverlode.llm.common import batches_of, schema_of, slices, table, utf8
 
 TOKENIZER, LIMIT = "byte_bpe_50k.json", 512
-PIECE_CHARS, BATCH_BYTES = 1 << 16, 1 << 20
+BLOCK_CHARS, BATCH_BYTES = 1 << 16, 1 << 20
+REMEMBERED, SHORT = 1 << 18, 48
 #: A character that is no white space, then white space. The white space begins the next piece.
 BEFORE_SPACE = r"(?<=[!-~\p{L}\p{N}])(?=[ \n])"
 #: Also between ASCII letters and digits, and before the stops of scripts that write no spaces.
 BETWEEN_CLASSES = BEFORE_SPACE + r"|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[\p{Han}\p{Hiragana}\p{Katakana}])(?=[，。、！？])"
 #: One space between visible ASCII characters; it is dropped, since the next piece gets one put before it.
 AT_SPACE = r"(?<=[!-~]) (?=[!-~])"
+#: Where blanks and line feeds are the only white space, every run of them begins a word.
+WORD, ODD_SPACE = re.compile(r"[ \n]*[^ \n]+|[ \n]+"), re.compile(r"[^\S \n]")
 
 
 def path(name: str) -> str:
@@ -135,8 +140,10 @@ class Counter:
             library.no_padding()
             self._lengths = lambda texts: [len(x) for x in library.encode_batch_fast(texts, add_special_tokens=False)]
         self._cut = regex.compile(cuts) if cuts else None
+        self._by_word = cuts in (BEFORE_SPACE, BETWEEN_CLASSES)
+        self._known: dict[str, int] = {}
 
-    def pieces(self, text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+    def blocks(self, text: str, size: int = BLOCK_CHARS) -> Iterator[str]:
         """The text in pieces whose numbers of tokens add up to the text's; each about ``size`` characters."""
         start = 0
         while self._cut and len(text) - start > size:
@@ -147,33 +154,50 @@ class Counter:
             start = found.end()
         yield text[start:] if start else text
 
-    def counts(self, texts: Iterator[str], n: int, size: int = PIECE_CHARS, batch_bytes: int = BATCH_BYTES) -> np.ndarray:
+    def words(self, block: str) -> list[str]:
+        """The same at every safe place, or at those before blanks and line feeds."""
+        if self._cut is None:
+            return [block]
+        if self._by_word and not ODD_SPACE.search(block):
+            return WORD.findall(block)
+        out, start = [], 0
+        for found in self._cut.finditer(block):
+            out.append(block[start : found.start()])
+            start = found.end()
+        return [*out, block[start:]]
+
+    def _flush(self, held: list[tuple[int, list[str]]], out: np.ndarray) -> None:
+        known, new = self._known, set()
+        if len(known) > REMEMBERED:
+            known.clear()
+        for _, words in held:
+            new.update(words)
+        new = [w for w in new if w not in known]
+        known.update(zip(new, self._lengths(new)))
+        for row, words in held:
+            out[row] += sum(map(known.__getitem__, words))
+        for word in new:
+            if len(word) > SHORT:
+                del known[word]
+        held.clear()
+
+    def counts(self, texts: Iterator[str], n: int, size: int = BLOCK_CHARS, batch_bytes: int = BATCH_BYTES) -> np.ndarray:
         """Tokens per text, for ``n`` texts."""
-        out, held, rows, weight = np.zeros(n, np.int64), {}, [], 0
-
-        def flush() -> None:
-            if held:
-                lengths = np.fromiter(self._lengths(list(held)), np.int64, len(held))
-                np.add.at(out, [r for r, _ in rows], lengths[[k for _, k in rows]])
-            held.clear()
-            rows.clear()
-
+        out, held, weight = np.zeros(n, np.int64), [], 0
         for row, text in enumerate(texts):
-            for piece in self.pieces(text, size):
-                if piece not in held:
-                    weight += len(piece.encode())
-                    held[piece] = len(held)
-                rows.append((row, held[piece]))
+            for block in self.blocks(text, size):
+                held.append((row, self.words(block)))
+                weight += len(block.encode())
                 if weight >= batch_bytes:
-                    flush()
+                    self._flush(held, out)
                     weight = 0
-        flush()
+        self._flush(held, out)
         return out
 
 
 def token_counts(
     docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", tokenizer: str = TOKENIZER, limit: int = LIMIT,
-    piece_chars: int = PIECE_CHARS, batch_bytes: int = BATCH_BYTES,
+    block_chars: int = BLOCK_CHARS, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """Id columns, ``n_bytes`` (UTF-8), ``n_tokens``, ``over_limit`` (more than ``limit`` tokens)."""
     ids = list(ids)
@@ -184,7 +208,7 @@ def token_counts(
         for batch in slices(batches, "raw__", 8 * batch_bytes):
             raw = batch.column(len(ids))
             sizes = [len(x.as_buffer()) for x in raw]
-            counts = counter.counts((x.as_buffer().to_pybytes().decode("utf-8", "replace") for x in raw), len(raw), piece_chars, batch_bytes)
+            counts = counter.counts((x.as_buffer().to_pybytes().decode("utf-8", "replace") for x in raw), len(raw), block_chars, batch_bytes)
             yield batches_of([sizes, counts.tolist(), (counts > limit).tolist()], batch, ids, fields)
 
     added = "n_bytes long, n_tokens long, over_limit boolean"

@@ -62,15 +62,24 @@ def test_unknown_descriptions_are_not_cut():
     assert token_counts.json_cuts({**spec, "pre_tokenizer": None}) is None
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_remembered_words_are_bounded(name, monkeypatch):
+    monkeypatch.setattr(token_counts, "REMEMBERED", 20)
+    monkeypatch.setattr(token_counts, "SHORT", 6)
+    counter, texts = token_counts.Counter(name), [data.prose(i, 80) for i in range(20)]
+    assert counter.counts(iter(texts), 20, 100, 300).tolist() == whole(name, texts)
+    assert len(counter._known) < 200 and max(map(len, counter._known)) <= 6
+
+
 def test_a_text_without_a_safe_place_is_one_piece():
     text = "x" * 5000
-    assert list(COUNTERS[FILES[0]].pieces(text, 10)) == [text]
+    assert list(COUNTERS[FILES[0]].blocks(text, 10)) == [text]
 
 
 @pytest.mark.parametrize("name", FILES)
 def test_odd_rows(spark, name):
     rows = [*data.odd_texts(), (30, "a<|endoftext|>b <|endoftext|>"), (31, data.prose(7, 400) + "<|endoftext|>" * 3)]
-    got = token_counts.token_counts(data.table(spark, rows), ("doc_id", "text", "chunk"), tokenizer=name, limit=100, piece_chars=50, batch_bytes=2000).collect()
+    got = token_counts.token_counts(data.table(spark, rows), ("doc_id", "text", "chunk"), tokenizer=name, limit=100, block_chars=50, batch_bytes=2000).collect()
     counts = whole(name, [t or "" for _, t in rows])
     want = Counter((i, t, 1, len((t or "").encode()), n, n > 100) for (i, t), n in zip(rows, counts))
     assert Counter(tuple(r) for r in got) == want
