@@ -288,6 +288,24 @@ def test_similarity_equals_brute_force(spark, threshold, limit, skip):
         assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("threshold, width", [(0.9, 64), (0.6, 40), (0.25, 5), (0.1, 1)])
+def test_scan_equals_all_products(threshold, width):
+    rng = np.random.default_rng(width)
+    units = rng.normal(size=(1500, width))
+    units[::9] = units[0] + rng.normal(size=units[::9].shape) * 0.05
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    ids = rng.permutation(1500).astype(np.int64)
+    scan = similarity._Scan(similarity._rotation(units[:200]), threshold, 3, True)
+    got = sorted(zip(*[x.tolist() for x in scan.run(ids[:700], units[:700], ids, units)]))
+    scores = np.round(units[:700] @ units.T, similarity.DIGITS)
+    want = []
+    for q in range(700):
+        ranked = sorted((-s, i) for s, i in zip(scores[q].tolist(), ids.tolist()) if i != ids[q] and s >= threshold)[:3]
+        want += [(int(ids[q]), i, -s) for s, i in ranked]
+    assert [x[:2] for x in got] == [x[:2] for x in sorted(want)] and np.allclose([x[2] for x in got], [x[2] for x in sorted(want)], atol=2e-6)
+    assert scan.pairs == 700 * 1500 and (width < 64 or scan.full < 0.2 * scan.pairs)
+
+
 def test_similarity_without_entries(spark):
     some = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<double>")
     assert similarity.top_matches(some, some.limit(0)).count() == 0
