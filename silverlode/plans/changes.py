@@ -144,6 +144,23 @@ def time_travel(spark, folder):
     return union_all(frames)
 
 
+def merge_touched_files(spark, folder):
+    """Customers in sixteen files; ten rows merged, some updated, some deleted, some added: other files stay as they are."""
+    layer = Layer(spark, work_folder(spark, "customer-files"))
+    customer = read_folder(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    layer.write(customer.repartitionByRange(16, "c_custkey"))
+    changes = read_folder(spark, folder, "supplier").where("s_suppkey < 9").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal"))
+    new = changes.where("c_custkey = 3").withColumn("c_custkey", -F.col("c_custkey"))
+    done = [
+        layer.merge_keys(changes.union(new), ["c_custkey"]),
+        layer.update_where({"c_mktsegment": "none", "c_acctbal": F.col("c_acctbal") + 1}, "c_custkey BETWEEN 20 AND 24"),
+        layer.delete_where(F.col("c_custkey") == 30),
+        layer.append(changes.select((F.col("c_custkey") - 100).alias("c_custkey"), "c_name")),
+    ]
+    few = all(x.rewritten <= 2 for x in done)
+    return layer.read().withColumn("few_files", F.lit(few))
+
+
 def layer_check(spark, folder):
     """Bronze and Silver are written, Gold is not."""
     root = work_folder(spark, "lake")
@@ -343,6 +360,16 @@ QUERIES = {
            UNION ALL SELECT c_mktsegment, 1, count(*), round(sum(c_acctbal::DECIMAL(18,2))::DOUBLE, 2) FROM customer
            WHERE c_acctbal >= 0 GROUP BY ALL""",
     ),
+    "merge_touched_files": (
+        merge_touched_files,
+        """WITH s AS (SELECT s_suppkey AS k, s_name, s_acctbal FROM supplier WHERE s_suppkey < 9), merged AS (
+             SELECT c_custkey, coalesce(s_name, c_name) AS c_name, CASE WHEN k IS NULL THEN c_acctbal ELSE s_acctbal END AS c_acctbal, c_mktsegment FROM customer LEFT JOIN s ON c_custkey = k
+             UNION ALL SELECT k, s_name, s_acctbal, NULL FROM s WHERE k NOT IN (SELECT c_custkey FROM customer)
+             UNION ALL SELECT -k, s_name, s_acctbal, NULL FROM s WHERE k = 3)
+           SELECT c_custkey, c_name, CASE WHEN c_custkey BETWEEN 20 AND 24 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+             CASE WHEN c_custkey BETWEEN 20 AND 24 THEN 'none' ELSE c_mktsegment END AS c_mktsegment, true AS few_files FROM merged WHERE c_custkey <> 30
+           UNION ALL SELECT k - 100, s_name, NULL, NULL, true FROM s""",
+    ),
     "layer_check": (
         layer_check,
         """SELECT 'Bronze' AS layer, true AS present, 0::BIGINT AS version, count(*) AS row_count FROM customer

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.session import work_folder
-from silverlode.sources import csv_load, history, tables
+from silverlode.sources import csv_load, history, layers, tables
 from silverlode.sources.layers import Layer, layer_health, table_health
 from silverlode.streaming.report_stream import refresh_report
 
@@ -161,6 +161,55 @@ def test_layer_versions(spark):
     assert layer.register("layer_now").count() == 1 and layer.register("layer_now", 0).count() == 2
 
 
+def test_changes_rewrite_touched_files_only(spark):
+    layer = Layer(spark, work_folder(spark, "layer"))
+    rows = spark.range(1000).select("id", F.concat(F.lit("n"), "id").alias("name"), F.lit(None).cast("int").alias("none"))
+    layer.write(rows.repartitionByRange(100, "id"))
+    first = {r["file"] for r in layer.files(0).collect()}
+    assert len(first) == 100 and {r["rows"] for r in layer.files(0).collect()} <= set(range(5, 20))
+    changes = spark.createDataFrame([(i, f"new{i}") for i in (5, 6, 7, 500, 501, 5000, 5001, 5002, 5003)] + [(None, "nobody")], "id long, name string")
+    done = layer.merge_keys(changes, ["id"])
+    assert done.version == 1 and 2 <= done.rewritten <= 5 and done.kept == 100 - done.rewritten
+    assert len(first & {r["file"] for r in layer.files(1).collect()}) == done.kept
+    now = {r["id"]: r["name"] for r in layer.read().collect() if r["id"] is not None}
+    assert len(now) == 1004 and now[5] == "new5" and now[501] == "new501" and now[5003] == "new5003" and now[8] == "n8"
+    assert layer.read().count() == 1005 and layer.versions().where("version = 1").first().row_count == 1005
+    done = layer.update_where({"none": 1}, "name = 'n999'")
+    assert (done.rewritten, layer.read().where("none = 1").count()) == (1, 1)
+    done = layer.delete_where("name = 'no such name'")
+    assert (done.rewritten, done.added, layer.read().count()) == (0, 0, 1005)
+    done = layer.append(spark.createDataFrame([(7000,)], "id long"))
+    assert (done.rewritten, layer.read().count()) == (0, 1006) and done.kept == layer.files(3).count()
+    by_name = layer.merge_keys(spark.createDataFrame([("n10", 10), ("new", 11)], "name string, none int"), ["name"])
+    assert by_name.rewritten <= 2 and {(r["id"], r["none"]) for r in layer.read().where("name in ('n10', 'new')").collect()} == {(10, 10), (None, 11)}
+    other_type = layer.merge_keys(spark.createDataFrame([("20", "decimal")], "id string, name string").selectExpr("cast(id as decimal(20,1)) id", "name"), ["id"])
+    assert other_type.rewritten == 1 and layer.read().where("name = 'decimal'").first()["id"] == 20
+    assert layer.read(0).count() == 1000 and layer.register("layer_files").count() == layer.read().count()
+    layer.write(layer.read().withColumn("more", F.lit(2)), merge_schema=True)
+    assert layer.delete_where("id < 990").version == 8 and layer.read().columns[-1] == "more"
+
+
+def test_many_keys_are_looked_up_by_stretches(spark, monkeypatch):
+    monkeypatch.setattr(layers, "STRETCHES", 4)
+    layer = Layer(spark, work_folder(spark, "layer"))
+    layer.write(spark.range(400).repartitionByRange(20, "id"))
+    changes = spark.range(100, 160).withColumn("x", F.lit(1))
+    met = layer.files(0).where(layers._meets(layer.files(0), changes, ["id"], layer.read().schema)).count()
+    assert 3 <= met <= 6
+    assert layer.merge_keys(changes, ["id"]).rewritten == met and layer.read().count() == 400
+
+
+def test_changes_to_nothing(spark):
+    layer = Layer(spark, work_folder(spark, "layer"))
+    with pytest.raises(ValueError, match="no version"):
+        layer.append(spark.range(1))
+    layer.write(spark.range(0))
+    assert layer.read().count() == 0
+    assert layer.merge_keys(spark.range(3), ["id"]).rewritten == 0 and layer.read().count() == 3
+    assert layer.delete_where("id >= 0").rewritten >= 1 and layer.read().count() == 0
+    assert layer.append(spark.range(2)).version == 3 and layer.read().count() == 2
+
+
 def test_layer_health(spark):
     root = work_folder(spark, "health")
     Layer(spark, f"{root}/b/bronze").write(spark.range(3))
