@@ -12,8 +12,9 @@ from silverlode.operators.concat import ordered_concat
 from silverlode.plans.guarding import derived
 from silverlode.session import work_folder
 from silverlode.sources import history
+from silverlode.sources.layers import Layer
 from silverlode.sources.tables import read_folder, sample_blocks
-from silverlode.streaming.report_stream import refresh_report
+from silverlode.streaming.report_stream import refresh_report, refresh_state
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -294,6 +295,37 @@ def execution_report(spark, folder):
     )
 
 
+ATTEMPTS_SQL = """
+SELECT cast(event_id AS STRING) AS record_id, cast(user_id AS STRING) AS execution_id, cast(ts AS TIMESTAMP) AS at, CASE WHEN event_id % 3 = 0 THEN 'select' ELSE 'select_ai' END AS phase,
+  date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS started_at, date_format(ts, 'yyyy-MM-dd HH:mm:ss') || 'z' AS finished_at, (event_id % 1000 - 100) * 125.0D AS elapsed_ms,
+  'screen' AS screen_name, event_type AS status, cast(event_id AS STRING) AS result_count FROM events
+"""
+
+
+def report_state(spark, folder):
+    """Two refreshes of a report's state; the second finds new attempts and a part of the first ones once more."""
+    source, mark = work_folder(spark, "attempts-in"), work_folder(spark, "attempts-mark")
+    layer = Layer(spark, work_folder(spark, "attempts-state"))
+    attempts = derived(spark, folder, ATTEMPTS_SQL, "events")
+    for part in ("status <> 'click'", "status IN ('click', 'view')"):
+        attempts.where(part).write.mode("append").json(source)
+        refresh_state(spark, source, layer, mark, "20000 days").awaitTermination()
+    done = report.state_records(layer.read())
+    return done.select(
+        F.col("`実行ID`").alias("id"), F.col("`試行回数`").alias("attempts"), F.col("`実行開始時間`").alias("started_at"), F.col("`Select AI経過時間（秒）`").alias("generate_seconds"),
+        F.col("`SQL実行終了時間`").alias("run_end"), F.col("`全体経過時間（秒）`").alias("total_seconds"), F.col("`ステータス`").alias("status"), F.col("`結果件数`").alias("result_count"),
+    )
+
+
+REPORT_STATE_SQL = """
+WITH t AS (SELECT CAST(user_id AS VARCHAR) AS id, event_id, event_id % 3 <> 0 AS g, strftime(ts, '%Y-%m-%d %H:%M:%S') AS start, greatest(0, (event_id % 1000 - 100) * 125) AS ms, event_type, ts FROM events)
+SELECT id, CAST(count(*) FILTER (g) AS VARCHAR) AS attempts, min(start) AS started_at, coalesce(printf('%.3f', sum(ms) FILTER (g) / 1000), '') AS generate_seconds,
+  coalesce(max(start || 'z') FILTER (NOT g), '') AS run_end, printf('%.3f', sum(ms) / 1000) AS total_seconds,
+  first(event_type ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS status, first(CAST(event_id AS VARCHAR) ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS result_count
+FROM t GROUP BY id
+"""
+
+
 # -- vectors and models -------------------------------------------------------------------------------------------------------
 
 
@@ -498,6 +530,7 @@ QUERIES = {
         """SELECT l_orderkey AS execution_id, CASE WHEN l_linestatus = 'O' THEN 'select_ai' ELSE 'select' END AS phase,
            sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity * 125 END) AS elapsed_ms, count(*) AS attempts FROM lineitem GROUP BY 1, 2""",
     ),
+    "report_state": (report_state, REPORT_STATE_SQL),
     "execution_report": (
         execution_report,
         """WITH t AS (SELECT l_orderkey,

@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.operators import report
 from silverlode.session import work_folder
 from silverlode.sources import csv_load, history, layers, tables
 from silverlode.sources.layers import Layer, layer_health, table_health
-from silverlode.streaming.report_stream import refresh_report
+from silverlode.streaming.report_stream import refresh_report, refresh_state
 
 TARGET = T.StructType(
     [
@@ -289,3 +290,44 @@ def test_history_stream(spark):
     _lines(source, ['{"画面名":"s3"}'])
     refresh_report(spark, source, target, mark).awaitTermination()
     assert sorted(r["画面名"] for r in spark.read.parquet(target).collect()) == ["s1", "s2", "s3"]
+
+
+def _attempts(spark, rows, folder):
+    frame = spark.createDataFrame([(f"{e}-{n}", e, dt.datetime(2024, 1, day), phase, f"2024-01-{day:02d}", ms, status) for e, n, day, phase, ms, status in rows],
+                                  "record_id string, execution_id string, at timestamp, phase string, started_at string, elapsed_ms double, status string")
+    frame.withColumn("finished_at", F.concat("started_at", F.lit("z"))).coalesce(1).write.mode("append").json(folder)
+
+
+def test_report_state(spark):
+    """Refreshes with replayed files, late records and a repeated micro-batch equal one pass over all records."""
+    source, mark, layer = work_folder(spark, "in"), work_folder(spark, "mark"), Layer(spark, work_folder(spark, "state"))
+    first = [("a", 1, 5, "select_ai", 100.0, "s1"), ("a", 2, 6, "select", 50.5, "s2"), ("b", 1, 6, "select_ai", -3.0, "t1")]
+    second = [("a", 3, 4, "select_ai", 7.0, "old"), ("c", 1, 7, "select", 1.0, "u1")]
+    late = [("b", 2, 1, "select", 9.0, "too late")]
+
+    def refresh():
+        refresh_state(spark, source, layer, mark, "3 days").awaitTermination()
+
+    def now():
+        return {r["execution_id"]: (r["attempts"], r["g_ms"] and float(r["g_ms"]), r["r_ms"] and float(r["r_ms"]), r["started_at"], r["latest"]["status"]) for r in layer.read().collect()}
+
+    _attempts(spark, first, source)
+    refresh()
+    assert now() == {"a": (1, 100.0, 50.5, "2024-01-05", "s2"), "b": (1, 0, None, "2024-01-06", "t1")}
+    _attempts(spark, first, source)  # replayed
+    _attempts(spark, second, source)
+    refresh()
+    want = {"a": (2, 107.0, 50.5, "2024-01-04", "s2"), "b": (1, 0, None, "2024-01-06", "t1"), "c": (0, None, 1.0, "2024-01-07", "u1")}
+    assert now() == want
+    _attempts(spark, late, source)
+    refresh()
+    assert now() == want
+    public = {r["実行ID"]: r for r in report.state_records(layer.read()).collect()}
+    assert public["a"]["全体経過時間（秒）"] == "0.158" and public["a"]["ステータス"] == "s2" and public["c"]["Select AI経過時間（秒）"] == ""
+
+
+def test_a_repeated_batch_is_left_out(spark):
+    layer = Layer(spark, work_folder(spark, "state"))
+    part = spark.createDataFrame([("a", 5)], "execution_id string, batch long")
+    layer.write(part)
+    assert layer.files(0).agg(F.max("high batch")).first()[0] == 5
