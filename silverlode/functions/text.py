@@ -1,12 +1,12 @@
 """Text expressions for answers, logs, payloads and names.
 
-All are built-in expressions. The one Python helper, ``pretty_json``, is an Arrow UDF and gets NULL for every cell
-that does not look like JSON.
+All are built-in expressions but one: payloads nested deeper than those follow go through an Arrow UDF.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import pandas as pd
 from pyspark.sql import Column
@@ -106,19 +106,101 @@ def decode_bytes(data: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(data.cast("string")), F.decode(data, "ISO-8859-1"))
 
 
-@F.pandas_udf(T.StringType())
-def pretty_json(cells: pd.Series) -> pd.Series:
-    """Indented JSON; NULL when the text is not JSON."""
+def _bind(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body looks at it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+# JSON again as indented text, without leaving the JVM. Two characters that no JSON text holds stand for escapes meanwhile.
+_BACKSLASH, _QUOTE = "\x01", "\x02"
+_TOKENS = r'"[^"]*"|[{}\[\]:,]|[^\s{}\[\]:,"]+'
+_STRETCH = 128  # tokens whose depths are counted together
 
-    def one(cell):
-        if cell is None:
-            return None
-        try:
-            return json.dumps(json.loads(cell), ensure_ascii=False, indent=2)
-        except ValueError:
-            return None
 
-    return cells.map(one, na_action="ignore")
+def _float_text(token: Column) -> Column:
+    """The shortest decimal form: plain digits for exponents from -4 to 15, else ``1.5e-07``."""
+
+    def form(s: Column) -> Column:
+        mantissa, power = F.substring_index(s, "E", 1), F.substring_index(s, "E", -1).try_cast("int")
+        sign, short = F.when(s.startswith("-"), "-").otherwise(""), F.regexp_replace(mantissa, r"\.0$", "")
+        digits = F.regexp_replace(short, r"[.-]", "")
+        whole = F.concat(F.rpad(digits, power + 1, "0"), F.lit(".0"))
+        parted = F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))
+        large = F.concat(sign, F.when(F.length(digits) <= power + 1, whole).otherwise(parted))
+        other = F.concat(short, F.lit("e"), F.when(power < 0, "-").otherwise("+"), F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), "0"))
+        return F.when(~s.contains("E"), s).when(power.between(7, 15), large).when(power == -4, F.concat(sign, F.lit("0.000"), digits)).otherwise(other)
+
+    return _bind(token.try_cast("double").cast("string"), form)
+
+
+def _string_token(token: Column) -> Column:
+    """A string as the shortest JSON of its characters; only those with numbered or needless escapes need a look."""
+    own = F.replace(F.replace(token, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
+
+    def escaped(text: Column) -> Column:
+        for char, escape in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"), ("\b", "\\b"), ("\f", "\\f")):
+            text = F.replace(text, F.lit(char), F.lit(escape))
+        for code in (*range(8), 11, *range(14, 32)):
+            text = F.replace(text, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
+        return F.concat(F.lit('"'), text, F.lit('"'))
+
+    read = F.try_variant_get(F.try_parse_json(own), "$", "string")
+    return F.when(token.contains("\\u") | token.contains("\\/"), escaped(read)).otherwise(own)
+
+
+def pretty_json(text: Column) -> Column:
+    """Indented JSON (two blanks a level, numbers and strings in their shortest form); NULL when the text is not JSON.
+
+    The text is cut into tokens, their depths are summed up stretch by stretch, and every token is written with the line
+    break and blanks that belong to it. JSON with a repeated key in an object, or deeper than the reader goes, is NULL.
+    """
+    masked = F.replace(F.replace(text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
+
+    def step(token: Column) -> Column:
+        return F.when(token.isin("{", "["), 1).when(token.isin("}", "]"), -1).otherwise(0)
+
+    def depths(tokens: Column) -> Column:
+        zero = F.array().cast("array<int>")
+        stretches = F.transform(F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / _STRETCH).cast("int")), lambda k: F.slice(tokens, k * _STRETCH + 1, _STRETCH))
+
+        def running(values: Column, start: Column) -> Column:
+            first = F.struct(start.cast("int").alias("now"), zero.alias("all"))
+
+            def add(acc: Column, x: Column) -> Column:
+                return F.struct((acc["now"] + x).alias("now"), F.array_append(acc["all"], acc["now"] + x).alias("all"))
+
+            return F.aggregate(values, first, add, lambda acc: acc["all"])
+
+        def laid(parts: Column) -> Column:
+            sums = F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda a, t: a + step(t)))
+            before = F.concat(F.array(F.lit(0)), running(sums, F.lit(0)))
+            return F.flatten(F.transform(parts, lambda p, k: running(F.transform(p, step), F.get(before, k))))
+
+        return _bind(stretches, laid)
+
+    def written(tokens: Column) -> Column:
+        def one(depth: Column):
+            def put(token: Column, k: Column) -> Column:
+                line = F.concat(F.lit("\n"), F.repeat(F.lit("  "), F.get(depth, k)))
+                empty_ahead, empty_behind = F.get(tokens, k + 1).isin("}", "]"), F.get(tokens, k - 1).isin("{", "[")
+                number = token.rlike("^-?[0-9]")
+                whole = F.when(token == "-0", "0").otherwise(token)
+                return (
+                    F.when(token.isin("{", "["), F.when(empty_ahead, token).otherwise(F.concat(token, line)))
+                    .when(token.isin("}", "]"), F.when(empty_behind, token).otherwise(F.concat(line, token)))
+                    .when(token == ",", F.concat(token, line))
+                    .when(token == ":", ": ")
+                    .when(token.startswith('"'), _string_token(token))
+                    .when(number & token.rlike("[.eE]"), _float_text(token))
+                    .when(number, whole)
+                    .otherwise(token)
+                )
+
+            return F.array_join(F.transform(tokens, put), "")
+
+        return _bind(depths(tokens), one)
+
+    return F.when(F.try_parse_json(text).isNotNull(), _bind(F.regexp_extract_all(masked, F.lit(_TOKENS), F.lit(0)), written))
 
 
 def looks_like_json(text: Column) -> Column:
@@ -155,11 +237,6 @@ def _kind(value: Column) -> Column:
     return F.schema_of_variant(value)
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often the body looks at it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _string(node: Column, path: str) -> Column:
     """The string at a path; NULL for anything that is not a string."""
 
@@ -201,6 +278,51 @@ def _deep_content(node) -> str:
     return "".join(out)
 
 
+_NESTED = re.compile(r'\s*(?:("(?:[^"\\]|\\.)*")|([{}\[\]:,])|([^\s{}\[\]:,"]+))', re.DOTALL)
+
+
+def _nested(text: str):
+    """A JSON value of any depth: containers wait on a list instead of in calls. Raises ValueError for other text."""
+    open_, at, end = [], 0, len(text.rstrip())
+    value, key, wanted = None, None, "value"  # ``wanted``: value, first (value or end of a list), name, end (name or end), colon, more
+    while at < end:
+        found = _NESTED.match(text, at)
+        if not found:
+            raise ValueError("not JSON")
+        string, sign, word = found.groups()
+        at = found.end()
+        closes = sign in ("}", "]") and open_ and isinstance(open_[-1][0], dict) == (sign == "}")
+        if closes and wanted in ("more", "end" if sign == "}" else "first"):
+            value, key = open_.pop()
+        elif sign == "," and wanted == "more" and open_:
+            wanted = "name" if isinstance(open_[-1][0], dict) else "value"
+            continue
+        elif string and wanted in ("name", "end"):
+            key, wanted = json.loads(string), "colon"
+            continue
+        elif sign == ":" and wanted == "colon":
+            wanted = "value"
+            continue
+        elif wanted not in ("value", "first") or sign in ("}", "]", ":", ","):
+            raise ValueError("not JSON")
+        elif sign:
+            open_.append(({}, key) if sign == "{" else ([], key))
+            wanted = "end" if sign == "{" else "first"
+            continue
+        else:
+            value = json.loads(string or word)
+        wanted = "more"
+        if not open_:
+            wanted = "nothing"
+        elif isinstance(open_[-1][0], dict):
+            open_[-1][0][key] = value
+        else:
+            open_[-1][0].append(value)
+    if open_ or wanted != "nothing":
+        raise ValueError("not JSON")
+    return value
+
+
 @F.pandas_udf(T.StringType())
 def _deep_payload_text(payloads: pd.Series) -> pd.Series:
     def part(value, *path):
@@ -212,8 +334,8 @@ def _deep_payload_text(payloads: pd.Series) -> pd.Series:
         if payload is None:
             return None
         try:
-            root = json.loads(payload)
-        except (ValueError, RecursionError):
+            root = _nested(payload)
+        except ValueError:
             return ""
         choices = part(root, "choices")
         nodes = [part(c, *path) for c in (choices if isinstance(choices, list) else []) for path in (("delta", "content"), ("message", "content"), ("content",))]

@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,11 +144,33 @@ def test_payload_text(one):
         "[1]": "",
         '{"content":[[["deep"]]]}': "deep",
         "broken": "",
+        '{"content":' + "[" * 20_000 + '"far"' + "]" * 20_000 + "}": "far",
+        '{"choices":[' + '{"content":{"content":' * 20_000 + '"farther"' + "}}" * 20_000 + "]}": "farther",
+        '{"content":' + "[" * 20_000 + '"open"' + "]" * 19_999 + "}": "",
+        '{"content":[[[[[1,]]]]]}': "",
         None: "",
     }
     assert one(list(cases), tx.payload_text("x")) == list(cases.values())
 
 
+def _random_json(rng, depth=0):
+    kind = rng.random()
+    if depth < 5 and kind < 0.25:
+        return {rng.choice(["a", "b c", "é", 'q"', "\\", ""]) + str(i): _random_json(rng, depth + 1) for i in range(rng.randint(0, 4))}
+    if depth < 5 and kind < 0.5:
+        return [_random_json(rng, depth + 1) for _ in range(rng.randint(0, 5))]
+    return rng.choice([None, True, False, 0, -7, 12345678901234567890, 1.5, -0.25, 1e5, 1e22, 1.5e-7, 123456789.25, 0.0001, -2e16, 1e300, "text", "{,}", 'say "x"', "a\\", "\\\"", "line\nbreak\t", "日本 😀", "\x07", ""])
+
+
+def test_pretty_json(one):
+    rng = random.Random(4)
+    values = [_random_json(rng) for _ in range(150)] + [[list(range(1000)), {"k": [[]] * 300}], {}, [], {"a": []}, [[[{}]]]]
+    texts = [json.dumps(v, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 1]), separators=rng.choice([None, (",", ":")])) for v in values]
+    texts += ['["\\u00e9\\/\\u000a\\u0007 \\\\u0041"]', "[1E5, 1.0e+2, -0, -0.0, 1e400, 100.10, 1e-4, 0.00012]", " [ 1 , 2 ] "]
+    assert one(texts, tx.pretty_json(F.col("x"))) == [json.dumps(json.loads(t), ensure_ascii=False, indent=2) for t in texts]
+    assert one(["{", "[1,]", "text", "", None, '{"a":1,"a":2}', "\x01", "[1] 2"], tx.pretty_json(F.col("x")))[:5] == [None] * 5
+
+
 def test_reply_text(one):
     cases = {
         '{"reply":"a","content":"b"}': "a", '{"reply":1,"content":"b"}': "b", '{"x":1}': '{\n  "x": 1\n}', "[1]": "[\n  1\n]", " text ": "text", "": "",

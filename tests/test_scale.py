@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 from silverlode.operators import enrich, lookup, mutate
 from tests.conftest import SF
 
-PYTHON_USERS = {"value_normalise", "reply_text", "vector_topk", "classify_fit_predict", "payload_text"}
+PYTHON_USERS = {"vector_topk", "classify_fit_predict", "payload_text", "glossary_rewrite"}
 
 
 def plan(df, final=False):
@@ -83,7 +83,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 @pytest.mark.parametrize(
-    "name", ["medallion_flagship", "merge_upsert", "policy_inventory", "privilege_audit", "object_split", "key_listagg", "glossary_rewrite", "vector_topk", "csv_load", "payload_text"]
+    "name", ["medallion_flagship", "merge_upsert", "policy_inventory", "privilege_audit", "object_split", "key_listagg", "glossary_rewrite", "vector_topk", "csv_load", "payload_text", "value_normalise", "reply_text"]
 )
 def test_plans_without_cross_joins_and_row_udfs(skewed, name):
     text = plan(entry.queries()[name](skewed, SF))
