@@ -183,16 +183,19 @@ def pretty_json(text: Column) -> Column:
             def put(token: Column, k: Column) -> Column:
                 line = F.concat(F.lit("\n"), F.repeat(F.lit("  "), F.get(depth, k)))
                 empty_ahead, empty_behind = F.get(tokens, k + 1).isin("}", "]"), F.get(tokens, k - 1).isin("{", "[")
-                number = token.rlike("^-?[0-9]")
-                whole = F.when(token == "-0", "0").otherwise(token)
+                number = F.when(token.rlike("[.eE]"), _float_text(token)).when(token == "-0", "0").otherwise(token)
+                first = F.ascii(token)
+
+                def starts(chars: str) -> Column:
+                    return first.isin(*map(ord, chars))
+
                 return (
-                    F.when(token.isin("{", "["), F.when(empty_ahead, token).otherwise(F.concat(token, line)))
-                    .when(token.isin("}", "]"), F.when(empty_behind, token).otherwise(F.concat(line, token)))
-                    .when(token == ",", F.concat(token, line))
-                    .when(token == ":", ": ")
-                    .when(token.startswith('"'), _string_token(token))
-                    .when(number & token.rlike("[.eE]"), _float_text(token))
-                    .when(number, whole)
+                    F.when(starts('"'), _string_token(token))
+                    .when(starts(":"), ": ")
+                    .when(starts(","), F.concat(token, line))
+                    .when(starts("-0123456789"), number)
+                    .when(starts("{["), F.when(empty_ahead, token).otherwise(F.concat(token, line)))
+                    .when(starts("}]"), F.when(empty_behind, token).otherwise(F.concat(line, token)))
                     .otherwise(token)
                 )
 
@@ -200,7 +203,24 @@ def pretty_json(text: Column) -> Column:
 
         return _bind(depths(tokens), one)
 
-    return F.when(F.try_parse_json(text).isNotNull(), _bind(F.regexp_extract_all(masked, F.lit(_TOKENS), F.lit(0)), written))
+    signs = lambda c, these: F.length(c) - F.length(F.translate(c, these, ""))
+    blanks = F.lit(" \t\r\n")
+
+    def quick(m: Column) -> Column:
+        inner = F.btrim(F.substring(m, F.lit(2), F.length(m) - 2), blanks)
+        lines = F.regexp_replace(F.regexp_replace(inner, r"\s*,\s*", ",\n  "), r"\s*:\s*", ": ")
+        shown = F.concat(F.substring(m, 1, 1), F.lit("\n  "), lines, F.lit("\n"), F.substring(m, -1, 1))
+        return F.replace(F.replace(shown, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
+
+    def either(m: Column) -> Column:
+        # One level without signs in strings, numbered escapes or numbers to rewrite: breaks are put in by replacement.
+        def plain(bare: Column) -> Column:
+            return (signs(m, "{}[]:,") == signs(bare, "{}[]:,")) & (signs(bare, "{}[]") == 2) & ~bare.rlike(r"[0-9][.eE]|-0(?![0-9])|^.\s*.$")
+
+        simple = ~m.contains("\\u") & ~m.contains("\\/") & _bind(F.regexp_replace(m, '"[^"]*"', ""), plain)
+        return F.when(simple, quick(m)).otherwise(_bind(F.regexp_extract_all(m, F.lit(_TOKENS), F.lit(0)), written))
+
+    return F.when(F.try_parse_json(text).isNotNull(), _bind(F.btrim(masked, blanks), either))
 
 
 def looks_like_json(text: Column) -> Column:
@@ -215,9 +235,7 @@ def unescape(text: Column) -> Column:
 
 def normalise_value(text: Column) -> Column:
     """P10 for text cells: trimmed, JSON indented, literal escapes turned into characters."""
-    trimmed = strip(text)
-    indented = pretty_json(F.when(looks_like_json(trimmed), trimmed))
-    return unescape(F.coalesce(indented, trimmed))
+    return _bind(strip(text), lambda t: unescape(F.coalesce(pretty_json(F.when(looks_like_json(t), t)), t)))
 
 
 def json_or_text(value: Column) -> Column:
