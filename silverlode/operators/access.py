@@ -10,6 +10,7 @@ import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, fields
 from decimal import Decimal, InvalidOperation
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from silverlode.functions.text import OBJECT_NAME, is_object_name
 from silverlode.operators.skew import match, match_keys
+from silverlode.session import work_folder
 
 NONE, FULL, ROW_MATCH, RELATION_MATCH = "NONE", "FULL", "ROW_MATCH", "RELATION_MATCH"
 STAGED, ACTIVE, ERROR = "STAGED", "ACTIVE", "ERROR"
@@ -57,6 +59,17 @@ DANGEROUS_PRIVILEGES = [
 ]
 DANGEROUS_ROLES = ["DBA", "ADB_DBA"]
 BROAD_READS = ["READ ANY TABLE", "SELECT ANY TABLE"]
+# Texts of findings, checks of a session's rights, and what the list of policies says.
+FINDING_GRANTED, FINDING_NOT_GRANTED, FINDING_NONE = "付与あり", "付与なし", "なし"
+FINDING_BROAD, FINDING_BROAD_EFFECTIVE = "付与あり。テーブル許可リストへの移行が必要です", "有効。テーブル許可リストへの移行が必要です"
+EFFECTIVE_CHECKS = [
+    "実行セッションの危険な有効権限",
+    "実行セッションのADMIN schema全表読取",
+    "実行セッションの想定外Schema権限",
+    "実行セッションの想定外オブジェクト権限",
+]
+MANAGED, FOREIGN = "管理対象", "参照のみ・競合"
+NOTE_FOREIGN = "未登録Policyです。高度な操作から削除できます"
 CHARACTER_TYPES = ["CHAR", "NCHAR", "VARCHAR2", "NVARCHAR2"]
 
 
@@ -461,7 +474,7 @@ def privilege_audit(
     users: DataFrame, system: DataFrame, roles: DataFrame, schemas: DataFrame, objects: DataFrame, rules: DataFrame,
     owner: str, context_package: str,
 ) -> DataFrame:
-    """For every user the checks with their status and the number of findings.
+    """For every user the checks with their status, the number of findings, and what was found as text.
 
     ``users``: grantee. ``system``: grantee, privilege. ``roles``: grantee, role. ``schemas``: grantee, privilege,
     schema_name. ``objects``: grantee, owner, object_name, privilege. The grants are turned into (grantee, check)
@@ -491,7 +504,8 @@ def privilege_audit(
     found = marks[0]
     for mark in marks[1:]:
         found = found.unionByName(mark)
-    counts = found.distinct().groupBy(F.col("grantee").alias("u__"), F.col("check").alias("c__")).agg(F.count("*").alias("findings"))
+    listed_items = F.expr("listagg(item, ', ') WITHIN GROUP (ORDER BY item)").alias("items")
+    counts = found.distinct().groupBy(F.col("grantee").alias("u__"), F.col("check").alias("c__")).agg(F.count("*").alias("findings"), listed_items)
     checks = [
         ("privilege CREATE SESSION", MISSING, True),
         ("context execute", MISSING, True),
@@ -507,14 +521,93 @@ def privilege_audit(
     expected = users.select("grantee").distinct().select("grantee", listed.alias("c")).select("grantee", "c.*")
     joined = expected.join(counts, (F.col("grantee") == F.col("u__")) & (F.col("check") == F.col("c__")), "left")
     n = F.coalesce("findings", F.lit(0))
+    lists = F.col("check").isin("unexpected schema privilege", "unregistered read")
+    granted = F.when(F.col("check") == "broad schema read", FINDING_BROAD).otherwise(FINDING_GRANTED)
     return joined.select(
         "grantee",
         "check",
         F.when(F.col("required") == (n > 0), OK).otherwise(F.col("bad")).alias("status"),
         n.alias("findings"),
+        F.when(lists, F.coalesce("items", F.lit(FINDING_NONE))).when(n > 0, granted).otherwise(FINDING_NOT_GRANTED).alias("finding"),
     )
 
 
+def reachable_roles(users: DataFrame, roles: DataFrame) -> DataFrame:
+    """(``user``, ``holder``): each user and every role held directly or through other roles, as text.
+
+    ``users``: grantee. ``roles``: grantee (a user or a role), role. A round adds the roles of the roles found last, until
+    nothing is new, so grants that form a circle end. Each round is a join that can split a role which many users hold.
+    """
+    spark = users.sparkSession
+    folder = work_folder(spark, "roles")
+    grants = roles.select(F.col("grantee").cast("string").alias("from__"), F.col("role").cast("string").alias("to__")).where("from__ IS NOT NULL AND to__ IS NOT NULL").distinct()
+    newest = users.select(F.col("grantee").cast("string").alias("user")).where("user IS NOT NULL").distinct().withColumn("holder", F.col("user"))
+    schema, number = "user string, holder string", 0
+    while True:
+        newest.write.parquet(f"{folder}/{number:05d}")
+        newest = spark.read.schema(schema).parquet(f"{folder}/{number:05d}")
+        known = spark.read.schema(schema).parquet(f"{folder}/*")
+        if newest.isEmpty():
+            return known
+        number += 1
+        found = newest.join(grants, match([newest["holder"]], [grants["from__"]])).select("user", F.col("to__").alias("holder")).distinct()
+        newest = found.join(known.toDF("u__", "h__"), match([found["user"], found["holder"]], [F.col("u__"), F.col("h__")]), "left_anti")
+
+
+def effective_audit(
+    users: DataFrame, system: DataFrame, roles: DataFrame, schemas: DataFrame, objects: DataFrame, owner: str, registry_table: str, context_package: str,
+) -> DataFrame:
+    """What a session of each user may do in the end, in four checks with status and findings as text.
+
+    Tables as for ``privilege_audit``, but a grantee may be a role: rights count that a user or any reachable role holds.
+    Object rights are as expected only where the user's own: reading the owner's tables but the registry, and the context.
+    """
+    held = reachable_roles(users, roles)
+
+    def through(grants: DataFrame, check: str, item: Column, where: Column) -> DataFrame:
+        rows = grants.where(where).select(F.col("grantee").cast("string").alias("g__"), F.struct(*[F.col(c) for c in grants.columns]).alias("r__"))
+        joined = held.join(rows, match([held["holder"]], [rows["g__"]])).select("user", "holder", "r__.*")
+        return joined.select("user", F.lit(check).alias("check"), item.alias("item"))
+
+    broad = F.col("privilege").isin(*BROAD_READS) & (F.col("schema_name") == owner)
+    own = (F.col("user") == F.col("holder")) & (F.col("owner") == owner)
+    expected = own & (
+        ((F.col("object_name") == context_package) & (F.col("privilege") == "EXECUTE"))
+        | ((F.col("object_name") != registry_table) & F.col("privilege").isin("READ", "SELECT"))
+    )
+    where = F.concat(F.col("privilege"), F.lit(" ON "), F.col("owner"), F.lit("."), F.col("object_name"), F.lit(" ("), F.col("holder"), F.lit(")"))
+    found = reduce(
+        DataFrame.unionByName,
+        [
+            through(system, EFFECTIVE_CHECKS[0], F.col("privilege"), F.col("privilege").isin(*DANGEROUS_PRIVILEGES)),
+            held.where(F.col("holder").isin(*DANGEROUS_ROLES) & (F.col("holder") != F.col("user"))).select("user", F.lit(EFFECTIVE_CHECKS[0]).alias("check"), F.col("holder").alias("item")),
+            through(schemas, EFFECTIVE_CHECKS[1], F.lit(FINDING_BROAD_EFFECTIVE), broad),
+            through(schemas, EFFECTIVE_CHECKS[2], F.concat_ws(" ON SCHEMA ", "privilege", "schema_name"), ~broad),
+            through(objects, EFFECTIVE_CHECKS[3], F.when(~F.coalesce(expected, F.lit(False)), where), F.lit(True)).where("item IS NOT NULL"),
+        ],
+    )
+    texts = found.distinct().groupBy(F.col("user").alias("u__"), F.col("check").alias("c__")).agg(F.expr("listagg(item, ', ') WITHIN GROUP (ORDER BY item)").alias("finding"))
+    checks = F.explode(F.array(*[F.struct(F.lit(c).alias("check"), F.lit(MIGRATION if k == 1 else DANGEROUS).alias("bad")) for k, c in enumerate(EFFECTIVE_CHECKS)])).alias("c")
+    listed = users.select(F.col("grantee").cast("string").alias("grantee")).distinct().select("grantee", checks).select("grantee", "c.*")
+    joined = listed.join(texts, match([listed["grantee"], listed["check"]], [texts["u__"], texts["c__"]]), "left")
+    return joined.select("grantee", "check", F.when(F.col("finding").isNull(), OK).otherwise(F.col("bad")).alias("status"), F.coalesce("finding", F.lit(FINDING_NONE)).alias("finding"))
+
+
+def policy_list(policies: DataFrame, rules: DataFrame) -> DataFrame:
+    """The policies one by one, and whether the registry manages them.
+
+    ``policies``: object_name, policy_name, policy_group, pf_owner, package (or NULL), function, enabled, policy_type.
+    """
+    ours = rules.select(F.col("OBJECT_NAME").alias("o__"), F.col("POLICY_NAME").alias("p__"))
+    joined = policies.join(ours, match([policies["object_name"]], [ours["o__"]]), "left")
+    managed = F.coalesce((F.upper("policy_group") == "SYS_DEFAULT") & (F.col("policy_name") == F.col("p__")), F.lit(False))
+    package = F.when(F.coalesce("package", F.lit("-")) != "-", F.concat(F.col("package"), F.lit("."))).otherwise("")
+    return joined.select(
+        "object_name", "policy_name", "policy_group", F.concat("pf_owner", F.lit("."), package, "function").alias("function"), "enabled", "policy_type",
+        F.when(managed, MANAGED).otherwise(FOREIGN).alias("state"), F.when(managed, "-").otherwise(NOTE_FOREIGN).alias("remark"),
+    )
+
+
 def severity(status: Column) -> Column:
     """A13 per row: 2 = error, 1 = warning, 0 = fine."""
     return F.when(status.isin(*ERROR_STATES), 2).when(status.isin(*WARNING_STATES), 1).otherwise(0)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from silverlode.operators import access
 from silverlode.operators.access import FULL, RELATION_MATCH, ROW_MATCH, GuardedReader, Rule
-from silverlode.sources.tables import read_folder
+from silverlode.sources.tables import read_folder, union_all
 
 OWNER, REGISTRY, CONTEXT = "ADMIN", "ACCESS_RULES", "CTX_PKG"
 
@@ -245,6 +245,62 @@ def unexpected_grants(spark, folder):
     return access.unexpected_grants(_grants(spark, folder), OWNER, REGISTRY, CONTEXT).groupBy("privilege").agg(F.count("*").alias("rows"))
 
 
+#: Users hold roles of their nation, nations those of their region; three regions hold one another's in a circle.
+EFFECTIVE = {
+    "users": "SELECT c_custkey AS grantee FROM customer",
+    "system": """SELECT cast(c_custkey AS STRING) AS grantee, 'EXEMPT ACCESS POLICY' AS privilege FROM customer WHERE c_custkey % 50 = 0
+UNION ALL SELECT 'N' || cast(n_nationkey AS STRING) AS grantee, CASE WHEN n_nationkey % 8 = 0 THEN 'READ ANY TABLE' ELSE 'CREATE SESSION' END AS privilege FROM nation WHERE n_nationkey % 4 = 0
+UNION ALL SELECT 'R2' AS grantee, 'CREATE ANY CONTEXT' AS privilege FROM region WHERE r_regionkey = 2""",
+    "roles": """SELECT cast(c_custkey AS STRING) AS grantee, 'N' || cast(c_nationkey AS STRING) AS role FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'N' || cast(n_nationkey AS STRING) AS grantee, 'R' || cast(n_regionkey AS STRING) AS role FROM nation
+UNION ALL SELECT 'R' || cast(r_regionkey AS STRING) AS grantee, CASE WHEN r_regionkey < 3 THEN 'R' || cast((r_regionkey + 1) % 3 AS STRING) ELSE 'DBA' END AS role FROM region WHERE r_regionkey <> 3""",
+    "schemas": """SELECT 'R3' AS grantee, 'READ ANY TABLE' AS privilege, 'ADMIN' AS schema_name FROM region WHERE r_regionkey = 3
+UNION ALL SELECT 'N' || cast(n_nationkey AS STRING) AS grantee, 'SELECT ANY TABLE' AS privilege, n_name AS schema_name FROM nation WHERE n_nationkey < 4""",
+    "objects": """SELECT cast(c_custkey AS STRING) AS grantee, 'ADMIN' AS owner, CASE WHEN c_custkey % 40 = 1 THEN 'ACCESS_RULES' WHEN c_custkey % 40 = 2 THEN 'CTX_PKG' ELSE 'T' END AS object_name,
+ CASE WHEN c_custkey % 40 = 2 THEN 'EXECUTE' WHEN c_custkey % 40 = 3 THEN 'DELETE' ELSE 'READ' END AS privilege FROM customer WHERE c_custkey % 40 < 6
+UNION ALL SELECT 'N5' AS grantee, 'ADMIN' AS owner, 'T2' AS object_name, 'SELECT' AS privilege FROM nation WHERE n_nationkey = 5""",
+}
+
+
+def effective_audit(spark, folder):
+    tables = [derived(spark, folder, sql, "customer", "nation", "region") for sql in EFFECTIVE.values()]
+    return access.effective_audit(*tables, OWNER, REGISTRY, CONTEXT)
+
+
+EFFECTIVE_SQL = f"""WITH RECURSIVE users AS ({EFFECTIVE['users']}), system AS ({EFFECTIVE['system']}), roles AS ({EFFECTIVE['roles']}), schemas AS ({EFFECTIVE['schemas']}), objects AS ({EFFECTIVE['objects']}),
+held AS (SELECT cast(grantee AS STRING) AS u, cast(grantee AS STRING) AS h FROM users UNION SELECT u, role FROM held JOIN roles ON h = grantee),
+found AS (
+ SELECT u, 1 AS no, privilege AS item FROM held JOIN system ON h = grantee WHERE privilege <> 'CREATE SESSION' UNION SELECT u, 1, h FROM held WHERE h IN ('DBA', 'ADB_DBA')
+ UNION SELECT u, 2, '有効。テーブル許可リストへの移行が必要です' FROM held JOIN schemas ON h = grantee WHERE schema_name = 'ADMIN'
+ UNION SELECT u, 3, privilege || ' ON SCHEMA ' || schema_name FROM held JOIN schemas ON h = grantee WHERE schema_name <> 'ADMIN'
+ UNION SELECT u, 4, privilege || ' ON ADMIN.' || object_name || ' (' || h || ')' FROM held JOIN objects ON h = grantee
+ WHERE NOT (u = h AND (object_name = 'CTX_PKG' AND privilege = 'EXECUTE' OR object_name <> 'ACCESS_RULES' AND privilege = 'READ'))),
+texts AS (SELECT u, no, string_agg(item, ', ' ORDER BY item) AS finding FROM found GROUP BY u, no),
+checks(no, "check", bad) AS (VALUES (1, '実行セッションの危険な有効権限', '危険'), (2, '実行セッションのADMIN schema全表読取', '移行警告'),
+ (3, '実行セッションの想定外Schema権限', '危険'), (4, '実行セッションの想定外オブジェクト権限', '危険'))
+SELECT cast(grantee AS STRING) AS grantee, c."check", CASE WHEN finding IS NULL THEN 'OK' ELSE bad END AS status, coalesce(finding, 'なし') AS finding
+FROM users CROSS JOIN checks c LEFT JOIN texts t ON t.u = cast(grantee AS STRING) AND t.no = c.no""".replace("AS STRING", "AS VARCHAR")
+
+LISTED_SQL = POLICIES_SQL.replace("'YES' AS select_flag,", "'YES' AS select_flag, 'ADMIN' AS pf_owner, CASE WHEN c_nationkey = 0 THEN 'PKG' END AS package, 'FN_' || cast(c_custkey AS STRING) AS function, 'DYNAMIC' AS policy_type,")
+
+
+def policy_list(spark, folder):
+    return access.policy_list(derived(spark, folder, LISTED_SQL, "customer"), _rules(spark, folder))
+
+
+def policy_refused(spark, folder):
+    """What a reader without a rule, with a staged rule and without a login gets; orders show that others are served."""
+    reader, out = _reader(spark, folder), []
+    for name, login in (("region", "BUILDING"), ("part", "BUILDING"), ("orders", None), ("orders", "BUILDING")):
+        try:
+            rows = reader.read(name, login).agg(F.count("*").alias("rows"))
+            out.append(rows.select(F.lit(name).alias("object"), F.lit(login).cast("string").alias("login"), F.lit("read").alias("outcome"), "rows"))
+        except PermissionError:
+            count = read_folder(spark, folder, name).agg(F.count("*").alias("rows"))
+            out.append(count.select(F.lit(name).alias("object"), F.lit(login).cast("string").alias("login"), F.lit("refused").alias("outcome"), "rows"))
+    return union_all(out)
+
+
 def login_alias_collision(spark, folder):
     logins = derived(
         spark, folder,
@@ -295,7 +351,7 @@ found AS (
  UNION SELECT grantee, 'context execute', object_name FROM objg WHERE object_name = 'CTX_PKG'
  UNION SELECT grantee, 'unregistered read', object_name FROM objg WHERE privilege IN ('READ', 'SELECT')
   AND object_name NOT IN (SELECT OBJECT_NAME FROM rules WHERE STATE = 'ACTIVE')),
-counts AS (SELECT grantee, "check", count(*) AS findings FROM found GROUP BY ALL),
+counts AS (SELECT grantee, "check", count(*) AS findings, string_agg(item, ', ' ORDER BY item) AS items FROM found GROUP BY grantee, "check"),
 checks("check", bad, required) AS (VALUES ('privilege CREATE SESSION', '不足', true), ('context execute', '不足', true),
  ('privilege EXEMPT ACCESS POLICY', '危険', false), ('privilege READ ANY TABLE', '危険', false),
  ('privilege SELECT ANY TABLE', '危険', false), ('privilege SELECT ANY DICTIONARY', '危険', false),
@@ -303,7 +359,8 @@ checks("check", bad, required) AS (VALUES ('privilege CREATE SESSION', '不足',
  ('role ADB_DBA', '危険', false), ('broad schema read', '移行警告', false), ('unexpected schema privilege', '危険', false),
  ('unregistered read', '危険', false)),
 audit AS (SELECT c_custkey AS grantee, k."check", CASE WHEN k.required = (coalesce(findings, 0) > 0) THEN 'OK' ELSE bad END AS status,
- coalesce(findings, 0)::BIGINT AS findings
+ coalesce(findings, 0)::BIGINT AS findings, CASE WHEN k."check" IN ('unexpected schema privilege', 'unregistered read') THEN coalesce(items, 'なし')
+ WHEN findings > 0 THEN CASE WHEN k."check" = 'broad schema read' THEN '付与あり。テーブル許可リストへの移行が必要です' ELSE '付与あり' END ELSE '付与なし' END AS finding
  FROM customer CROSS JOIN checks k LEFT JOIN counts n ON n.grantee = c_custkey AND n."check" = k."check")"""
 
 QUERIES = {
@@ -402,6 +459,20 @@ QUERIES = {
                THEN 'ACTIVE登録と実際のREAD/Policy状態が一致しません' WHEN ruled THEN '-'
                WHEN rd THEN '台帳にない直接READ/SELECT権限があります' ELSE '-' END AS exception FROM j""",
     ),
+    "effective_audit": (effective_audit, EFFECTIVE_SQL),
+    "policy_list": (
+        policy_list,
+        f"""WITH p AS ({LISTED_SQL.replace("AS STRING", "AS VARCHAR")}), r AS ({DUCK['rules']}),
+        j AS (SELECT p.*, coalesce(policy_group = 'SYS_DEFAULT' AND p.policy_name = r.POLICY_NAME, false) AS own FROM p LEFT JOIN r ON r.OBJECT_NAME = p.object_name)
+        SELECT object_name, policy_name, policy_group, 'ADMIN.' || CASE WHEN package IS NULL THEN '' ELSE 'PKG.' END || "function" AS "function", enabled, policy_type,
+        CASE WHEN own THEN '管理対象' ELSE '参照のみ・競合' END AS state, CASE WHEN own THEN '-' ELSE '未登録Policyです。高度な操作から削除できます' END AS remark FROM j""",
+    ),
+    "policy_refused": (
+        policy_refused,
+        """SELECT 'region' AS object, 'BUILDING' AS login, 'refused' AS outcome, count(*) AS rows FROM region UNION ALL SELECT 'part', 'BUILDING', 'refused', count(*) FROM part
+        UNION ALL SELECT 'orders', NULL, 'read', 0 UNION ALL
+        SELECT 'orders', 'BUILDING', 'read', count(*) FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
+    ),
     "policy_attributes": (
         policy_attributes,
         """SELECT upper(c_name) AS object_name, 'POL_' || c_custkey AS policy_name, 'SYS_DEFAULT' AS policy_group,

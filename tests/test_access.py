@@ -105,3 +105,24 @@ def test_allowlist_without_rules(spark):
     rules = spark.createDataFrame([("A", "FULL", None, "STAGED")], "OBJECT_NAME string, ACCESS_MODE string, POLICY_NAME string, STATE string")
     policies = spark.createDataFrame([], "object_name string, policy_name string, policy_group string, select_flag string, enabled string")
     assert [tuple(r) for r in access.activation_problems(rules, policies).collect()] == [("-", "no active rule")]
+
+
+def test_roles_in_a_circle(spark):
+    users = spark.createDataFrame([("u",), ("v",), ("w",), (None,)], "grantee string")
+    roles = spark.createDataFrame([("u", "a"), ("a", "b"), ("b", "c"), ("c", "a"), ("v", "b"), ("x", "DBA"), (None, "a"), ("w", None), ("u", "a")], "grantee string, role string")
+    got = {(r.user, r.holder) for r in access.reachable_roles(users, roles).collect()}
+    assert got == {(u, h) for u in "uv" for h in u + "abc"} | {("w", "w")}
+
+
+def test_effective_audit(spark):
+    table = lambda rows, names: spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names.split()))
+    users = table([("u",), ("v",), ("DBA",)], "grantee")
+    roles = table([("u", "r"), ("r", "DBA"), ("v", "s")], "grantee role")
+    system = table([("r", "READ ANY TABLE"), ("u", "CREATE SESSION"), ("v", "SELECT ANY TABLE"), ("v", "READ ANY TABLE")], "grantee privilege")
+    schemas = table([("s", "READ ANY TABLE", "ADMIN"), ("s", "SELECT ANY TABLE", "X"), ("v", "INSERT ANY TABLE", "ADMIN")], "grantee privilege schema_name")
+    objects = table([("u", "ADMIN", "T", "READ"), ("u", "ADMIN", "REG", "READ"), ("r", "ADMIN", "T", "READ"), ("u", "ADMIN", "PKG", "EXECUTE"), ("u", "O", "T", "READ"), ("u", None, "T", "READ")], "grantee owner object_name privilege")
+    rows = {(r.grantee, access.EFFECTIVE_CHECKS.index(r.check)): (r.status, r.finding) for r in access.effective_audit(users, system, roles, schemas, objects, "ADMIN", "REG", "PKG").collect()}
+    assert len(rows) == 12 and rows["u", 0] == ("危険", "DBA, READ ANY TABLE") and rows["v", 0] == ("危険", "READ ANY TABLE, SELECT ANY TABLE")
+    assert rows["v", 1][0] == "移行警告" and rows["u", 1] == ("OK", "なし") and rows["DBA", 0] == ("OK", "なし")
+    assert rows["v", 2] == ("危険", "INSERT ANY TABLE ON SCHEMA ADMIN, SELECT ANY TABLE ON SCHEMA X")
+    assert rows["u", 3] == ("危険", "READ ON ADMIN.REG (u), READ ON ADMIN.T (r), READ ON O.T (u)") and rows["v", 3] == ("OK", "なし")
