@@ -144,8 +144,8 @@ def structure_text(details: DataFrame) -> DataFrame:
     )
 
 
-def metadata_prompts(structure: DataFrame, primary: DataFrame, foreign: DataFrame, samples: DataFrame, instruction: str) -> DataFrame:
-    """Instruction, structure, keys and samples of every object as one prompt. A missing part is empty."""
+def metadata_prompts(structure: DataFrame, primary: DataFrame, foreign: DataFrame, samples: DataFrame, instruction: str, extra: str = "") -> DataFrame:
+    """Instruction, structure, keys and samples of every object as one prompt, and extra text at its end. A missing part is empty."""
 
     def keyed(df: DataFrame, text: str, name: str) -> DataFrame:
         one = df.groupBy("object_name").agg(F.array_join(F.sort_array(F.collect_list(text)), "\n").alias(name))
@@ -158,7 +158,7 @@ def metadata_prompts(structure: DataFrame, primary: DataFrame, foreign: DataFram
     )
     parts = [("構造", "structure"), ("主キー", "pk"), ("外部キー", "fk"), ("サンプル", "sample_text")]  # fixed values: headings
     body = [F.concat(F.lit(f"<{h}>\n"), F.coalesce(F.col(c), F.lit("")), F.lit("\n\n")) for h, c in parts]
-    return joined.select("object_name", F.concat(F.lit(instruction + "\n"), *body).alias("prompt"))
+    return joined.select("object_name", F.concat(F.lit(instruction + "\n"), *body, F.lit(extra)).alias("prompt"))
 
 
 # -- profiles --------------------------------------------------------------------------------------------------------

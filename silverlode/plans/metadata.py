@@ -110,7 +110,7 @@ def metadata_prompt(spark, folder):
     )
     prompts = catalog.metadata_prompts(
         catalog.structure_text(details), catalog.primary_key_text(_constraints(spark, folder), _members(spark, folder)),
-        catalog.foreign_key_text(_constraints(spark, folder), _members(spark, folder)), samples, "COMMENT",
+        catalog.foreign_key_text(_constraints(spark, folder), _members(spark, folder)), samples, "COMMENT", "Only comments.",
     )
     return prompts.select("object_name", F.md5("prompt").alias("prompt_md5"), F.length("prompt").alias("size"))
 
@@ -454,7 +454,7 @@ QUERIES = {
             p AS (SELECT s.object_name, 'COMMENT' || chr(10) || '<構造>' || chr(10) || st || chr(10) || chr(10)
               || '<主キー>' || chr(10) || coalesce('OBJECT: ' || s.object_name || chr(10) || pk.key_text, '') || chr(10) || chr(10)
               || '<外部キー>' || chr(10) || coalesce('OBJECT: ' || s.object_name || chr(10) || fk.key_text, '') || chr(10) || chr(10)
-              || '<サンプル>' || chr(10) || coalesce(o_orderkey || ',' || o_orderpriority, '') || chr(10) || chr(10) AS p
+              || '<サンプル>' || chr(10) || coalesce(o_orderkey || ',' || o_orderpriority, '') || chr(10) || chr(10) || 'Only comments.' AS p
               FROM s LEFT JOIN {_PK} pk USING (object_name) LEFT JOIN {_FK} fk USING (object_name)
               LEFT JOIN orders ON 'ORDER_' || o_orderkey = s.object_name)
             SELECT object_name, md5(p) AS prompt_md5, length(p)::INT AS size FROM p""",

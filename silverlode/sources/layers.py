@@ -15,7 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,15 +45,18 @@ class Changed:
 class Layer:
     spark: SparkSession
     root: str
+    _seen: dict = field(default_factory=dict, compare=False, repr=False)  # published versions never change
 
     def _at(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
     def _published(self, version: int):
-        row = self.versions().filter(F.col("version") == version).first()
-        if row is None:
-            raise ValueError(f"version {version} of {self.root} is not published")
-        return row
+        if version not in self._seen:
+            row = self.versions().filter(F.col("version") == version).first()
+            if row is None:
+                raise ValueError(f"version {version} of {self.root} is not published")
+            self._seen[version] = row
+        return self._seen[version]
 
     def path(self, version: int) -> str:
         """The data folder of a version that was written as a whole."""
@@ -148,9 +151,9 @@ class Layer:
         folder, added = self._write_files(rows) if rows is not None else (None, None)
         kept = before.join(self.spark.createDataFrame([(n,) for n in names], "file string"), "file", "left_anti")
         files = kept if added is None else kept.unionByName(added, allowMissingColumns=True)
+        new = added.count() if added is not None else 0
         version = self._publish(last + 1, files, schema, None)
-        count = before.count()
-        return Changed(version, len(names), count - len(names), self.files(version).count() - count + len(names))
+        return Changed(version, len(names), self.files(version).count() - new, new)
 
     def _state(self) -> tuple[DataFrame, T.StructType]:
         """The files of the last version, and its schema."""

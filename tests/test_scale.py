@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from silverlode.operators import enrich, lookup, mutate
+from silverlode.operators import enrich, glossary, lookup, mutate
 from tests.conftest import SF
 
 PYTHON_USERS = {"vector_topk", "classify_fit_predict", "payload_text", "glossary_rewrite"}
@@ -101,3 +101,10 @@ def test_seeded_rows_do_not_depend_on_partitions(spark):
         assert sorted(map(tuple, queries["synthetic_rows"](spark, SF).collect())) == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_a_hot_category_is_split(skewed):
+    questions = _hot(skewed).select(F.col("k").cast("string").alias("category"), F.concat(F.lit("question "), F.col("v").cast("string")).alias("q"))
+    rules = skewed.range(200).select("id", F.col("id").cast("string").alias("CATEGORY"), F.lit("rule").alias("RULE"))
+    assert "skew=true" in plan(glossary.assemble_prompts(questions, "q", "category", rules, "id"), final=True)
+
