@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from silverlode.functions.text import OBJECT_NAME, is_object_name
 from silverlode.operators.skew import match, match_keys
 from silverlode.session import work_folder
+from silverlode.sources.tables import RULE_TEST_RESULT_CAP
 
 NONE, FULL, ROW_MATCH, RELATION_MATCH = "NONE", "FULL", "ROW_MATCH", "RELATION_MATCH"
 STAGED, ACTIVE, ERROR = "STAGED", "ACTIVE", "ERROR"
@@ -195,6 +196,10 @@ class GuardedReader:
             rows = apply_rule(rows, rule, login, relation)
         return rows
 
+    def trial(self, name: str, login: str | None) -> DataFrame:
+        """What is shown when a rule is tried out."""
+        return self.read(name, login).limit(RULE_TEST_RESULT_CAP)
+
 
 # -- the registry as a table ---------------------------------------------------------------------------------------
 

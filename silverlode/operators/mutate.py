@@ -337,22 +337,31 @@ def _one_by_one(df: DataFrame, numbered: Sequence[tuple[int, Step]], stop: bool)
     return state, kept, last, done, errors
 
 
-def run_batch(df: DataFrame, steps: Sequence[Step]) -> Batch:
+class _OneByOne(Exception):
+    """The steps are to be run one by one."""
+
+
+def run_batch(df: DataFrame, steps: Sequence[Step], timed: bool = False) -> Batch:
     """All steps or none. Stops at the first failure; a failed batch leaves the table as it was, or as the last
     TRUNCATE left it: truncating commits what came before and cannot be rolled back.
 
     The good case computes the whole batch once; its time is that of every row of the summary. Only after a failure are
-    the steps run one by one to find the one to report, each once.
+    the steps run one by one to find the one to report, each once. With ``timed`` they are run one by one at once, and
+    each row has its step's own time.
     """
     numbered, started = list(enumerate(steps, 1)), time.perf_counter()
     try:
+        if timed:
+            raise _OneByOne
         state = _written(_chain(df, numbered))
         counts, ms = _counts(state, numbered), _ms(started)
         rows = [_row(n, s, DONE, counts[n], f"RowsAffected={counts[n]}", COMMITTED, ms) for n, s in numbered]
         return Batch(True, _table(state), _summary(df, rows))
-    except _STEP_ERRORS:
+    except (*_STEP_ERRORS, _OneByOne):
         pass
-    _, kept, last, done, errors = _one_by_one(df, numbered, stop=True)
+    state, kept, last, done, errors = _one_by_one(df, numbered, stop=True)
+    if not errors:
+        return Batch(True, _table(state), _summary(df, [_row(n, s, DONE, done[n][0], f"RowsAffected={done[n][0]}", COMMITTED, done[n][1]) for n, s in numbered]))
     rows = []
     for n, step in numbered:
         if n in done:

@@ -36,10 +36,10 @@ def read_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_database(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
-    """S01 for a database: pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions`` so that
-    executors read ranges in parallel; filters and columns are pushed into the database."""
-    return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
+def read_database(spark: SparkSession, url: str, table: str, partition_column: str, lower_bound: object, upper_bound: object, partitions: int, **options: str) -> DataFrame:
+    """S01 for a database: executors read ranges of a column in parallel; filters and columns are pushed into the database."""
+    ranges = {"partitionColumn": partition_column, "lowerBound": str(lower_bound), "upperBound": str(upper_bound), "numPartitions": str(partitions)}
+    return spark.read.format("jdbc").options(url=url, dbtable=table, **ranges, **options).load()
 
 
 def register_table(spark: SparkSession, name: str, location: str, file_format: str = "parquet") -> DataFrame:
@@ -78,6 +78,11 @@ def browse(table: DataFrame, where: str | Column | None = None, limit: int | Non
     return rows if limit is None else rows.limit(limit)
 
 
+def model_rows(rows: DataFrame) -> DataFrame:
+    """What is shown of the result of a statement that a model wrote."""
+    return browse(rows, None, MODEL_SQL_RESULT_CAP)
+
+
 def browse_table(spark: SparkSession, name: str, where: str | None = None, limit: int | None = None) -> DataFrame:
     """F05 on a catalog table; the name is checked before it is used."""
     if not re.match(TABLE_NAME, name.upper()):
