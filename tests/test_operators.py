@@ -169,8 +169,7 @@ def _terms(df):
     return {r["id"]: r for r in df.collect()}
 
 
-@pytest.mark.parametrize("sizes", [{}, {"part_bytes": 40, "round_bytes": 1}, {"part_bytes": 60, "round_bytes": 4000}])
-@pytest.mark.parametrize("more", [0, 400])
+@pytest.mark.parametrize("more, sizes", [(0, {}), (400, {}), (0, {"part_bytes": 8, "round_bytes": 1}), (400, {"part_bytes": 900, "round_bytes": 40_000})])
 def test_glossary(spark, more, sizes):
     texts = ["the network net aXb a.b", "netnetwork", "", "none", "NETWORKnet", "net"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
