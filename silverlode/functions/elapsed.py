@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from silverlode.functions.text import strip
+from silverlode.functions.text import WHITE_SPACE, strip
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def _number(text: Column) -> Column:
-    trimmed = strip(text)
+def _number(trimmed: Column) -> Column:
     return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
 
 
@@ -22,13 +21,18 @@ def format_seconds(seconds: Column) -> Column:
 
 def elapsed_seconds(value: Column) -> Column:
     """``12ms``, ``3秒``, ``mm:ss``, ``hh:mm:ss``, ``1,234`` or a number → seconds; other text is kept."""
-    text = strip(value)
-    unit = F.regexp_extract(text, "(ms|秒)$", 1)
-    parts = F.split(F.regexp_replace(text, "(ms|秒)$|,", ""), ":")
-    total = F.aggregate(parts, F.lit(0.0), lambda acc, part: acc * 60 + _number(part))
-    allowed = F.size(parts) <= F.when(unit == "", 3).otherwise(1)
-    seconds = F.when(allowed, F.when(unit == "ms", total / 1000).otherwise(total))
-    return F.coalesce(format_seconds(seconds), text, F.lit(""))
+
+    def read(text: Column) -> Column:
+        unit = F.regexp_extract(text, "(ms|秒)$", 1)
+        parts = F.split(F.regexp_replace(text, "(ms|秒)$|,", ""), ":")
+        # Most cells hold no white space; only then are the parts trimmed on their own.
+        parts = F.when(F.translate(text, WHITE_SPACE, "") == text, parts).otherwise(F.transform(parts, strip))
+        total = F.aggregate(parts, F.lit(0.0), lambda acc, part: acc * 60 + _number(part))
+        allowed = F.size(parts) <= F.when(unit == "", 3).otherwise(1)
+        seconds = F.when(allowed, F.when(unit == "ms", total / 1000).otherwise(total))
+        return F.coalesce(format_seconds(seconds), text, F.lit(""))
+
+    return F.element_at(F.transform(F.array(strip(value)), read), 1)
 
 
 def display_timestamp(value: Column) -> Column:
