@@ -3,8 +3,9 @@
 Every text becomes its token ids and an end id. Whole windows of ``capacity`` ids are cut off first; what remains of a
 document (fewer than ``capacity`` ids) is packed with other remainders. Per window: the longest remainder is set, a
 bitset of reachable sums over the remaining-length counts is grown (one integer per length, shifted by powers of two
-of that length), the sum that leaves least padding is taken, and the lengths that make it up are traced back. The
-multiset found is used as often as the counts allow, so the work depends on the number of different lengths.
+of that length), the sum closest to the capacity is taken, and the lengths that make it up are traced back. The
+multiset found is used as often as the counts allow, so the work depends on the number of different lengths. Only when
+all that is left fits into one window, it is split into windows of powers of two (which need no padding) if that is less.
 
 Rows are dealt to shards of about ``shard_rows`` rows, and each shard packs on its own: nothing is ordered or counted
 across the whole corpus, a shard's tail costs a window or two of padding, and only lengths and checksums are shuffled.
@@ -103,8 +104,9 @@ def padding(length: int, capacity: int) -> int:
     return 0 if length & (length - 1) == 0 else capacity - length
 
 
-def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """The multiset of lengths for one window: the longest, and what leaves least padding beside it."""
+def fill(counts: dict[int, int], capacity: int, powers: bool = True) -> dict[int, int]:
+    """The multiset of lengths for one window: the longest, and what comes closest to the capacity beside it; with
+    ``powers``, what leaves least padding, be it at a power of two."""
     longest = max(counts)
     room, full = capacity - longest, (1 << (capacity - longest + 1)) - 1
     reach, steps = 1, []
@@ -120,7 +122,7 @@ def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
         if reach >> room & 1:
             break
     best = reach.bit_length() - 1
-    if padding(longest + best, capacity):
+    if powers and padding(longest + best, capacity):
         exact = [p - longest for p in (1 << k for k in range(capacity.bit_length())) if p >= longest and reach >> (p - longest) & 1]
         best = exact[-1] if exact else best
     chosen = {longest: 1}
@@ -136,15 +138,34 @@ def plan(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[dict[int, i
     counts: dict[int, int] = {}
     for x in lengths:
         counts[x] = counts.get(x, 0) + 1
-    out = []
+    out, left = [], sum(lengths)
+    while left > capacity:
+        chosen = fill(counts, capacity, powers=False)
+        times = _use(counts, chosen)
+        out.append((chosen, times))
+        left -= times * sum(x * n for x, n in chosen.items())
+    return out + _last(counts, capacity)
+
+
+def _use(counts: dict[int, int], chosen: dict[int, int]) -> int:
+    """Takes a multiset out of the counts as often as they allow; returns how often."""
+    times = min(counts[x] // n for x, n in chosen.items())
+    for x, n in chosen.items():
+        counts[x] -= n * times
+        if not counts[x]:
+            del counts[x]
+    return times
+
+
+def _last(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """What fits into one window as one, or as several at powers of two where these need less padding together."""
+    whole, out = dict(counts), []
     while counts:
         chosen = fill(counts, capacity)
-        times = min(counts[x] // n for x, n in chosen.items())
-        out.append((chosen, times))
-        for x, n in chosen.items():
-            counts[x] -= n * times
-            if not counts[x]:
-                del counts[x]
+        out.append((chosen, _use(counts, chosen)))
+    total = lambda chosen: padding(sum(x * n for x, n in chosen.items()), capacity)
+    if whole and total(whole) <= sum(total(chosen) * times for chosen, times in out):
+        return [(whole, 1)]
     return out
 
 

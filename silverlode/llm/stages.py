@@ -42,7 +42,8 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     chosen = chosen.select("id", "text_hash", "times").unionByName(found.where("size = 0").select("id", "text_hash", F.lit(1).cast("long").alias("times")))
     once = _only(docs, chosen.where("times = 1"))
     repeated = _only(docs, chosen.where("times > 1"))
-    return once.unionByName(repeated.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash"))
+    key = "_" * (1 + max(map(len, docs.columns)))  # longer than any name of the table, so it clashes with none
+    return once.unionByName(repeated.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key))
 
 
 def no_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

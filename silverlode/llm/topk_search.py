@@ -8,7 +8,9 @@ k of each array are picked by partition, and the picks of all candidate blocks a
 A group holds ``candidates x queries`` scores of one block pair, whatever the table's size, and sends k rows per query
 on. Vectors that are null or hold null or non-finite components take no part; vectors of different lengths lack the
 dimensions beyond their end. Rows without an id take no part. An id that repeats is several candidates and, with its vectors,
-several queries, each with its own k places; a query skips all candidates of its own id.
+several queries, each with its own k places; a query skips all candidates of its own id. Weights that no long holds
+raise an error when they are made. Scores are exact whatever their size (beyond a long, a block pair is computed in
+Python integers, which is slow), and one of the best k that no long holds raises an error.
 """
 
 from __future__ import annotations
@@ -25,10 +27,12 @@ CANDIDATE_BLOCK, QUERY_BLOCK = 4096, 2048
 
 
 def quantised(vectors: DataFrame, vector: str = "embedding", scale: int = 256) -> Column:
-    """floor(scale * x) of each component, null where the vector takes no part."""
+    """floor(scale * x) of each component, null where the vector takes no part; an error where a long cannot hold it."""
     parts = F.transform(vector, lambda x: x.cast("double"))
     sound = F.forall(parts, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return F.when(F.col(vector).isNotNull() & sound, F.transform(parts, lambda x: F.floor(x * scale).cast("long")))
+    error = F.raise_error(F.lit(f"a component of {vector}, times {scale}, is beyond 64 bits")).cast("long")
+    weight = lambda x: F.when(F.abs(x * scale) < F.lit(2.0**63), F.floor(x * scale).cast("long")).otherwise(error)
+    return F.when(F.col(vector).isNotNull() & sound, F.transform(parts, weight))
 
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -42,8 +46,9 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def scores(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Dense score arrays, one row per query, accumulated dimension by dimension from postings."""
-    most = int(np.abs(queries).max(initial=0)) * int(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
-    kind = np.int32 if most < 2**31 else np.int64
+    largest = lambda x: max(abs(int(x.min(initial=0))), int(x.max(initial=0)))
+    most = largest(queries) * largest(candidates) * max(1, queries.shape[1])
+    kind = np.int32 if most < 2**31 else np.int64 if most < 2**63 else object
     out = np.zeros((len(queries), len(candidates)), kind)
     for term in range(queries.shape[1]):
         using, posted = np.flatnonzero(queries[:, term]), np.flatnonzero(candidates[:, term])

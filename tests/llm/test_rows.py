@@ -88,6 +88,30 @@ def test_fill_leaves_least_padding(counts):
     assert packing.padding(sum(n * x for x, n in chosen.items()), 24) == least
 
 
+def test_windows_are_filled_to_the_capacity():
+    assert packing.plan([500, 400, 12]) == [({500: 1, 400: 1, 12: 1}, 1)]
+    assert sorted(sum(x * n for x, n in w.items()) for w, _ in packing.plan([500, 12, 256])) == [256, 512]
+    assert packing.plan([]) == []
+    # 600 + 424 is full; 512 alone would need no padding, but 600 must be closest to the capacity first.
+    assert packing.plan([600, 424, 512, 400, 100])[0] == ({600: 1, 424: 1}, 1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 23), max_size=12))
+def test_plan_takes_the_closest_sum(lengths):
+    left = Counter(lengths)
+    for chosen, times in packing.plan(lengths, 24):
+        used, total = sum(x * n for x, n in chosen.items()), sum(x * n for x, n in left.items())
+        assert used <= 24
+        if total > 24:
+            sums = {max(left)}
+            for x, n in (left - Counter([max(left)])).items():
+                sums = {s + x * k for s in sums for k in range(n + 1) if s + x * k <= 24}
+            assert used == max(sums)
+        left -= Counter({x: n * times for x, n in chosen.items()})
+    assert not left
+
+
 def test_little_padding(spark):
     rows = packing.op3_packing(spark, "/root/testdata/sf0.01").groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()
     total = sum(r.n for r in rows)
@@ -238,6 +262,17 @@ def test_top_k_of_repeated_and_missing_ids(spark):
         assert Counter(tuple(r) for r in found.collect()) == want
 
 
+def test_top_k_beyond_a_long(spark):
+    queries, candidates = np.array([[2**62, 5]], np.int64), np.array([[-(2**62), 0], [1, 1], [1, 2]], np.int64)
+    place, ids, score = topk_search.best(queries, np.array([50]), candidates, np.array([2, 3, 4]), 2)
+    assert (place.tolist(), ids.tolist(), score.tolist()) == ([0, 0], [4, 3], [2**62 + 10, 2**62 + 5])
+    with pytest.raises(OverflowError):
+        topk_search.best(queries, np.array([50]), candidates, np.array([2, 3, 4]), 3)
+    rows = spark.createDataFrame([(50, [1e20, 1.0]), (51, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        rows.select(topk_search.quantised(rows)).collect()
+
+
 # -- segmentations ----------------------------------------------------------------------------------------------------
 
 
@@ -487,6 +522,13 @@ def test_stages(spark, tmp_path):
     assert docs.agg(F.sum("length")).first()[0] == sum(len(x) // 4 + 1 for x in ids.values())
 
 
+def test_one_of_repeated_rows_whatever_the_columns_are_called(spark):
+    docs = data.table(spark).withColumnRenamed("key", "_hash").withColumnRenamed("id", "__")
+    left = corpus_pipeline.STAGES[1][1](spark, docs, SF)
+    assert left.columns == docs.columns
+    assert [r._hash for r in left.where("doc_id = 3").collect()] == ["k"]
+
+
 def test_stages_of_an_empty_table(spark, tmp_path):
     docs = data.table(spark, [])
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
