@@ -1,9 +1,11 @@
 """Weak supervision of document quality.
 
-Rules vote good or bad on a text, or abstain. Nobody labels anything: a two-class latent model (Dawid-Skene with the
-abstention as a third answer) is fitted by expectation-maximisation to the counts of vote patterns, which gives each
-rule its answer probabilities in good and in bad texts. A text is kept when its posterior probability of being good
-reaches a half and it does not fail the base rules.
+Rules vote good or bad on a text, or abstain. Nobody labels anything: a latent model (Dawid-Skene with the abstention
+as a third answer) is fitted by expectation-maximisation to the counts of vote patterns. Its classes are the good texts
+and one kind of bad texts per group of rules (short, repeating, full of marks, oddly shaped), so rules that fail
+together do not count as independent witnesses, and each rule gets its answer probabilities in every class. Patterns
+that fail the base rules are known to be bad. A text is kept when its posterior probability of being good reaches a
+half; a single bad vote does not decide.
 
 Texts are read once in Arrow batches. Only counts of vote patterns reach the driver: ``3 ** len(RULES)`` rows at most,
 whatever the corpus. A null text counts as empty; it has no words and fails the base rules. An empty table gives an
@@ -87,62 +89,67 @@ def _share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-def rules() -> dict[str, tuple[Column, Column]]:
-    """Rule -> (votes bad, votes good); neither: it abstains. Most rules know one kind of bad text only."""
-    mean_word, never = _share("word_chars", "n_words"), F.lit(False)
+def rules() -> dict[str, tuple[str, Column, Column]]:
+    """Rule -> (kind of bad text, votes bad, votes good); neither: it abstains. What two measures say alike is one rule."""
+    mean_word = _share("word_chars", "n_words")
+    dup_lines, upper, ended = _share("n_dup_lines", "n_lines"), _share("n_upper", "n_letters"), _share("n_ended", "n_lines")
+    symbols, bars, shouts, distinct = _share("n_symbols", "word_chars"), _share("n_bars", "n_words"), _share("n_shouts", "n_words"), _share("n_distinct", "n_words")
+    long = F.col("n_words") >= 50
     return {
-        "short": (F.col("n_words") < 10, F.col("n_words") >= 100),
-        "symbols": (_share("n_symbols", "word_chars") > 0.10, never),
-        "same_lines": (_share("n_dup_lines", "n_lines") > 0.30, never),
-        "same_words": (100 * F.col("n_repeat_words") > 20 * F.col("n_words"), never),
-        "word_length": ((mean_word < 2.5) | (mean_word > 12), mean_word.between(3.5, 8.5)),
-        "capitals": (_share("n_upper", "n_letters") > 0.5, never),
-        "line_ends": ((F.col("n_words") >= 50) & (_share("n_ended", "n_lines") < 0.1), _share("n_ended", "n_lines") > 0.8),
-        "few_words": ((F.col("n_words") >= 50) & (_share("n_distinct", "n_words") < 0.15), (F.col("n_words") >= 50) & (_share("n_distinct", "n_words") > 0.35)),
-        "bars": (_share("n_bars", "n_words") > 0.10, never),
-        "shouts": (_share("n_shouts", "n_words") > 0.20, never),
+        "short": ("short", F.col("n_words") < 10, F.col("n_words") >= 10),
+        "repeats": ("repeats", 100 * F.col("n_repeat_words") > 20 * F.col("n_words"), dup_lines <= 0.30),
+        "few_words": ("repeats", long & (distinct < 0.15), distinct > 0.35),
+        "symbols": ("marks", symbols > 0.10, symbols < 0.01),
+        "bars": ("marks", bars > 0.10, bars < 0.01),
+        "shouts": ("marks", shouts > 0.20, shouts < 0.01),
+        "word_length": ("shape", (mean_word < 2.5) | (mean_word > 12), mean_word.between(3.5, 8.5)),
+        "capitals": ("shape", upper > 0.5, upper < 0.2),
+        "line_ends": ("shape", long & (ended < 0.1), ended >= 0.95),
     }
 
 
+#: Rules whose bad vote is a base rule: such texts are bad for certain.
+CERTAIN = ("short", "repeats")
+
+
 def vote_pattern() -> Column:
     """One character per rule: 0 bad, 1 abstains, 2 good."""
-    return F.concat(*[F.when(bad, "0").when(good, "2").otherwise("1") for bad, good in rules().values()])
+    return F.concat(*[F.when(bad, "0").when(good, "2").otherwise("1") for _, bad, good in rules().values()])
 
 
-def fit(counts: dict[str, int], rounds: int = 200, smoothing: float = 1.0, mistakes: float = 0.002) -> tuple[dict[str, float], float, np.ndarray]:
+def fit(counts: dict[str, int], kinds: list[str] | None = None, certain: tuple[int, ...] = (), rounds: int = 500, smoothing: float = 1.0) -> tuple[dict[str, float], float, np.ndarray]:
     """Expectation-maximisation on vote patterns.
 
-    Returns the posterior probability of good by pattern, the share of good texts, and the answer probabilities
-    ``[class (bad, good), rule, answer]``. Where a rule can vote either way, its abstention is a missing answer; a rule
-    that knows bad texts only answers by voting or not. The start is a soft guess: every bad vote speaks against a
-    text. ``mistakes`` bounds how often a rule may vote bad on good texts; it is what tells the classes apart.
+    ``kinds`` is the kind of bad text that each rule knows (one kind, if not given); ``certain`` are the rules whose bad
+    vote settles a text. Returns the posterior probability of good by pattern, the share of good texts, and the answer
+    probabilities ``[class (good, then the kinds in order of name), rule, answer]``. The start is plain: patterns
+    without a bad vote are good, others belong to the kinds of their bad votes in equal parts. ``smoothing`` is the
+    number of texts added to each class, spread over the answers; nothing bounds how often a rule may be wrong.
     """
     if not counts:
         return {}, 0.5, np.empty((2, 0, 3))
     patterns = sorted(counts)
     votes = np.array([[int(c) for c in p] for p in patterns])
     weight = np.array([counts[p] for p in patterns], float)
-    both_ways = (votes == 2).any(0)
+    group = np.array(kinds or ["bad"] * votes.shape[1])
+    against = np.stack([((votes == 0) & (group == k)).sum(1) for k in sorted(set(group))], 1)
+    settled = (votes[:, list(certain)] == 0).any(1)
     hot = np.eye(3)[votes]
-    hot[:, both_ways, 1] = 0
-    prior = np.where(both_ways[:, None], [0.5, 0, 0.5], [0.5, 0.5, 0]) * smoothing
-    good = 1 / (1 + np.exp(4.0 * (votes == 0).sum(1) - 2.0))
-    share, answers = 0.5, np.zeros((2, votes.shape[1], 3))
+    belief = np.concatenate([(against.sum(1) == 0)[:, None], against], 1).astype(float)
+    belief /= belief.sum(1, keepdims=True)
     for _ in range(rounds):
-        for k, belief in enumerate((1 - good, good)):
-            mass = np.einsum("p,prv->rv", weight * belief, hot) + prior
-            answers[k] = mass / mass.sum(1, keepdims=True)
-        wrong = np.minimum(answers[1, :, 0], mistakes)
-        right = np.maximum(answers[0, :, 0], wrong)
-        for k, p in enumerate((right, wrong)):
-            answers[k] = np.stack([p, np.where(both_ways, 0, 1 - p), np.where(both_ways, 1 - p, 0)], 1)
-        share = float((weight @ good + 1) / (weight.sum() + 2))
-        log = np.einsum("prv,krv->kp", hot, np.log(np.maximum(answers, 1e-12))) + np.log([1 - share, share])[:, None]
-        new = 1 / (1 + np.exp(np.clip(log[0] - log[1], -700, 700)))
-        if np.abs(new - good).max() < 1e-9:
+        held = weight[:, None] * belief
+        mass = np.einsum("pk,prv->krv", held, hot) + smoothing / 3
+        answers = mass / mass.sum(2, keepdims=True)
+        share = (held.sum(0) + smoothing) / (weight.sum() + smoothing * belief.shape[1])
+        log = np.einsum("prv,krv->pk", hot, np.log(answers)) + np.log(share)
+        log[settled, 0] = -np.inf
+        new = np.exp(log - log.max(1, keepdims=True))
+        new /= new.sum(1, keepdims=True)
+        moved, belief = np.abs(new - belief).max(), new
+        if moved < 1e-9:
             break
-        good = new
-    return dict(zip(patterns, good.tolist(), strict=True)), share, answers
+    return dict(zip(patterns, belief[:, 0].tolist(), strict=True)), float(share[0]), answers
 
 
 def judge(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", least: float = 0.5) -> DataFrame:
@@ -152,7 +159,8 @@ def judge(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text
     base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     voted = features(docs, ids, text).withColumns({"base_failed": base, "votes": vote_pattern()}).checkpoint()
     counts = {r.votes: r["count"] for r in voted.groupBy("votes").count().collect()}  # 3 ** len(RULES) rows at most
-    posterior, _, _ = fit(counts)
+    known_rules = rules()
+    posterior, _, _ = fit(counts, [kind for kind, _, _ in known_rules.values()], tuple(list(known_rules).index(x) for x in CERTAIN))
     known = spark.createDataFrame(sorted(posterior.items()), "votes string, posterior double")
     judged = voted.join(F.broadcast(known), "votes", "left")  # as many rows as there are patterns
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= least))

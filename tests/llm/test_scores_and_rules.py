@@ -158,6 +158,63 @@ def test_fit_finds_accuracies():
     assert quality_rules.fit({})[0] == {}
 
 
+def test_fit_finds_accuracies_of_careless_rules():
+    rng = np.random.default_rng(2)
+    truth = rng.random(20000) < 0.9
+    fire = [np.where(truth, rng.random(20000) < 0.05, rng.random(20000) < p) for p in (0.8, 0.7, 0.6, 0.7)]
+    patterns = ["".join("0" if f[i] else "2" for f in fire) for i in range(20000)]
+    posterior, share, answers = quality_rules.fit(Counter(patterns))
+    said = np.array([posterior[p] >= 0.5 for p in patterns])
+    assert (said == truth).mean() > 0.97 and abs(share - 0.9) < 0.02
+    assert answers[0, :, 0] == pytest.approx(0.05, abs=0.01) and answers[1, :, 0] == pytest.approx([0.8, 0.7, 0.6, 0.7], abs=0.05)
+    one_bad = np.array(["0" in p for p in patterns])
+    assert (said & one_bad).sum() > 2500  # one bad vote does not decide
+
+
+def by_row(patterns, kinds, certain, rounds, smoothing=1.0):
+    """The same expectation-maximisation text by text, without pattern counts."""
+    names = sorted(set(kinds))
+    belief = []
+    for p in patterns:
+        bad = [sum(c == "0" and k == name for c, k in zip(p, kinds)) for name in names]
+        belief.append([float(not any(bad)), *(x / max(1, sum(bad)) for x in bad)])
+    for _ in range(rounds):
+        share = [(sum(b[k] for b in belief) + smoothing) / (len(patterns) + smoothing * (len(names) + 1)) for k in range(len(names) + 1)]
+        says = [[[(sum(b[k] for b, p in zip(belief, patterns) if p[r] == v) + smoothing / 3) / (sum(b[k] for b in belief) + smoothing) for v in "012"] for r in range(len(kinds))] for k in range(len(names) + 1)]
+        belief = []
+        for p in patterns:
+            chance = [share[k] * math.prod(says[k][r][int(v)] for r, v in enumerate(p)) for k in range(len(names) + 1)]
+            if any(p[r] == "0" for r in certain):
+                chance[0] = 0.0
+            belief.append([x / sum(chance) for x in chance])
+    return {p: b[0] for p, b in zip(patterns, belief)}
+
+
+def test_posteriors_against_text_by_text():
+    rng = np.random.default_rng(3)
+    patterns = ["".join(rng.choice(list("012"), 5, p=(0.1, 0.2, 0.7))) for _ in range(150)]
+    kinds, certain = ["a", "a", "b", "b", "c"], (0,)
+    for rounds in (1, 2, 20):
+        posterior, _, _ = quality_rules.fit(Counter(patterns), kinds, certain, rounds)
+        assert posterior == pytest.approx(by_row(patterns, kinds, certain, rounds), abs=1e-9)
+    assert all(posterior[p] == 0 for p in patterns if p[0] == "0")
+
+
+def test_verdicts_are_not_all_must_pass(spark):
+    rows = quality_rules.op2_quality_rules(spark, "/root/testdata/sf0.1").collect()
+    labels = {r.doc_id: r.quality for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    differ = [r for r in rows if r.kept != (not r.base_failed and "0" not in r.votes)]
+    assert differ and any(r.kept for r in differ)
+    kept = Counter(labels.get(r.doc_id) for r in rows if r.kept)
+    assert kept[1] >= 3323 and kept[0] <= 5
+    # Texts with repeated lines and nothing else against them.
+    lines = [r for r in rows if r.votes == "212222222" and not r.base_failed]
+    assert lines and all(r.kept for r in lines)
+    counts, kinds = Counter(r.votes for r in rows), [k for k, _, _ in quality_rules.rules().values()]
+    verdicts = [{p: x >= 0.5 for p, x in quality_rules.fit(counts, kinds, (0, 1), rounds, smoothing)[0].items()} for rounds, smoothing in ((500, 1.0), (250, 1.0), (1000, 1.0), (500, 0.5), (500, 2.0))]
+    assert all(v == verdicts[0] for v in verdicts)
+
+
 def test_language(spark):
     rows = language_id.op7_language_id(spark, "/root/testdata/sf0.01").collect()
     truth = {r.doc_id: r.lang for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").collect()}
