@@ -6,10 +6,13 @@ before is not entered again, so a text that decodes to itself ends. Every charac
 the original text it came from (one span for a whole base64 or compressed run), so all findings have spans there.
 
 A text's work stays in one row of an Arrow batch; nothing is shuffled. Null and empty texts give a row without spans.
-All members of compressed data are unpacked to the end, in parts of about ``max_layer`` characters that end where no match
-can go on; ``n_oversize`` counts the layers longer than that. Bytes that are no UTF-8 become U+FFFD. Where something
-cannot be read (broken data, an unbroken run of more than four parts, a row with more than ``MAX_ROW`` characters of
-layers), ``found`` has a span of kind ``unread`` over the whole run or row, which the redaction takes out.
+Compressed data are found in base64 runs and in bytes written as URL or Unicode escapes. All members are unpacked to
+the end, in parts of about ``max_layer`` characters that end where no match can go on; ``n_oversize`` counts the layers
+longer than that. Bytes that are no UTF-8 become U+FFFD; text with a zero byte beside every character is also read
+without them (UTF-16). Where something cannot be read (a valid header whose data break off, an unbroken run of more than
+four parts, a row with more than ``MAX_ROW`` characters of layers), ``unread`` has the span of the whole run or row,
+which the redaction takes out. Two bytes of a bare zlib header occur by chance in any data; they count only if at least
+``TELLING`` characters that read came out before. The cost of a run is in proportion to its length, noise included.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Callable, Generator, Iterator
+from itertools import islice
 from urllib.parse import unquote_to_bytes
 
 import numpy as np
@@ -48,8 +52,22 @@ ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa
 # A run goes on over line ends, also escaped ones; what stands beside it may be in the alphabet too.
 BREAK = re.compile(r"[ \t]*\r?\n[ \t]*|(?:\\r)?\\n")
 BASE64 = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{16,}}(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]+)*={{0,2}}")
-PACKED = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00")
+PACKED = re.compile(rb"\x1f\x8b\x08[\x00-\x1f].{4}[\x00\x02\x04][\x00-\x0d\xff]|BZh[1-9]1AY&SY|\xfd7zXZ\x00", re.DOTALL)
 STARTS = re.compile(PACKED.pattern + rb"|\x78[\x01\x5e\x9c\xda]")
+# Bytes written as escapes between characters that stand for themselves, and what compressed ones begin with.
+URL_BYTES = re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9._~/!*'()+:,;=@$&^-])+")
+URL_START = re.compile(r"(?i)%1f%8b|%fd(?:7|%37)|(?:B|%42)(?:Z|%5a)(?:h|%68)|(?:x|%78)(?:%01|%5e|\^|%9c|%da)")
+ESCAPED_BYTES = re.compile(r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[nrt0\\'"]|[\x20\x21\x23-\x26\x28-\x5b\x5d-\x7e])+""")
+ESCAPED_START = re.compile(r"(?i){0}1f{0}8b|{0}fd(?:7|{0}37)|(?:B|{0}42)(?:Z|{0}5a)(?:h|{0}68)|(?:x|{0}78)(?:\^|{0}(?:01|5e|9c|da))".replace("{0}", r"\\(?:x|u00)"))
+ONE_ESCAPED = re.compile(r"""\\(?:x|u00)([0-9A-Fa-f]{2})|\\([nrt0\\'"])""")
+ONE_BYTE = re.compile(r"""%[0-9A-Fa-f]{2}|\\(?:x|u00)[0-9A-Fa-f]{2}|\\[nrt0\\'"]|.""")
+SHORT_ESCAPES = {"n": "\n", "r": "\r", "t": "\t", "0": "\0"}
+# Characters with a zero beside each: UTF-16.
+WIDE = re.compile(r"(?:[^\0]\0){4}|(?:\0[^\0]){4}")
+WIDE_PAIR = re.compile(r"[^\0]\0|\0[^\0]")
+TELLING = 32
+# What a match and all its encoded forms are made of; the shortest match has 12 characters.
+ISLAND = re.compile(r"[\t\n\r\0\x20-\x7e]{12,}")
 # Behind these no match and no encoded run goes on.
 CLOSED = re.compile(r"""[^A-Za-z0-9+/_.=\-"':%\\&#;{}\s]|\n[ \t\r]*\n|[G-Zg-z]\x20+(?=[A-Za-z])""")
 # Length of a part of a compressed layer, how many of them an unbroken run may take, characters of all layers of a row.
@@ -101,11 +119,25 @@ class Layer:
 
 
 def readable(text: str) -> bool:
+    if text.count("\ufffd") * 20 > len(text):
+        return False
     bad = sum(1 for c in text if c == "\ufffd" or not (c.isprintable() or c in "\t\r\n"))
     return len(text) >= 4 and bad * 20 <= len(text)
 
 
-def opener(data: bytes) -> Callable | None:
+def islands(layer: Layer) -> Layer:
+    """What can hold a match, encoded or not; everything between is one U+FFFD. Noise is short then, and loses nothing."""
+    pieces, last = [], 0
+    for m in ISLAND.finditer(layer.text):
+        if m.start() > last:
+            pieces.append((last, m.start(), "\ufffd"))
+        last = m.end()
+    if last < len(layer.text):
+        pieces.append((last, len(layer.text), "\ufffd"))
+    return layer.rewritten(pieces)
+
+
+def opener(data: bytes | memoryview) -> Callable | None:
     """What unpacks gzip, zlib, bzip2 or xz data."""
     if data[:2] == b"\x1f\x8b":
         return lambda: zlib.decompressobj(31)
@@ -116,7 +148,7 @@ def opener(data: bytes) -> Callable | None:
     return lzma.LZMADecompressor if data[:6] == b"\xfd7zXZ\x00" else None
 
 
-def unpacked(data: bytes, most: int) -> Iterator[bytes | None]:
+def unpacked(data: bytes | memoryview, most: int) -> Iterator[bytes | None]:
     """Content of all members in parts of up to ``most`` bytes, and what stands between and behind them; None where the data break off."""
     while data:
         make = opener(data)
@@ -153,7 +185,7 @@ def closed(text: str) -> int:
     return 0
 
 
-def contents(data: bytes, most: int, span: Span) -> Generator[tuple[Layer | None, Span, bool], None, bool]:
+def contents(data: bytes | memoryview, most: int, span: Span) -> Generator[tuple[Layer | None, Span, bool], None, bool]:
     """The content of compressed data as layers that nothing goes over, and whether it is longer than ``most`` (said
     once). None stands for something that could not be read. Returns whether the data were compressed at all."""
     parts = unpacked(data, most) if opener(data) else iter((None,))
@@ -178,7 +210,7 @@ def contents(data: bytes, most: int, span: Span) -> Generator[tuple[Layer | None
         part = next(parts, b"")
     held += decoder.decode(b"", True)
     yield Layer(held, None, span), span, size > most and not over
-    lost = part is None and (PACKED.match(data) is not None or readable(held))
+    lost = part is None and (PACKED.match(data) is not None or len(held) >= TELLING and readable(held))
     if broken or lost:
         yield None, span, False
     return part is not None or lost
@@ -222,6 +254,57 @@ def _plain(data: bytes, shift: int, lines: list[Span], layer: Layer, span: Span)
     return Layer("".join("\ufffd" if 0xDC80 <= ord(c) < 0xDD00 else c for c in text), (spans[first, 0], spans[final, 1]), None)
 
 
+def _inside(data: bytes, most: int, span: Span, start: int = 0) -> Iterator[tuple[Layer | None, Span, bool]]:
+    """Compressed data that begin anywhere in others; what follows the first that unpack is read with them."""
+    view = memoryview(data)
+    for x in STARTS.finditer(data, start):
+        if (yield from contents(view[x.start() :], most, span)):
+            return
+
+
+def _used(data: bytes, most: int) -> int:
+    """How many bytes the first members that unpack reach to; all if none does, since the text goes on in the alphabet."""
+    view = memoryview(data)
+    for x in STARTS.finditer(data):
+        rest = view[x.start() :]
+        try:
+            while make := opener(rest):
+                one = make()
+                while not one.eof:
+                    out = one.decompress(rest, most)
+                    rest = getattr(one, "unconsumed_tail", b"")
+                    if not out and not one.eof and getattr(one, "needs_input", not rest):
+                        raise EOFError
+                rest = one.unused_data
+            return len(data) - len(rest)
+        except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+            continue
+    return len(data)
+
+
+def _escaped_bytes(layer: Layer, most: int, run: re.Pattern, begin: re.Pattern, decode: Callable[[str], bytes]) -> Iterator[tuple[Layer | None, Span, bool]]:
+    """Compressed data whose bytes are written as escapes."""
+    x = begin.search(layer.text)
+    while x:
+        written = run.match(layer.text, x.start())[0]
+        data = decode(written)
+        size = _used(data, most)
+        if size < len(data):
+            written = "".join(islice((t[0] for t in ONE_BYTE.finditer(written)), size))
+        stop = x.start() + len(written)
+        yield from _inside(data[:size], most, layer.span(x.start(), stop))
+        x = begin.search(layer.text, stop)
+
+
+def _unescaped(run: str) -> bytes:
+    return ONE_ESCAPED.sub(lambda m: chr(int(m[1], 16)) if m[1] else SHORT_ESCAPES.get(m[2], m[2]), run).encode("latin-1")
+
+
+def _narrow(layer: Layer) -> Layer:
+    """UTF-16 read as bytes, without the zeros."""
+    return layer.rewritten([(m.start(), m.end(), m[0].strip("\0")) for m in WIDE_PAIR.finditer(layer.text)])
+
+
 def _base64(m: re.Match, layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, bool]]:
     """Layers of a base64 run at its four alignments, so that characters before the encoded part do not matter; at one if
     that reads. Compressed data may begin anywhere."""
@@ -240,9 +323,7 @@ def _base64(m: re.Match, layer: Layer, most: int) -> Iterator[tuple[Layer | None
             yield plain, span, False
             if not shift and "\ufffd" not in plain.text and all(c.isprintable() or c in "\t\r\n" for c in plain.text):
                 return
-            for x in STARTS.finditer(data, 1):
-                if (yield from contents(data[x.start() :], most, span)):
-                    break
+            yield from _inside(data, most, span, 1)
 
 
 def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, bool]]:
@@ -250,8 +331,12 @@ def layers_of(layer: Layer, most: int) -> Iterator[tuple[Layer | None, Span, boo
     text = layer.text
     if "%" in text and PERCENT.search(text):
         yield _percent(layer), (0, 0), False
+        yield from _escaped_bytes(layer, most, URL_BYTES, URL_START, unquote_to_bytes)
     if ("\\" in text or "&#" in text) and ESCAPE.search(text):
         yield _escapes(layer), (0, 0), False
+        yield from _escaped_bytes(layer, most, ESCAPED_BYTES, ESCAPED_START, _unescaped)
+    if "\0" in text and WIDE.search(text):
+        yield _narrow(layer), (0, 0), False
     for m in BASE64.finditer(text):
         yield from _base64(m, layer, most)
 
@@ -273,6 +358,8 @@ def scan(text: str, most: int = MAX_LAYER, row: int = MAX_ROW) -> tuple[list[tup
         elif inner is None:
             spans.add((*span, UNREAD))
         elif inner.text and inner.text != outer:
+            if inner.text.count("\ufffd") * 20 > len(inner.text):
+                inner = islands(inner)
             key = (hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), inner.span(0, len(inner.text)))
             if key in seen:
                 continue
@@ -293,19 +380,22 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def secrets(docs: DataFrame, ids: tuple[str, ...] = ("doc_id",), text: str = "text", max_layer: int = MAX_LAYER) -> DataFrame:
-    """Ids, ``base`` and ``found`` (arrays of start, end, kind; code points, end exclusive), ``n_layers``, ``n_oversize``."""
+    """Ids, ``base``, ``found`` and ``unread`` (arrays of start, end, kind; code points, end exclusive), ``n_layers``, ``n_oversize``."""
     ids = list(ids)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
-    fields = [("base", span), ("found", span), ("n_layers", pa.int64()), ("n_oversize", pa.int64())]
+    fields = [("base", span), ("found", span), ("unread", span), ("n_layers", pa.int64()), ("n_oversize", pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = lambda spans: [{"start": a, "end": b, "kind": NAMES[k]} for a, b, k in spans]
         for batch in batches:
             out = [scan(x.decode("utf-8", "replace"), max_layer) for x in batch.column(len(ids)).to_pylist()]
-            yield batches_of([[rows(x[0]) for x in out], [rows(x[1]) for x in out], [x[2] for x in out], [x[3] for x in out]], batch, ids, fields)
+            named = [[y for y in x[1] if y[2] != UNREAD] for x in out]
+            unread = [[y for y in x[1] if y[2] == UNREAD] for x in out]
+            spans = [[rows(x[0]) for x in out], [rows(x) for x in named], [rows(x) for x in unread]]
+            yield batches_of([*spans, [x[2] for x in out], [x[3] for x in out]], batch, ids, fields)
 
     kind = "array<struct<start:long,end:long,kind:string>>"
-    return docs.select(*ids, utf8(text).alias("raw")).mapInArrow(run, schema_of(docs, ids, f"base {kind}, found {kind}, n_layers long, n_oversize long"))
+    return docs.select(*ids, utf8(text).alias("raw")).mapInArrow(run, schema_of(docs, ids, f"base {kind}, found {kind}, unread {kind}, n_layers long, n_oversize long"))
 
 
 def span_text(column: str) -> Column:
@@ -346,7 +436,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     digest = F.sha2(span_text("base"), 256).alias("base_sha256")
-    return found.select("doc_id", *[count(k) for k in KINDS], digest, span_text("found").alias("spans"), "n_layers", "n_oversize")
+    return found.select("doc_id", *[count(k) for k in KINDS], digest, span_text("found").alias("spans"), span_text("unread").alias("unread"), "n_layers", "n_oversize")
 
 
 QUERIES = {"op9_secret_scan": (op9_secret_scan, None)}

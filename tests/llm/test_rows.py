@@ -7,6 +7,7 @@ import hashlib
 import lzma
 import math
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -461,6 +462,54 @@ def test_glued_base64():
     assert secret_scan.scan(run_of(gzip.compress(b"")))[1] == []
 
 
+@pytest.mark.parametrize("pack", PACKERS)
+def test_compressed_bytes_written_as_escapes(pack):
+    packed = pack(f"{SECRET} {'x' * 80}".encode())
+    forms = [quote(packed, safe=""), *("".join(f.format(c) for c in packed) for f in ("%{:02x}", "%{:02X}", "\\x{:02x}", "\\u00{:02X}")), repr(packed)[2:-1]]
+    for form in forms:
+        text = f"é q=<{form}> end"
+        spans = secret_scan.scan(text)[1]
+        assert spans and all(k == 0 and 5 <= a < b <= 5 + len(form) for a, b, k in spans), text
+
+
+@pytest.mark.parametrize("wide", ["utf-16-le", "utf-16-be", "utf-16"])
+def test_utf_16(wide):
+    for data in (f"x {SECRET} ok é".encode(wide), gzip.compress(SECRET.encode(wide))):
+        run = run_of(data)
+        assert {(k, a >= 2, b <= 2 + len(run)) for a, b, k in secret_scan.scan(f"a {run} b")[1]} == {(0, True, True)}
+
+
+def test_noise_costs_in_proportion_and_is_not_unread():
+    rng = np.random.default_rng(8)
+    noise = [rng.integers(0, 256, 150_000, np.uint8).tobytes() for _ in range(8)]
+    for data in noise:
+        assert secret_scan.scan(f"a {run_of(data)} b")[1] == []
+    hidden = noise[0] + SECRET.encode() + noise[1] + gzip.compress(ACCESS.encode()) + noise[2]
+    assert {k for _, _, k in secret_scan.scan(run_of(hidden))[1]} == {0, 1}
+    seconds = []
+    for data in (b"".join(noise[:1]), b"".join(noise)):
+        start = time.process_time()
+        secret_scan.scan(run_of(data))
+        seconds.append(time.process_time() - start)
+    assert seconds[1] < 24 * max(seconds[0], 0.02)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("AKI0af9g =:\"'%41\\u0x_passwordtokenSECRET\ufffd\ufffdé\0", max_size=120))
+def test_islands_hold_every_match(text):
+    layer = secret_scan.Layer(text, None, None)
+    short = secret_scan.islands(layer)
+    spans = lambda x: {(*x.span(a, b), k) for a, b, k in secret_scan.base_spans(x.text, secret_scan.EACH_ASSIGN)}
+    assert spans(short) == spans(layer)
+
+
+def test_unread_has_a_column_of_its_own(spark):
+    broken = run_of(gzip.compress(np.random.default_rng(5).integers(97, 123, 4000, np.uint8).tobytes())[:-900])
+    r = secret_scan.secrets(data.table(spark, [(1, f"a {broken} token=abcdef1")])).first()
+    assert [x.kind for x in r.found] == ["assign"] and [(x.start, x.kind) for x in r.unread] == [(2, "unread")]
+    assert secret_scan.op9_secret_scan(spark, SF).where("spans like '%unread%'").count() == 0
+
+
 def test_unread_layers_are_said_and_redacted(spark):
     random = np.random.default_rng(5).integers(97, 123, 4000, np.uint8).tobytes()
     broken = [run_of(pack(random)[:-900]) for pack in (gzip.compress, zlib.compress, lzma.compress)]
