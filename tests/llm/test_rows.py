@@ -13,6 +13,7 @@ from collections import Counter
 from itertools import product
 from urllib.parse import quote
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -206,6 +207,68 @@ def test_licence_headers_as_published(spark):
     assert both == ([*mit, *gpl], ["MIT", "GPL-3.0-or-later"], 0)
 
 
+def test_reserved_rights_go_with_a_grant(spark):
+    bsd = [license_scan.SENTENCES[f"bsd-{x}"][0] for x in ("grant", "source", "binary", "as-is")]
+    text = "Copyright (c) 2020, A Person\nAll rights reserved.\nCopyright (c) 2021, B Person. All rights reserved.\n\n" + f"{bsd[0]}:\n\n1. {bsd[1]}.\n2. {bsd[2]}.\n\n{bsd[3]}."
+    assert licences_of(spark, text)[1:] == (["BSD-2-Clause"], 0)
+    by_author = text.replace(bsd[3], license_scan.SENTENCES["bsd-as-is"][1].replace('"AS IS"', "``AS IS''"))
+    assert licences_of(spark, by_author)[1:] == (["BSD-2-Clause"], 0)
+    assert licences_of(spark, "All rights reserved.\n\n" + MIT_TEXT)[1:] == (["MIT"], 0)
+    assert licences_of(spark, MIT_TEXT + "\n\nAll rights reserved.")[1:] == (["MIT", "proprietary"], 0)
+
+
+@pytest.mark.parametrize(
+    ("expression", "names"),
+    [
+        ("GPL-2.0-only", ["GPL-2.0-only"]), ("BSD-3-Clause", ["BSD-3-Clause"]), ("(MIT OR Apache-2.0)", ["Apache-2.0", "MIT"]),
+        ("MIT AND (BSD-2-Clause OR ISC)", ["MIT", "BSD-2-Clause", "ISC"]), ("GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT", ["MIT", "GPL-2.0-or-later"]),
+        ("MIT OR ISC OR Zlib OR 0BSD OR BSL-1.0 OR MPL-2.0", ["MIT", "0BSD", "BSL-1.0", "ISC", "MPL-2.0", "Zlib"]), ("Unheard-Of-1.0", []),
+    ],
+)
+def test_spdx_expressions(spark, expression, names):
+    assert licences_of(spark, f"// SPDX-License-Identifier: {expression}\nint x;")[1:] == (names, 0)
+
+
+LGPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+
+
+def test_more_licence_headers(spark):
+    assert licences_of(spark, LGPL_TEXT)[1:] == (["LGPL-2.1-or-later"], 0)
+    gpl2 = LGPL_TEXT.replace("library", "program").replace("Lesser ", "").replace("2.1", "2")
+    assert licences_of(spark, gpl2)[1:] == (["GPL-2.0-or-later"], 0)
+    assert licences_of(spark, APACHE_TEXT.replace("http:", "https:"))[1:] == (["Apache-2.0"], 0)
+    assert licences_of(spark, "This is free and unencumbered software released into the public domain.")[1:] == (["Unlicense"], 0)
+    isc = "\n\n".join(license_scan.SENTENCES[f"isc-{x}"][0] + "." for x in ("under", "grant", "as-is", "liable"))
+    assert licences_of(spark, isc)[1:] == (["ISC"], 0)
+
+
+def test_own_sentences_and_rules_and_names(spark):
+    docs = data.table(spark, [(1, "Nothing may be copied.\nGoats excepted.")]).withColumnRenamed("id", "n_left").withColumnRenamed("size", "_state")
+    found = license_scan.licenses(docs, sentences={"none": ["Nothing may be copied"], "goats": ["Goats excepted"]}, rules=[("Goat-1.0", ["none", "goats"])], hints=["copied"])
+    r = found.first()
+    assert (r.sentence_ids, r.licenses, r.n_left, r._state) == (["none", "goats"], ["Goat-1.0"], 0, "y")
+
+
+def test_sql_states_the_same_licences(spark, tmp_path):
+    forms = [MIT_TEXT, "MIT License\n\n" + MIT_TEXT, APACHE_TEXT, GPL_TEXT, LGPL_TEXT, "All rights reserved.\nCopyright. All rights reserved.\n" + MIT_TEXT]
+    forms += ["SPDX-License-Identifier: (MIT OR Apache-2.0)", "no end\nLicensed under CC BY-NC 4.0.\nAll rights reserved.", None, "", "a | licence ^ b"]
+    forms += [re.sub("(?m)^", leader, x) for x in forms[:5] for leader in ("# ", " * ", ";; ", "REM ", "| ")]
+    docs = data.table(spark, list(enumerate(forms)))
+    docs.select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = sorted(con.execute(f"SELECT doc_id, n_sentences, sentence_ids, licenses, n_left FROM ({license_scan._sql()})").fetchall())
+    assert sorted(tuple(r) for r in license_scan.op4_license_scan(spark, str(tmp_path)).select("doc_id", "n_sentences", "sentence_ids", "licenses", "n_left").collect()) == want
+
+
 def test_no_known_sentence_holds_another_of_other_meaning():
     known = license_scan.known_sentences()
     assert not [(x, y) for x, i in known.items() for y, j in known.items() if i != j and f" {y} " in f" {x} "]
