@@ -232,6 +232,51 @@ def test_language_of_odd_texts(spark):
         assert (r.lang_pred == "und") == (not any(c.isalpha() for c in r.text or ""))
 
 
+def kneser_ney(texts, order):
+    """Probability of a symbol after a context, by dictionaries: interpolated, lower orders from continuation counts."""
+    levels = [Counter(g for t in texts for g in windows(t, order))]
+    for _ in range(order - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    levels = levels[::-1]
+
+    def chance(gram, kinds):
+        if not gram:
+            return 1 / (kinds + 1)
+        after = {g: n for g, n in levels[len(gram) - 1].items() if g[:-1] == gram[:-1]}
+        total, lower = sum(after.values()), chance(gram[1:], kinds)
+        if not total:
+            return lower
+        return max(after.get(gram, 0) - 0.75, 0) / total + 0.75 * len(after) / total * lower
+
+    return chance
+
+
+def windows(text, order):
+    """The n-grams that end at each character but the first of a folded text."""
+    plain = " " + " ".join("".join(c.lower() if c.isalpha() else " " for c in text).split()) + " "
+    padded = " " * (order - 2) + plain
+    return [padded[i : i + order] for i in range(len(padded) - order + 1)]
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_entropies_against_dictionaries(spark, order):
+    learned = {"x": ["Abracadabra, the cat!", "a ban on 12 bananas", "the ban"], "y": ["zwei Bäume über Nacht", "über den Baum"]}
+    chances = {n: kneser_ney(t, order) for n, t in learned.items()}
+    kinds = len({c for t in learned.values() for x in t for g in windows(x, order) for c in g[-1]})
+    counts = []
+    for texts in learned.values():
+        keys = np.concatenate([language_id.grams(language_id.folded(x.encode()), order) for x in texts])
+        counts.append(np.unique(keys, return_counts=True))
+    model = language_id.Model(list(learned), counts, order)
+    asked = ["the cat", "Baum über Nacht", "q", "Abracadabra the 3 bananas", "über bananas zzz", "łódź"]
+    rows = language_id.identify(data.table(spark, list(enumerate(asked))), model, ("doc_id", "text")).collect()
+    assert len(rows) == len(asked)
+    for r in rows:
+        want = {n: -sum(math.log(f(g, kinds)) for g in windows(r.text, order)) / len(windows(r.text, order)) for n, f in chances.items()}
+        assert r.lang_pred == min(want, key=want.get) and r.entropy == pytest.approx(min(want.values()), abs=1e-4)
+        assert model.entropies(language_id.folded(r.text.encode())) == pytest.approx(list(want.values()), abs=1e-4)
+
+
 def test_language_probabilities_add_up():
     texts = [b"abracadabra", b"banana ab"]
     counts = [np.unique(language_id.grams(language_id.folded(x), 3), return_counts=True) for x in texts]
