@@ -29,7 +29,9 @@ MIN_THRESHOLD, MAX_THRESHOLD, DEFAULT_THRESHOLD = 0.10, 0.95, 0.90
 MAX_LIMIT, DEFAULT_LIMIT = 5, 3
 DIGITS = 6  # similarities are compared after rounding
 SAMPLE_ROWS = 2048  # entries that the rotation is fitted on
-CUTS, STRETCH, SPARSE = 4, 512, 0.2  # parts of a vector; rows taken together; share of pairs below which they are done one by one
+CUTS, STRETCH = 4, 512  # parts of a vector; rows taken together
+PROBED, DROPS = 16, 0.2  # one row in so many tells whether the first part leaves so few pairs that parts are worth it
+SPARSE = 0.02  # share of pairs below which they are done one by one at once
 SLACK = 1e-6  # pruning never decides what rounding could
 
 
@@ -122,6 +124,7 @@ class _Scan:
         high = np.array([turned_e[s, head].max(axis=0) for s in stretches])
         low = np.array([turned_e[s, head].min(axis=0) for s in stretches])
         longest = np.array([rest_e[s, 0].max() for s in stretches])
+        turned_e, rest_e = turned_e.astype(np.float32), rest_e.astype(np.float32)
         out = []
         for start in range(0, len(ids_q), STRETCH):
             part = slice(start, start + STRETCH)
@@ -130,6 +133,7 @@ class _Scan:
             ahead = turned_q[:, head]
             bounds = np.maximum(ahead, 0) @ high.T + np.minimum(ahead, 0) @ low.T + rest_q[:, :1] * longest
             best = _Best(ids_q[part], self.limit, self.threshold)
+            turned_q, rest_q = turned_q.astype(np.float32), rest_q.astype(np.float32)
             self.pairs += len(ahead) * len(ids_e)
             for k in np.argsort(-bounds.max(axis=0)).tolist():
                 rows = np.flatnonzero(bounds[:, k] >= best.needed - SLACK)
@@ -145,29 +149,36 @@ class _Scan:
         return np.sqrt(np.maximum(0.0, squares[:, ::-1].cumsum(axis=1)[:, ::-1] - squares))
 
     def _stretch(self, rows, units_q, turned_q, rest_q, stretch, ids_e, units_e, turned_e, rest_e, cuts, best) -> None:
-        needed = best.needed[rows, None] - SLACK
-        sums, ok = 0.0, None
-        for k in range(len(cuts) - 2):
-            piece = slice(cuts[k], cuts[k + 1])
-            sums = sums + turned_q[rows, piece] @ turned_e[stretch, piece].T
-            ok = sums + rest_q[rows, k, None] * rest_e[stretch, k] >= needed
-            if ok.mean() < SPARSE:
-                break
-        if ok is None or ok.mean() >= SPARSE:
-            scores = units_q[rows] @ units_e[stretch].T
-            self.full += scores.size
-            q, e = np.nonzero(scores >= needed)
-            values = scores[q, e]
-        else:
-            q, e = np.nonzero(ok)
+        """Sums are counted in half the bits, with room for what that may lose; only what passes is counted exactly."""
+        needed = (best.needed[rows, None] - SLACK - units_e.shape[1] * 2.0**-22).astype(np.float32)
+        few = self._left(rows[::PROBED], needed[::PROBED], turned_q, rest_q, stretch, turned_e, rest_e, cuts, 1)
+        if few is not None and few.mean() < DROPS:
+            ok = self._left(rows, needed, turned_q, rest_q, stretch, turned_e, rest_e, cuts, len(cuts) - 2)
+            q, e = np.divmod(np.flatnonzero(ok), ok.shape[1])
             self.full += len(q)
-            values = np.concatenate([np.einsum("ij,ij->i", units_q[rows[q[i : i + 65536]]], units_e[stretch][e[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
+        else:
+            scores = turned_q[rows] @ turned_e[stretch].T
+            self.full += scores.size
+            q, e = np.divmod(np.flatnonzero(scores >= needed), scores.shape[1])
+        values = np.concatenate([np.einsum("ij,ij->i", units_q[rows[q[i : i + 65536]]], units_e[stretch][e[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
         values, others = np.round(values, DIGITS), ids_e[stretch][e]
         good = values >= self.threshold
         if self.skip_same:
             good &= others != best.ids[rows[q]]
         best.add(rows[q[good]], others[good], values[good])
 
+    @staticmethod
+    def _left(rows, needed, turned_q, rest_q, stretch, turned_e, rest_e, cuts, parts) -> np.ndarray | None:
+        """The pairs that may still reach what they must after so many parts, or after one that leaves few."""
+        sums, ok = 0.0, None
+        for k in range(min(parts, len(cuts) - 2)):
+            piece = slice(cuts[k], cuts[k + 1])
+            sums = sums + turned_q[rows, piece] @ turned_e[stretch, piece].T
+            ok = sums + rest_q[rows, k, None] * rest_e[stretch, k] >= needed
+            if ok.mean() < SPARSE:
+                break
+        return ok
+
 
 class _Best:
     """The best entries so far of some queries, and what a further one must reach."""
