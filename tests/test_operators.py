@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -212,6 +213,27 @@ def test_automaton_blocks(monkeypatch):
         assert dict(zip(places.tolist(), (terms[n] for n in numbers))) == {i: t for i, t in want.items() if t} and sorted(places.tolist()) == places.tolist()
 
 
+def test_an_index_of_many_terms_is_small():
+    terms = [f"term{i * 7919:x}" for i in range(20000)]
+    assert automaton.built([(t.encode(), t.upper()) for t in terms]).size < 100 * len(terms)
+
+
+def test_a_batch_of_texts_is_walked_in_stretches(monkeypatch):
+    monkeypatch.setattr(glossary, "SLICE_BYTES", 100)
+    kind = pa.struct([("matched_terms", pa.list_(pa.string())), ("rewritten", pa.string())])
+    texts = pa.array(["a net " * 10, None, "net", "", "x" * 300, "net"])
+    parts = list(glossary._walked(iter([texts]), [automaton.built([(b"net", "NETWORK")])], True, True, kind))
+    assert len(parts) == 3 and max(map(len, parts)) <= 4
+    assert [x and x["rewritten"] for part in parts for x in part.to_pylist()] == [t and t.replace("net", "NETWORK") for t in texts.to_pylist()]
+
+
+def test_equal_glossary_rows_are_folded_before_they_are_sorted(spark):
+    words = spark.range(1000).selectExpr("concat('w', id % 10) AS word").selectExpr("word AS TERM", "upper(word) AS DEFINITION").distinct()
+    pairs = glossary._pairs(words, False)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2 and sorted(map(tuple, pairs.collect())) == [(f"w{i}", f"W{i}") for i in range(10)]
+
+
 def test_empty_glossary(spark):
     df = spark.createDataFrame([(1, "x")], "id int, t string")
     g = spark.createDataFrame([], "TERM string, DEFINITION string")
@@ -305,6 +327,17 @@ def test_scan_equals_all_products(threshold, width):
     assert scan.pairs == 700 * 1500 and (width < 64 or scan.full < 0.2 * scan.pairs)
 
 
+def test_few_products_are_counted_one_by_one(monkeypatch):
+    rng = np.random.default_rng(4)
+    units = rng.normal(size=(3000, 64))
+    units /= np.linalg.norm(units, axis=1)[:, None]
+    single, whole = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda text, a, b: single.append(len(a)) or whole(text, a, b))
+    ids = np.arange(3000)
+    found = similarity._Scan(similarity._rotation(units), 0.3, 3, True).run(ids, units, ids, units)
+    assert len(found[0]) == 9000 and sum(single) < 0.02 * 3000 * 3000
+
+
 def test_similarity_without_entries(spark):
     some = spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<double>")
     assert similarity.top_matches(some, some.limit(0)).count() == 0
