@@ -75,6 +75,35 @@ def test_levels_grow_geometrically():
     assert sum(len(x) for x, _ in family.levels) == 6400
 
 
+def test_suffixes_in_stretches(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(i, t) for i, t in corpus(4, 40)] + [(2000, ""), (2001, "x" * 99), (2002, "y" * 700), (2003, ""), (2004, "z" * 100)]
+    group = pa.table({"chunk": [0] * len(rows), "place": [i for i, _ in rows], "raw": pa.array([t.encode() for _, t in rows], pa.binary())})
+    chunk = suffix_dedup.Chunk(group, "place")
+    whole = suffix_dedup.chosen(chunk, suffix_dedup.Rolling(chunk.buffer), 100, 32)
+    monkeypatch.setattr(suffix_dedup, "STRETCH", 128)
+    for a, b in zip(whole, suffix_dedup.chosen(chunk, suffix_dedup.Rolling(chunk.buffer), 100, 32), strict=True):
+        assert len(a) and np.array_equal(a, b)
+
+
+def test_suffixes_take_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [np.random.default_rng(i).integers(97, 123, 10_000).astype(np.uint8).tobytes() for i in range(200)]
+    group = pa.table({"chunk": [0] * 200, "place": list(range(200)), "raw": pa.array(texts, pa.binary())})
+    chunk = suffix_dedup.Chunk(group, "place")
+    tracemalloc.start()
+    suffix_dedup.chosen(chunk, suffix_dedup.Rolling(chunk.buffer), 100, 32)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(chunk.buffer)  # 8 bytes of sums a byte, and runs
+
+
 def linked(spark, rows):
     got = jaccard_join.near_copies(data.table(spark, rows)).collect()
     return sorted(((r.id, r.size, r.component) for r in got), key=str)
