@@ -4,18 +4,25 @@ Two texts link when 100 * |A and B| >= ``LEAST`` * |A or B|, a distance of at mo
 
 *Regions.* Shingles are ordered, rare ones first. Two sets that link share a shingle among the first
 ``n - ceil(LEAST/100 n) + 1`` of each, so the texts that have a shingle there form a region, and no link leaves all
-regions. A region's pivot is the member with the smallest mixed fingerprint, hence the same in most regions of a group
-of near copies.
+regions. Texts of a shingle whose lengths differ too much are in different regions, and shingles with the same texts make
+one region, which counts as many times.
 
-*Distances.* Every member is compared with its region's pivot, exactly. What links to the pivot needs no comparison
-among itself: it is connected already, however large the group is.
+*First regions.* Sets of given sizes that link share at least a certain number of leading shingles. A set's regions are
+ordered, those of few members first; the first one that a pair shares has so many shingles in it and after it, in both. A
+set stays only in the regions from which on it has enough left for some size of a partner, and a pair meets only where both
+have enough left for their sizes. So most chance meetings, and most regions of shingles that many texts hold, drop out.
+
+*Distances.* A region's pivot is the member with the smallest hash of its fingerprint, hence the same in most regions of a
+group of near copies. Every member that may link to its region's pivot is compared with it, exactly. What links to the pivot
+needs no comparison among itself: it is connected already, however large the group is.
 
 Regions of ``CROWDED`` members or more whose members are still apart get up to ``TURNS`` more pivots in turn, chosen by another
 mix of the fingerprint each time, which merges most of what links at all.
 
 *Windows.* What is left are members of a region that belong to different components. By the triangle inequality two of
-them can link only if their distances to the pivot differ by no more than the threshold, and only if they share as many
-regions as the overlap of linked sets of their sizes demands; these pairs, and no others, are compared exactly. Regions with one component drop out, and lengths that differ too much are never compared.
+them can link only if their distances to the pivot differ by no more than the threshold. Pairs that share one of the
+``PRIOR`` regions before this one met there already. What is left of the pairs is compared exactly. Regions with one
+component drop out, and lengths that differ too much are never compared.
 
 Equal sets are one set from the start (``min`` of the id per fingerprint); copies never are compared. Common shingles
 come last in the order: they are found by counts over all texts, so a line that many texts share makes no region unless
@@ -37,18 +44,19 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverlode.llm.common import WordHashes, from_planes, mixed, planes, slices, table, utf8, window_hashes, written
+from silverlode.llm.common import STEP, WordHashes, from_planes, mixed, planes, slices, table, utf8, window_hashes, written
 from silverlode.llm.components import components
 from silverlode.operators.skew import match
 
 WORDS, LEAST = 5, 75
 COMMON_KEPT = 1 << 16
 BLOCK_BYTES, COUNT_BYTES, BUCKET_BYTES = 8_000_000, 8_000_000, 16_000_000
-FILTER_BITS = 20
+FILTER_BITS = 22
 CROWDED, TURNS = 24, 3
+PRIOR = 4
 _LONG = np.dtype("<u8")
 
 
@@ -170,11 +178,22 @@ def _keys(docs: DataFrame, text: str, common: np.ndarray, words: int, least: int
     return docs.mapInArrow(run, ", ".join(f"{k} {kinds[v]}" for k, v in columns.items()))
 
 
-_REGIONS = "region long, print long, size long, pivot long, pivot_size long, id long, text_hash long, is_set boolean"
+_REGIONS = "region long, print long, size long, members long, need long, weight long, id long, text_hash long, is_set boolean"
+
+
+def shared_least(m: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Of the leading shingles of the set whose leading part ends first, all that both sets hold are leading in both; so
+    sets of sizes m and n that link share at least so many regions."""
+    return -(-least * (m + n) // (100 + least)) - -(-least * np.maximum(m, n) // 100) + 1
 
 
-def _regions(group: pa.Table) -> pa.Table:
-    """Members of the regions of a bucket's shingles with two sets or more, each with the region's pivot; and the sets of rows as they came."""
+def _regions(group: pa.Table, least: int) -> pa.Table:
+    """Members of the regions of a bucket's shingles, and the sets of rows as they came.
+
+    A shingle's sets in order of size are cut where neighbours differ too much to link; what is left together, two sets or
+    more, is a region. Shingles with the same sets have the same region; ``weight`` is how many of the bucket have it.
+    ``need``: no link of the member in this region comes with fewer shared shingles.
+    """
     rows = group.filter(pc.is_null(group["keys"]))
     keys, places, prints, sizes, base = [], [], [], [], 0
     blocks = group.filter(pc.is_valid(group["keys"]))
@@ -193,20 +212,29 @@ def _regions(group: pa.Table) -> pa.Table:
     many[1:] = key[1:] == key[:-1]
     many[:-1] |= many[1:]
     key, member, n = key[many], print_[place[many]], size[place[many]]
-    order = np.lexsort((member, mixed(member.view(_LONG)), key))
+    order = np.lexsort((member, n, key))
     key, member, n = key[order], member[order], n[order]
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (member[1:] != member[:-1])
     key, member, n = key[new], member[new], n[new]  # the same set from different tasks
     head = np.ones(len(key), bool)
-    head[1:] = key[1:] != key[:-1]
+    head[1:] = (key[1:] != key[:-1]) | (100 * n[:-1] < least * n[1:])
     first = np.flatnonzero(head)
     count = np.diff(np.r_[first, len(key)])
-    pivot = np.repeat(first, count)
-    keep = np.repeat(count > 1, count)
-    values = [v[keep] for v in (key.view(np.int64), member, n, member[pivot], n[pivot])]
+    marks = np.add.reduceat(mixed(member.view(_LONG) + STEP), first) if len(first) else np.empty(0, _LONG)
+    region, at, weight = np.unique(mixed(marks ^ (count.view(_LONG) * STEP)), return_index=True, return_counts=True)
+    keep = np.zeros(len(first), bool)
+    keep[at] = True
+    keep &= count > 1
+    names, weights = np.empty(len(first), np.int64), np.empty(len(first), np.int64)
+    names[at], weights[at] = region.view(np.int64), weight
+    low = np.maximum(np.repeat(n[first], count), -(-least * n // 100))
+    high = np.minimum(np.repeat(n[first + count - 1], count), 100 * n // least)
+    need = np.maximum(np.minimum(shared_least(n, low, least), shared_least(n, high, least)) - 1, 1)  # rounding may take one
+    keep, members = np.repeat(keep, count), np.repeat(count, count)
+    values = [v[keep] for v in (np.repeat(names, count), member, n, members, need, np.repeat(weights, count))]
     empty, more = [None] * int(keep.sum()), [None] * rows.num_rows
-    columns = [(values[0], more), (values[1], rows["print"]), (values[2], rows["size"]), (values[3], more), (values[4], more), (empty, rows["id"]), (empty, rows["text_hash"]), ([False] * len(empty), [True] * len(more))]
+    columns = [(values[0], more), (values[1], rows["print"]), (values[2], rows["size"]), (values[3], more), (values[4], more), (values[5], more), (empty, rows["id"]), (empty, rows["text_hash"]), ([False] * len(empty), [True] * len(more))]
     kinds = {"long": pa.int64(), "boolean": pa.bool_()}
     names = [x.split() for x in _REGIONS.split(", ")]
     array = lambda v, t: v.combine_chunks() if isinstance(v, pa.ChunkedArray) else pa.array(v, t)
@@ -258,12 +286,12 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         known = np.unpackbits(np.frombuffer(packed_bits, np.uint8)).astype(bool)
         for batch in batches:
             batch = batch.filter(pa.array(known[batch.column(1).to_numpy() & ((1 << FILTER_BITS) - 1)]))
-            packed = pa.array([zlib.compress(x, 1) for x in batch.column(2).to_pylist()], pa.binary())
+            packed = pa.array([zlib.compress(x, 6) for x in batch.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["id", "text_hash", "packed"])
 
     some = rows.mapInArrow(run, "id long, text_hash long, packed binary")
     same = match([some["id"], some["text_hash"]], [wanted["of_id"], wanted["of_hash"]], nulls_equal=True)
-    found = some.join(wanted, same, "inner")
+    found = written(some.join(wanted, same, "inner").select("print", "packed", "times"), "found")
     once = found.where("times = 1").select("print", "packed")
     return once.union(found.where("times > 1").select("print", "packed").dropDuplicates(["print"]))
 
@@ -275,9 +303,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(utf8(text)).alias("text_hash"), utf8(text).alias("raw"))
     common = common_shingles(docs, text, words)
     blocks = _keys(rows, text, common, words, least, buckets)
-    found = written(blocks.groupBy("bucket").applyInArrow(lambda g: _regions(g), _REGIONS), "regions")
+    found = written(blocks.groupBy("bucket").applyInArrow(lambda g: _regions(g, least), _REGIONS), "regions")
     sets = found.where("is_set").select("id", "text_hash", "print", "size")
-    regions = found.where("not is_set").select("region", "print", "size", "pivot", "pivot_size")
     fits = lambda a, b: 100 * F.least(a, b) >= least * F.greatest(a, b)
     own = sets.where("size > 0").groupBy("print", "id", "text_hash").agg(F.count("*").alias("times"))
     own = own.groupBy("print").agg(F.min("id").alias("id"), F.min(F.struct("id", "text_hash", "times")).alias("of"))
@@ -285,30 +312,37 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
 
     def texts_of(needed: DataFrame) -> DataFrame:
         wanted = own.join(needed, match([own["print"]], [needed["p"]]), "left_semi").select("print", "of_id", "of_hash", "times")
-        return written(_texts(rows, wanted), "texts")
+        return _texts(rows, wanted)
 
     linked = lambda d: d.where(100 * F.col("both") >= least * F.col("either")).select("a", "b")
     star = lambda known: known.select(F.col("node").alias("a"), F.col("least").alias("b"))
     with_part = lambda r, known: r.join(known, match([r["print"]], [known["node"]]), "left").select(*r.columns, F.coalesce("least", "print").alias("part"))
-    degree = written(regions.groupBy(F.col("print").alias("of")).agg(F.count("*").alias("regions")), "degrees")
 
     def shared_at_least(m: Column, n: Column) -> Column:
-        """Of the leading shingles of the set whose leading part ends first, all that both sets hold are leading in both; so
-        sets of sizes m and n that link share at least so many regions."""
+        """``shared_least`` of columns."""
         overlap = F.floor((least * (m + n) + (99 + least)) / (100 + least))
         return overlap - F.floor((least * F.greatest(m, n) + 99) / 100) + 1
 
-    def with_degree(pairs: DataFrame, column: str, name: str) -> DataFrame:
-        joined = pairs.join(degree, match([pairs[column]], [degree["of"]]), "inner")
-        return joined.select(*pairs.columns, F.col("regions").alias(name))
-
-    first = regions.where((F.col("print") != F.col("pivot")) & fits(F.col("size"), F.col("pivot_size")))
-    first = first.select(F.col("print").alias("a"), F.col("pivot").alias("b"), F.col("size").alias("m"), F.col("pivot_size").alias("n")).distinct()
-    first = with_degree(with_degree(first, "a", "ra"), "b", "rb")
-    first = written(first.where(F.least("ra", "rb") >= shared_at_least(F.col("m"), F.col("n"))).select("a", "b"), "pairs")
-    crowded = regions.groupBy(F.col("region").alias("of")).agg(F.count("*").alias("n")).where(F.col("n") >= CROWDED)
-    crowded = regions.join(crowded, match([regions["region"]], [crowded["of"]]), "left_semi").select("region", "print", "size")
-    crowded = written(with_degree(crowded, "print", "regions"), "crowded")
+    # The regions of a set in their common order, small ones first. A region may be the first that two sets share only if
+    # as many shingles as a link demands follow from there on in both.
+    whole = found.where("not is_set").repartition("print").groupBy("print", "region").agg(F.first("size").alias("size"), F.first("members").alias("members"), F.first("need").alias("need"), F.sum("weight").alias("weight"))
+    mine = Window.partitionBy("print")
+    in_order = mine.orderBy("members", "region")
+    before = F.sum("weight").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("weight")
+    prior = F.collect_list("region").over(in_order.rowsBetween(-PRIOR, -1))
+    ranked = whole.select("region", "print", "size", "need", (F.sum("weight").over(mine) - before).alias("rest"), prior.alias("prior"))
+    early = written(ranked.where("rest >= need").drop("need"), "early")
+    pivots = early.groupBy(F.col("region").alias("of")).agg(F.min_by(F.struct("print", "size", "rest"), F.struct(F.xxhash64("print"), "print")).alias("p"), F.count("*").alias("n")).where("n > 1")
+    members = early.join(pivots, match([early["region"]], [pivots["of"]]), "inner")
+    members = written(members.select("region", "print", "size", "rest", "prior", F.col("p.print").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.rest").alias("pivot_rest"), "n"), "members")
+
+    def may_link(m: Column, n: Column, rest_m: Column, rest_n: Column) -> Column:
+        """Whether a region may be the first that two sets share, if they link."""
+        return fits(m, n) & (F.least(rest_m, rest_n) >= shared_at_least(m, n))
+
+    first = members.where((F.col("print") != F.col("pivot")) & may_link(F.col("size"), F.col("pivot_size"), F.col("rest"), F.col("pivot_rest")))
+    first = written(first.select(F.col("print").alias("a"), F.col("pivot").alias("b")).distinct(), "pairs")
+    crowded = written(members.where(F.col("n") >= CROWDED).select("region", "print", "size", "rest"), "crowded")
     needed = first.select(F.col("a").alias("p")).union(first.select("b")).union(crowded.select("print")).distinct()
     texts = texts_of(needed)
     measured = written(compare(first.withColumn("home", F.col("b")), texts, words, cells), "distances")
@@ -316,29 +350,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     # Crowded regions get further pivots, each compared with the members of other components.
     for turn in range(1, TURNS + 1):
         part = with_part(crowded, known)
-        chosen = part.groupBy(F.col("region").alias("of")).agg(F.min_by(F.struct("print", "size", "part", "regions"), F.struct(F.xxhash64("print", F.lit(turn)), "print")).alias("v"))
-        met = part.join(chosen, match([part["region"]], [chosen["of"]]) & (F.col("part") != F.col("v.part")) & fits(F.col("size"), F.col("v.size")), "inner")
-        met = met.where(F.least("regions", "v.regions") >= shared_at_least(F.col("size"), F.col("v.size")))
+        chosen = part.groupBy(F.col("region").alias("of")).agg(F.min_by(F.struct("print", "size", "part", "rest"), F.struct(F.xxhash64("print", F.lit(turn)), "print")).alias("v"))
+        met = part.join(chosen, match([part["region"]], [chosen["of"]]) & (F.col("part") != F.col("v.part")) & may_link(F.col("size"), F.col("v.size"), F.col("rest"), F.col("v.rest")), "inner")
         pairs = written(met.select(F.col("print").alias("a"), F.col("v.print").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
             break
         new = linked(compare(pairs.withColumn("home", F.col("b")), texts, words, cells))
         known = components(star(known).union(new))
     # Regions that still hold several components, and the windows of their members.
-    part = with_part(regions, known)
+    part = with_part(members, known)
     open_ = part.groupBy("region").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo <> hi").select(F.col("region").alias("open"))
     left = part.join(open_, match([part["region"]], [open_["open"]]), "left_semi").where(F.col("print") != F.col("pivot"))
     away = measured.select(F.col("a").alias("m"), F.col("b").alias("of"), (1 - F.col("both") / F.col("either")).alias("away"))
-    left = left.join(away, match([left["print"], left["pivot"]], [away["m"], away["of"]]), "left").select("region", "pivot", "print", "size", "part", "away")
-    left = written(with_degree(left, "print", "regions"), "open")
-    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("region", "pivot", "print", "size", "part", "away", "regions")]) for s in "ab")
+    left = left.join(away, match([left["print"], left["pivot"]], [away["m"], away["of"]]), "left")
+    left = written(left.select("region", "pivot", "print", "size", "part", "rest", "prior", "away"), "open")
+    a, b = (left.select(*[F.col(c).alias(f"{c}_{s}") for c in ("region", "pivot", "print", "part", "size", "rest", "prior", "away")]) for s in "ab")
     window = F.abs(F.col("away_a") - F.col("away_b")) <= F.lit(1 - least / 100 + 1e-9)
-    enough = F.least("regions_a", "regions_b") >= shared_at_least(F.col("size_a"), F.col("size_b"))
-    apart = enough & (F.col("part_a") < F.col("part_b")) & fits(F.col("size_a"), F.col("size_b")) & F.coalesce(window, F.lit(True))
-    met = a.join(b, match([F.col("region_a")], [F.col("region_b")]) & apart, "inner").groupBy("print_a", "print_b")
-    met = met.agg(F.count("*").alias("shared"), F.min("pivot_a").alias("home"), F.first("size_a").alias("m"), F.first("size_b").alias("n"))
-    pairs = met.where(F.col("shared") >= shared_at_least(F.col("m"), F.col("n")))
-    pairs = written(pairs.select(F.col("print_a").alias("a"), F.col("print_b").alias("b"), "home"), "pairs")
+    apart = (F.col("part_a") < F.col("part_b")) & may_link(F.col("size_a"), F.col("size_b"), F.col("rest_a"), F.col("rest_b")) & F.coalesce(window, F.lit(True))
+    apart &= ~F.arrays_overlap("prior_a", "prior_b")  # what shares an earlier region met there
+    met = a.join(b, match([F.col("region_a")], [F.col("region_b")]) & apart, "inner").groupBy(F.col("print_a").alias("a"), F.col("print_b").alias("b"))
+    pairs = written(met.agg(F.min("pivot_a").alias("home")), "pairs")
     more = linked(compare(pairs, texts_of(pairs.select(F.col("a").alias("p")).union(pairs.select("b")).distinct()), words, cells))
     whole = components(star(known).union(more))
     tied = own.join(whole, match([own["print"]], [whole["node"]]), "left").select("print", "id", F.coalesce("least", "print").alias("least"))

@@ -125,6 +125,49 @@ def test_components_with_common_shingles(spark):
     assert linked(spark, rows) == sorted(data.components(rows), key=str)
 
 
+def groups_near_the_threshold(n):
+    """A text and two others, each unlike it in other places; some link and some just don't."""
+    rows = []
+    for g in range(n):
+        words = [f"g{g}w{k}" for k in range(200)]
+        for j in (0, 1, 2):
+            w = list(words)
+            for k in range(j * 60, j * 60 + 24 + g % 5 if j else 0):
+                w[k] = f"{w[k]}v{j}"
+            rows.append((3 * g + j, " ".join(w)))
+    return rows
+
+
+def test_components_near_the_threshold(spark, monkeypatch):
+    rows, seen, write = groups_near_the_threshold(30), {}, jaccard_join.written
+
+    def counted(df, name):
+        out = write(df, name)
+        seen[name] = max(seen.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    want = data.components(rows)
+    assert 30 < len({c for _, _, c in want}) < 90
+    assert linked(spark, rows) == sorted(want, key=str)
+    assert seen["members"] <= 9 * 30 and seen["open"] <= 9 * 30  # not one for each shingle that they share
+
+
+@pytest.mark.parametrize("turns", [0, 3])
+def test_components_of_what_pivots_leave(spark, monkeypatch, turns):
+    monkeypatch.setattr(jaccard_join, "TURNS", turns)
+    monkeypatch.setattr(jaccard_join, "CROWDED", 3)
+    rng, rows = random.Random(8), []
+    for b in range(4):
+        base = data.prose(50 + b, 90).split(" ")
+        for i in range(40):
+            w = list(base)
+            for k in rng.sample(range(90), rng.randint(1, 7)):
+                w[k] = f"w{rng.randrange(9)}"
+            rows.append((len(rows), " ".join(w[rng.choice([0, 0, 3, 9]) :])))
+    assert linked(spark, rows) == sorted(data.components(rows), key=str)
+
+
 def test_star_components(spark):
     rng = random.Random(5)
     links = [(rng.randrange(80), rng.randrange(80)) for _ in range(60)] + [(i, i + 1) for i in range(200, 260)]
