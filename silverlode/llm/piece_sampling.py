@@ -54,6 +54,10 @@ class Vocabulary:
         size = processor.get_piece_size()
         self.pieces = [processor.id_to_piece(i) for i in range(size)]
         self.byte_ids = np.array([processor.piece_to_id(f"<0x{b:02X}>") for b in range(256)], np.int64)
+        # As decoded: byte pieces are their byte, those beyond ASCII as an escape that UTF-8 turns into the byte.
+        self.shown = [x.replace(BLANK, " ") for x in self.pieces]
+        for b, i in enumerate(self.byte_ids.tolist()):
+            self.shown[i] = chr(b) if b < 128 else chr(0xDC00 + b)
         plain = [i for i in range(size) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i) or processor.is_unused(i))]
         if any(BLANK in self.pieces[i].lstrip(BLANK) for i in plain):
             raise ValueError("a piece holds a blank after its start")
@@ -62,10 +66,13 @@ class Vocabulary:
         self.byte_weight = float(-POWER * np.log(len(plain) + OFFSET) - norm)
         self.longest = max(len(self.pieces[i]) for i in plain)
         self.by_length = []
+        self.longer = np.zeros((self.longest + 1, 1 << 18), bool)  # by length: whether a longer piece may begin so
         for n in range(1, self.longest + 1):
             ids = np.array([i for i in plain if len(self.pieces[i]) == n], np.int64)
             codes = np.frombuffer("".join(self.pieces[i] for i in ids).encode("utf-32-le"), np.uint32).reshape(len(ids), n) if len(ids) else np.empty((0, n), np.uint32)
             hashes = piece_hashes(codes.ravel(), np.arange(len(ids)) * n, n) if len(ids) else np.empty(0, np.uint64)
+            for m in range(1, n if len(ids) else 1):
+                self.longer[m, (piece_hashes(codes.ravel(), np.arange(len(ids)) * n, m) >> np.uint64(46)).astype(np.int64)] = True
             order = np.argsort(hashes)
             weights = np.array([-POWER * np.log(rank[i] + OFFSET) - norm for i in ids])
             seen = np.zeros(1 << 18, bool)
@@ -74,21 +81,21 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The text of piece ids; a leading blank was added by the encoder and goes."""
-        out, data = [], bytearray()
-        first, last = int(self.byte_ids[0]), int(self.byte_ids[255])
-        for i in ids:
-            if first <= i <= last:
-                data.append(i - first)
-                continue
-            if data:
-                out.append(data.decode("utf-8", "replace"))
-                data.clear()
-            out.append(self.pieces[i])
-        out.append(data.decode("utf-8", "replace"))
-        text = "".join(out).replace(BLANK, " ")
+        text = "".join(map(self.shown.__getitem__, ids))
+        if not text.isascii():
+            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if text[:1] == " " else text
 
 
+def units(text: str) -> list[str]:
+    """A text's units without their first blank, which each of them has (the text's first one is added)."""
+    if not text:
+        return []
+    if BLANK in text or "  " in text or text[0] == " " or text[-1] == " ":
+        return [x[1:] for x in UNIT.findall(BLANK + text.replace(" ", BLANK))]
+    return text.split(" ")
+
+
 def piece_hashes(codes: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     out = np.zeros(len(at), np.uint64)
     for i in range(length):
@@ -120,15 +127,16 @@ class Lattice:
         self.degree = np.zeros(n, np.int32)
         for length in range(1, width + 1):
             if length > 1:
-                on = np.flatnonzero(left[at] >= length)
+                on = np.flatnonzero(vocabulary.longer[length - 1][slot] & (left[at] >= length))
                 at, hashes = at[on], hashes[on]
             if not len(at):
                 break
             hashes = (hashes + codes[at + (length - 1)].astype(np.uint64) + np.uint64(1)) * _ODD
             known, ids, weight, seen = vocabulary.by_length[length - 1]
+            key = mixed(hashes)
+            slot = (key >> np.uint64(46)).astype(np.int64)
             if len(known):
-                key = mixed(hashes)
-                some = np.flatnonzero(seen[(key >> np.uint64(46)).astype(np.int64)])
+                some = np.flatnonzero(seen[slot])
                 key = key[some]
                 place = np.minimum(np.searchsorted(known, key), len(known) - 1)
                 hit = np.flatnonzero(known[place] == key)
@@ -288,10 +296,10 @@ def sample(texts: list[str], keys: np.ndarray, k: int, vocabulary: Vocabulary, r
 
     The texts share one lattice, and are searched in runs of about ``run`` units, whose arrays stay in the processor's cache.
     """
-    lists = [UNIT.findall(BLANK + x.replace(" ", BLANK)) if x else [] for x in texts]
+    lists = [units(x) for x in texts]
     flat = pa.array(list(chain.from_iterable(lists)), pa.string()).dictionary_encode()
     kinds = flat.indices.to_numpy().astype(np.int64)
-    lattice = Lattice(flat.dictionary.to_pylist(), vocabulary)
+    lattice = Lattice([BLANK + x for x in flat.dictionary.to_pylist()], vocabulary)
     ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
     out, a = [], 0
     while a < len(texts):

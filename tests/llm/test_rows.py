@@ -362,6 +362,22 @@ def segmentations(text, vocabulary):
     return {k: v - total for k, v in out.items()}
 
 
+def test_units_and_decoded_bytes(vocabulary):
+    blank = piece_sampling.BLANK
+    for x in ("", " ", "  ", "a", " a", "a ", "a  b", "a b c", blank, f"a{blank}b", f"{blank}{blank}a ", "\n x\n", "é ü  "):
+        assert [blank + u for u in piece_sampling.units(x)] == (piece_sampling.UNIT.findall(blank + x.replace(" ", blank)) if x else [])
+    one = {p: i for i, p in enumerate(vocabulary.pieces)}
+    spelled = lambda raw: [int(vocabulary.byte_ids[b]) for b in raw]
+    assert vocabulary.decode([*spelled("é".encode()), one["e"], *spelled(b"\xe3\x81"), one["e"], *spelled(b"\n\x80")]) == "ée\ufffde\n\ufffd"
+
+
+def test_short_pieces_end_the_search_for_longer_ones(vocabulary):
+    lengths = [len(vocabulary.by_length[n][0]) for n in range(vocabulary.longest)]
+    for n in range(1, vocabulary.longest):
+        assert vocabulary.longer[n].sum() <= sum(lengths[n:])
+    assert not vocabulary.longer[vocabulary.longest].any()
+
+
 def test_samples_are_gumbel_top_k(vocabulary):
     text, n = "the in", 20000
     chance = segmentations(text, vocabulary)
